@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import langid, media, mixing, simhash
+from parley.llm import langid, media, mixing, simhash, substring, topk
 from parley.llm.common import crc32_of, scratch_path, table
 
 
@@ -32,6 +32,18 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document and how many of them an earlier document's passages cover."""
+    found = substring.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best of all vectors for each of every fiftieth."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op9_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents replicated so that all sources weigh the same."""
     return mixing.mix(table(spark, sf_dir, "documents")).drop("rate")
@@ -41,9 +53,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_media_columns": op2_media_columns,
     "op4_language_id": op4_language_id,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_topk_search": op8_topk_search,
     "op9_mixing_sources": op9_mixing_sources,
 }
 
 SQL: dict[str, str] = {
+    "op8_topk_search": topk.TOPK_SQL.format(vectors="embeddings"),
     "op9_mixing_sources": mixing.MIX_SQL.format(docs="documents") + "select * from mixed",
 }

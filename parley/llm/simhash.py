@@ -23,8 +23,6 @@ BITS, DISTANCE, SHINGLE, SEED = 64, 4, 4, 42
 SEGMENTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 #: Fingerprints of a bucket that are compared with each other; those of larger buckets link through shared balls instead.
 BUCKET = 512
-#: Bytes of text that are fingerprinted from one buffer.
-HELD_BYTES = 1 << 20
 
 
 def fingerprint(text: bytes) -> int:
