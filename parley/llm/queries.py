@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import langid, media, mixing, simhash, substring, topk
-from parley.llm.common import crc32_of, scratch_path, table
+from parley.llm import langid, media, mixing, quality, simhash, substring, topk
+from parley.llm.common import crc32_of, materialize, scratch_path, table
 
 
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,16 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; learned where crc32 of the id leaves a remainder other than 1."""
+    held_out = F.pmod(crc32_of("doc_id"), F.lit(3)) == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "text")
+    found, _ = materialize(quality.features(docs), "quality-features")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = quality.fit(found.where("not held_out").join(labels, "doc_id"))
+    return quality.score(found, model)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.components(table(spark, sf_dir, "documents"))
@@ -52,6 +62,7 @@ def op9_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_media_columns": op2_media_columns,
     "op4_language_id": op4_language_id,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_topk_search": op8_topk_search,
