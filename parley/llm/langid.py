@@ -21,6 +21,8 @@ BLOCK_BYTES = 512
 LEVEL = 5
 #: Texts of fewer bytes are searched harder: they have few matches to tell languages apart.
 SHORT_BYTES, SHORT_LEVEL = 128, 12
+#: Rows that are sent back at once.
+SLICE_ROWS = 512
 #: Least relative difference of the two best sizes.
 MIN_MARGIN = 0.01
 #: Bytes saved per e-fold of the score's odds.
@@ -90,22 +92,24 @@ def decide(langs: list[str], found: list[int]) -> tuple[str, float, float]:
     return langs[best], 1.0 / odds, margin
 
 
-def predict(docs: DataFrame, model: dict[str, bytes], min_margin: float = MIN_MARGIN, level: int = LEVEL) -> DataFrame:
+def predict(docs: DataFrame, model: dict[str, bytes], min_margin: float = MIN_MARGIN, level: int = LEVEL, with_text: bool = True) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (0 to 1), ``margin`` and ``accepted``; columns of these names are replaced.
 
     Only ``text`` is looked at, and all of it. A null text, one without a letter, and every text when
     no language was learned get ``und``, score 0, margin 0 and are not accepted. Equal texts get
-    equal values.
+    equal values. ``with_text`` false leaves the text out of the result, and so out of what Python
+    sends back.
     """
     langs, dictionaries = list(model), list(model.values())
     kept = [c for c in docs.columns if c.lower() not in ADDED]
-    docs = docs.select(*[F.col(f"`{c}`") for c in kept])
+    kept = [c for c in kept if with_text or c.lower() != "text"]
     lettered = F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")
-    framed = docs.withColumn("__bytes", F.when(lettered, F.lower("text").cast("binary")))
+    framed = docs.select(*[F.col(f"`{c}`") for c in kept], F.when(lettered, F.lower("text").cast("binary")).alias("__bytes"))
+    docs = docs.select(*[F.col(f"`{c}`") for c in kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         long, short = coders_of(dictionaries, level), coders_of(dictionaries, SHORT_LEVEL)
-        for batch in batches:
+        for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
             column = batch.column(batch.num_columns - 1)
             lang, score, margin = [], [], []
             for value in column:

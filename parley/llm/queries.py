@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import langid, media, mixing, quality, simhash, substring, topk
+from parley.llm import bpe, langid, media, mixing, quality, simhash, substring, topk
 from parley.llm.common import crc32_of, materialize, scratch_path, table
 
 
@@ -23,8 +23,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.pmod(crc32_of("doc_id"), F.lit(4)) == 2
     model = langid.fit(docs.where(~held_out))
-    found = langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
-    return found.drop("text")
+    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model, with_text=False)
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +58,15 @@ def op9_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("rate")
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of what they decode to."""
+    import public_tokenizers
+
+    tokenizer = bpe.Tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer)
+    return bpe.digests(bpe.decode(encoded, tokenizer))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_media_columns": op2_media_columns,
     "op4_language_id": op4_language_id,
@@ -67,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_substring_dedup": op7_substring_dedup,
     "op8_topk_search": op8_topk_search,
     "op9_mixing_sources": op9_mixing_sources,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 SQL: dict[str, str] = {
