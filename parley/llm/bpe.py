@@ -27,7 +27,8 @@ BLOCK_BYTES = 4 << 20
 CACHE_WORDS, SAMPLE_DOCS, CACHE_BYTES = 200_000, 16_384, 32
 #: A longer word is merged by a heap in Python: folding takes time in the square of the length.
 FOLD_BYTES = 64
-NONE = 1 << 30
+#: In place of a rank: the pair is no token.
+NONE = 1 << 16
 #: Pairs of primes: sizes of the hash map's two halves, tried in turn.
 SIZES = ((199_999, 260_011), (240_011, 180_001), (262_007, 229_981), (520_019, 399_989))
 # Fixed value: the Unicode White_Space characters, which \\s stands for in the tokenizer's pattern.
@@ -78,43 +79,47 @@ def let(value: Column, body) -> Column:
 
 
 def lookup(table: Column, sizes: tuple[int, int], left: Column, right: Column) -> Column:
-    """Rank of a pair, NONE if it is no token or a side is missing."""
+    """Rank of a pair of tokens, as a long; NONE if it is no token or the right side is missing."""
 
-    def find(key: Column) -> Column:
-        first = F.get(table, (key % F.lit(sizes[0])).cast("int"))
-        second = F.get(table, (key % F.lit(sizes[1])).cast("int") + F.lit(sizes[0]))
-        hit = lambda e: F.shiftright(e, 16) == key
-        rank = lambda e: e.bitwiseAND(F.lit(65535)).cast("int")
-        return let(first, lambda e: F.when(hit(e), rank(e)).otherwise(let(second, lambda s: F.when(hit(s), rank(s)).otherwise(F.lit(NONE)))))
-
-    key = left.cast("long") * F.lit(65536) + right
-    return F.when(right.isNull() | left.isNull(), F.lit(NONE)).otherwise(let(key, find))
+    # written out rather than bound to variables: arithmetic costs less here than a lambda
+    key = left * F.lit(65536) + right
+    first = F.get(table, (key % F.lit(sizes[0])).cast("int"))
+    second = F.get(table, (key % F.lit(sizes[1])).cast("int") + F.lit(sizes[0]))
+    low = F.lit(65535)
+    found = F.when(F.shiftright(first, 16) == key, first.bitwiseAND(low))
+    found = found.when(F.shiftright(second, 16) == key, second.bitwiseAND(low))
+    return found.otherwise(F.lit(NONE).cast("long"))
 
 
 def fold(table: Column, sizes: tuple[int, int], word: Column) -> Column:
-    """Token ids of a word given as the ids of its bytes."""
-    ranks = F.transform(word, lambda x, i: lookup(table, sizes, x, F.get(word, i + 1)))
-    start = F.struct(word.alias("ids"), ranks.alias("ranks"))
+    """Token ids of a word given as the ids of its bytes.
+
+    Each token is one long: the rank of the pair that it begins, its offset and its id. The least of
+    them is the pair to merge, leftmost among equals.
+    """
+    rank_of = lambda x: F.shiftright(x, 24)
+    id_of = lambda x: x.bitwiseAND(F.lit(65535))
+    offset_of = lambda x: x.bitwiseAND(F.lit(0xFF0000))
+
+    def token(left: Column, right: Column, offset: Column) -> Column:
+        return F.shiftleft(lookup(table, sizes, left, right), 24).bitwiseOR(offset).bitwiseOR(left)
 
-    def merge(acc: Column, rank: Column) -> Column:
-        ids, ranks = acc["ids"], acc["ranks"]
-        size = F.size(ids)
+    start = F.transform(word, lambda x, i: token(x.cast("long"), F.get(word, i + 1), F.shiftleft(i.cast("long"), 16)))
 
+    def merge(acc: Column, least: Column) -> Column:
         def at(p: Column) -> Column:  # p: where the pair begins, from 1
-            before, after = F.get(ids, p - 2), F.get(ids, p + 1)
-            new_ids = F.concat(F.slice(ids, F.lit(1), p - 1), F.array(rank), F.slice(ids, p + 2, size))
-            left = F.when(p > 1, F.array(lookup(table, sizes, before, rank))).otherwise(F.array().cast("array<int>"))
-            new_ranks = F.concat(
-                F.slice(ranks, F.lit(1), F.greatest(p - 2, F.lit(0))), left, F.array(lookup(table, sizes, rank, after)), F.slice(ranks, p + 2, size)
-            )
-            return F.struct(new_ids.alias("ids"), new_ranks.alias("ranks"))
+            before = F.get(acc, p - 2)
+            merged = token(rank_of(least), id_of(F.get(acc, p + 1)), offset_of(least))
+            rest = F.slice(acc, p + 2, F.lit(FOLD_BYTES))
+            ahead = F.concat(F.slice(acc, F.lit(1), p - 2), F.array(token(id_of(before), rank_of(least), offset_of(before)), merged), rest)
+            return F.when(p > 1, ahead).otherwise(F.concat(F.array(merged), rest))
 
-        return let(F.array_position(ranks, rank).cast("int"), at)
+        return let(F.array_position(acc, least).cast("int"), at)
 
     def step(acc: Column, _: Column) -> Column:
-        return let(F.array_min(acc["ranks"]), lambda rank: F.when(rank < NONE, merge(acc, rank)).otherwise(acc))
+        return let(F.array_min(acc), lambda least: F.when(rank_of(least) < NONE, merge(acc, least)).otherwise(acc))
 
-    return F.aggregate(word, start, step, lambda acc: acc["ids"])
+    return F.aggregate(word, start, step, lambda acc: F.transform(acc, lambda x: id_of(x).cast("int")))
 
 
 def folded(words: Column, sizes: tuple[int, int], table: list[int]) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, langid, media, mixing, quality, simhash, substring, topk
+from parley.llm import bpe, chat, langid, media, mixing, quality, simhash, substring, topk
 from parley.llm.common import crc32_of, materialize, scratch_path, table
 
 
@@ -18,6 +18,11 @@ def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.describe(media.load(spark, path))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maximal conversations of the log, rendered."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; learned where crc32 of the id leaves a remainder other than 2."""
     docs = table(spark, sf_dir, "documents")
@@ -69,6 +74,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_media_columns": op2_media_columns,
+    "op3_chat_formatting": op3_chat_formatting,
     "op4_language_id": op4_language_id,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op3_chat_formatting": chat.CHAT_SQL,
     "op8_topk_search": topk.TOPK_SQL.format(vectors="embeddings"),
     "op9_mixing_sources": mixing.MIX_SQL.format(docs="documents") + "select * from mixed",
 }
