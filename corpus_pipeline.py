@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import langid, mixing, simhash
+from parley.llm import bpe, langid, lines, mixing, simhash
 from parley.llm.common import crc32_of, materialize, table
 
 
@@ -15,6 +15,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).where("accepted").select(*docs.columns)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines whose like comes earlier in the corpus."""
+    return lines.deduplicate(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
     return simhash.deduplicate(docs)
@@ -25,10 +30,20 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return mixing.mix(docs).select(*docs.columns)
 
 
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, with digests of them and of what they decode to."""
+    import public_tokenizers
+
+    tokenizer = bpe.Tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decode(bpe.encode(docs, tokenizer), tokenizer), with_ids=True)
+
+
 STAGES = [
     ("language_id", language_id),
+    ("line_dedup", line_dedup),
     ("near_dedup", near_dedup),
     ("mixing", mixing_sources),
+    ("byte_bpe", byte_bpe),
 ]
 
 #: Compressed sizes, MinHash and merges are no SQL; tests hold the stages against brute-force versions.

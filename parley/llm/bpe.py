@@ -355,16 +355,19 @@ def decode(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, bytes binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of rows of ``decode``; ids count as little-endian unsigned 32-bit integers."""
+def digests(decoded: DataFrame, with_ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of rows of ``decode``, and the ids if asked for; ids count as little-endian unsigned 32-bit integers."""
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
         for batch in batches:
-            ids = [hashlib.sha256(x.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()).hexdigest() for x in batch.column(1)]
-            raw = [hashlib.sha256(x.as_py()).hexdigest() for x in batch.column(2)]
-            sizes = [len(x.values) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids), pa.array(raw)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            arrays = [x.values.to_numpy(zero_copy_only=False).astype("<u4") for x in batch.column(1)]
+            ids = pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in arrays], pa.string())
+            raw = pa.array([hashlib.sha256(x.as_py()).hexdigest() for x in batch.column(2)], pa.string())
+            columns = [batch.column(0), pa.array([len(x) for x in arrays], pa.int64()), ids, raw]
+            yield pa.RecordBatch.from_arrays([*columns, *[batch.column(1)] * with_ids], names)
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return decoded.where("ids is not null").mapInArrow(run, schema)

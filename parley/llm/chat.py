@@ -27,7 +27,7 @@ def snapshots(turns: DataFrame) -> DataFrame:
     clean = turns.where("conv_id is not null").select(F.col("conv_id"), F.coalesce("turn", F.lit(-1)).cast("long").alias("turn"), role.alias("role"), text.alias("text"))
     # repeated rows go before turns are gathered, so that a conversation logged many times under one id stays small
     once = clean.groupBy("conv_id", "turn", "role", "text").agg(F.lit(1).alias("one"))
-    body = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    body = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
     rows = once.groupBy("conv_id").agg(body.alias("body"))
     start = F.array().cast("array<string>")
 

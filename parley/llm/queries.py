@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, chat, langid, media, mixing, quality, simhash, substring, topk
+from parley.llm import bpe, chat, langid, lines, media, mixing, quality, simhash, substring, topk
 from parley.llm.common import crc32_of, materialize, scratch_path, table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines whose like comes earlier."""
+    return lines.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "n_chars", "text"))
+
+
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts stored as images in archives, read back and described."""
     path = scratch_path(spark, "media")
@@ -73,6 +78,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_media_columns": op2_media_columns,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_language_id": op4_language_id,
