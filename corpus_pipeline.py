@@ -35,7 +35,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     tokenizer = bpe.Tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(bpe.encode(docs, tokenizer), tokenizer), with_ids=True)
+    return bpe.round_trip(docs, tokenizer, with_ids=True)
 
 
 STAGES = [

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import json
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Words of the cache, documents in its sample, and bytes of a word it may hold: together they bound what is broadcast.
 CACHE_WORDS, SAMPLE_DOCS, CACHE_BYTES = 200_000, 16_384, 32
 #: A longer word is merged by a heap in Python: folding takes time in the square of the length.
@@ -192,8 +193,8 @@ class Tokenizer:
         return out
 
 
-def frequent_words(docs: DataFrame, tokenizer: Tokenizer, words: int = CACHE_WORDS, sample: int = SAMPLE_DOCS) -> dict[bytes, list[int]]:
-    """The most frequent words of a sample of distinct texts, of at most about ``sample`` documents, with their ids."""
+def frequent_words(docs: DataFrame, tokenizer: Tokenizer, words: int = CACHE_WORDS, sample: int = SAMPLE_DOCS) -> dict[bytes, bytes]:
+    """The most frequent words of a sample of texts, of about ``sample`` documents at most, with their ids as 16-bit integers."""
     share = min(1.0, sample / max(1, docs.count()))
     unit = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "text"), 11).cast("double") / F.lit(float(2**53))
     ranks, pattern = tokenizer.ranks, tokenizer.pattern
@@ -231,63 +232,68 @@ def frequent_words(docs: DataFrame, tokenizer: Tokenizer, words: int = CACHE_WOR
 
     spelt = top.mapInArrow(spell, "words array<binary>, spelt array<array<int>>")
     found = spelt.select("words", folded(F.col("spelt"), *tokenizer.pairs).alias("ids")).toArrow()
-    out: dict[bytes, list[int]] = {}
+    out: dict[bytes, bytes] = {}
     for words, ids in zip(found["words"], found["ids"], strict=True):
-        out.update(zip(words.as_py(), ids.as_py(), strict=True))
+        out.update(zip(words.as_py(), (struct.pack(f"<{len(i)}H", *i) for i in ids.as_py()), strict=True))
     return out
 
 
-def encode_blocks(docs: DataFrame, tokenizer: Tokenizer, cache: dict[bytes, list[int]]) -> DataFrame:
-    """Blocks of rows: ``keys`` (doc ids), ``counts`` and ``codes`` (of each row's ids; negative for a word of the block) and ``ids`` of the words."""
+class Index(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+def encode_blocks(docs: DataFrame, tokenizer: Tokenizer, cache: dict[bytes, bytes]) -> DataFrame:
+    """Blocks of rows: ``keys`` (doc ids), ``counts`` (of each row's words), ``codes`` (which of the block's words), and the words' ids.
+
+    ``lengths`` holds the number of ids of each word, and ``known`` those ids; where the length is -1,
+    the ids are the next element of ``ids``, which the fold has made.
+    """
     ranks, pattern = tokenizer.ranks, tokenizer.pattern
     first = [ranks[bytes([b])] for b in range(256)]
     held = docs.sparkSession.sparkContext.broadcast(cache)
+    names = ["keys", "counts", "codes", "lengths", "known", "words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        cut, known = splitter(pattern), held.value
+        cut, cached = splitter(pattern), held.value
         keys: list = []
-        counts: list[int] = []
-        codes: list[int] = []
-        seen: dict[str, tuple[int, ...]] = {}
-        unknown: list[list[int]] = []
-
-        def learn(word: str) -> tuple[int, ...]:
-            raw = word.encode("utf-8", "surrogatepass")
-            rank = ranks.get(raw)
-            if rank is not None:
-                out = (rank,)
-            elif raw in known:
-                out = tuple(known[raw])
-            elif len(raw) > FOLD_BYTES:
-                out = tuple(heap_merge(raw, ranks))
-            else:
-                unknown.append([first[b] for b in raw])
-                out = (-len(unknown),)
-            seen[word] = out
-            return out
+        codes: list = []
+        index = Index()
 
         def close() -> pa.RecordBatch:
-            arrays = [
-                pa.array([keys], pa.list_(pa.int64())),
-                pa.array([np.array(counts, "<i4").tobytes()], pa.binary()),
-                pa.array([np.array(codes, "<i4").tobytes()], pa.binary()),
-                pa.array([unknown], pa.list_(pa.list_(pa.int32()))),
-            ]
-            for x in (keys, counts, codes, seen, unknown):
+            lengths, known, words = np.empty(len(index), "<i4"), [], []
+            for i, word in enumerate(index):
+                raw = word.encode("utf-8", "surrogatepass")
+                rank = ranks.get(raw)
+                ids = struct.pack("<H", rank) if rank is not None else cached.get(raw)
+                if ids is None and len(raw) > FOLD_BYTES:
+                    long = heap_merge(raw, ranks)
+                    ids = struct.pack(f"<{len(long)}H", *long)
+                if ids is None:
+                    words.append([first[b] for b in raw])
+                    lengths[i] = -1
+                else:
+                    known.append(ids)
+                    lengths[i] = len(ids) // 2
+            counts = np.array([len(c) for c in codes], "<i4")
+            binary = [pa.array([x], pa.binary()) for x in (counts.tobytes(), np.concatenate(codes).tobytes(), lengths.tobytes(), b"".join(known))]
+            arrays = [pa.array([keys], pa.list_(pa.int64())), *binary, pa.array([words], pa.list_(pa.list_(pa.int32())))]
+            for x in (keys, codes, index):
                 x.clear()
-            return pa.RecordBatch.from_arrays(arrays, ["keys", "counts", "codes", "words"])
+            return pa.RecordBatch.from_arrays(arrays, names)
 
         size = 0
         for batch in batches:
-            for key, text in zip(batch.column(0), batch.column(1), strict=True):
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py() or ""
-                before = len(codes)
-                for word in cut(text):
-                    codes.extend(seen.get(word) or learn(word))
-                keys.append(key.as_py())
-                counts.append(len(codes) - before)
+                found = cut(text)
+                codes.append(np.fromiter(map(index.__getitem__, found), "<i4", len(found)))
+                keys.append(key)
                 size += len(text)
                 if size >= BLOCK_BYTES:
                     yield close()
@@ -296,30 +302,39 @@ def encode_blocks(docs: DataFrame, tokenizer: Tokenizer, cache: dict[bytes, list
             yield close()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    blocks = rows.mapInArrow(run, "keys array<bigint>, counts binary, codes binary, words array<array<int>>")
-    return blocks.select("keys", "counts", "codes", folded(F.col("words"), *tokenizer.pairs).alias("ids"))
+    blocks = rows.mapInArrow(run, "keys array<bigint>, counts binary, codes binary, lengths binary, known binary, words array<array<int>>")
+    return blocks.select(*names[:-1], folded(F.col("words"), *tokenizer.pairs).alias("ids"))
 
 
-def resolve(counts: bytes, codes: bytes, words: list[list[int]]) -> list:
-    """The id arrays of a block's rows."""
+def resolve(counts: bytes, codes: bytes, lengths: bytes, known: bytes, folded_ids: pa.ListArray) -> Iterator:
+    """The id array of each of a block's rows."""
     import numpy as np
 
-    counts, codes = np.frombuffer(counts, "<i4"), np.frombuffer(codes, "<i4")
-    ends = np.cumsum(counts)
-    if words:
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        flat = np.fromiter((i for w in words for i in w), np.int32, int(lengths.sum()))
-        starts = np.cumsum(lengths) - lengths
-        which = np.where(codes < 0, -codes - 1, 0)
-        width = np.where(codes < 0, lengths[which], 1)
-        total = np.cumsum(width)
-        out = np.repeat(np.where(codes < 0, 0, codes), width)
-        within = np.arange(len(out)) - np.repeat(total - width, width)
-        place = np.repeat(np.where(codes < 0, starts[which], -1), width)
-        out = np.where(place >= 0, flat[np.maximum(place, 0) + within * (place >= 0)], out)
-        ends = np.r_[0, total][ends]
-        codes = out
-    return np.split(codes.astype("<u4"), ends[:-1]) if len(counts) else []
+    counts, codes, lengths = np.frombuffer(counts, "<i4"), np.frombuffer(codes, "<i4"), np.frombuffer(lengths, "<i4").astype(np.int64)
+    fresh = lengths < 0
+    flat = folded_ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    own = folded_ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = lengths.copy()
+    sizes[fresh] = own
+    starts = np.zeros(len(sizes), np.int64)
+    starts[~fresh] = np.cumsum(sizes[~fresh]) - sizes[~fresh]
+    pool = np.concatenate([np.frombuffer(known, "<u2").astype(np.int64), flat])
+    starts[fresh] = np.cumsum(own) - own + len(known) // 2
+    at = 0
+    for count in counts.tolist():
+        these = codes[at : at + count]
+        at += count
+        width = sizes[these]
+        before = np.cumsum(width) - width
+        yield pool[np.repeat(starts[these] - before, width) + np.arange(int(width.sum()))].astype("<u4")
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(doc_id, ids) of the rows of blocks."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            binary = [batch.column(c)[i].as_py() for c in range(1, 5)]
+            yield from zip(batch.column(0)[i].values.to_pylist(), resolve(*binary, batch.column(5)[i].values), strict=True)
 
 
 def encode(docs: DataFrame, tokenizer: Tokenizer, cache_words: int = CACHE_WORDS) -> DataFrame:
@@ -328,46 +343,68 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, cache_words: int = CACHE_WORDS
     A null or empty text has none. Rows that repeat an id are encoded each; null ids are kept; other
     columns play no part; an empty table gives an empty result.
     """
+    return _encoded(docs, tokenizer, cache_words, lambda key, ids: (key, ids.astype("int32")), ["doc_id", "ids"], "doc_id long, ids array<int>")
+
+
+def _encoded(docs: DataFrame, tokenizer: Tokenizer, cache_words: int, row, names: list[str], schema: str) -> DataFrame:
     cache = frequent_words(docs, tokenizer, cache_words) if cache_words else {}
+    kinds = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+    types = [kinds[part.split()[1]] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for keys, counts, codes, words in zip(*batch.columns, strict=True):
-                found = resolve(counts.as_py(), codes.as_py(), words.as_py())
-                keys = keys.values
-                for at in range(0, len(found), 256):
-                    yield pa.RecordBatch.from_arrays([keys.slice(at, 256), pa.array([x.astype("int32") for x in found[at : at + 256]], pa.list_(pa.int32()))], ["doc_id", "ids"])
+        held: list[tuple] = []
+        size = 0
+
+        def close() -> pa.RecordBatch:
+            arrays = [pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True)]
+            held.clear()
+            return pa.RecordBatch.from_arrays(arrays, names)
+
+        for key, ids in _rows(batches):
+            held.append(row(key, ids))
+            size += len(ids)
+            if size > 1 << 19 or len(held) >= 4096:
+                yield close()
+                size = 0
+        if held:
+            yield close()
+
+    return encode_blocks(docs, tokenizer, cache).mapInArrow(run, schema)
+
 
-    return encode_blocks(docs, tokenizer, cache).mapInArrow(run, "doc_id long, ids array<int>")
+def joined(ids, pieces: list[bytes]) -> bytes:
+    """The pieces of an array of ids, one after another."""
+    return b"".join([pieces[i] for i in ids.tolist()])
 
 
 def decode(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
-    """``doc_id, ids, bytes``: the concatenated pieces of the ids; null ids decode to null, an id out of range raises."""
+    """``doc_id, bytes``: the concatenated pieces of the ``ids`` of each row; null ids decode to null, an id out of range raises."""
     pieces = tokenizer.pieces()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 keys, ids = batch.column(0).slice(at, 256), batch.column(1).slice(at, 256)
-                raw = [None if x is None else b"".join([pieces[i] for i in x]) for x in ids.to_pylist()]
-                yield pa.RecordBatch.from_arrays([keys, ids, pa.array(raw, pa.binary())], ["doc_id", "ids", "bytes"])
+                raw = [joined(x.values.to_numpy(zero_copy_only=False), pieces) if x.is_valid else None for x in ids]
+                yield pa.RecordBatch.from_arrays([keys, pa.array(raw, pa.binary())], ["doc_id", "bytes"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, bytes binary")
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary")
 
 
-def digests(decoded: DataFrame, with_ids: bool = False) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of rows of ``decode``, and the ids if asked for; ids count as little-endian unsigned 32-bit integers."""
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
+def round_trip(docs: DataFrame, tokenizer: Tokenizer, with_ids: bool = False, cache_words: int = CACHE_WORDS) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``, and the ids if asked for: every row encoded, and the ids decoded again.
 
-        for batch in batches:
-            arrays = [x.values.to_numpy(zero_copy_only=False).astype("<u4") for x in batch.column(1)]
-            ids = pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in arrays], pa.string())
-            raw = pa.array([hashlib.sha256(x.as_py()).hexdigest() for x in batch.column(2)], pa.string())
-            columns = [batch.column(0), pa.array([len(x) for x in arrays], pa.int64()), ids, raw]
-            yield pa.RecordBatch.from_arrays([*columns, *[batch.column(1)] * with_ids], names)
+    Digests are of the ids as little-endian unsigned 32-bit integers and of the decoded bytes. Rows
+    are as in ``encode``; ids and bytes stay in the task that made them.
+    """
+    import hashlib
 
+    pieces = tokenizer.pieces()
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return decoded.where("ids is not null").mapInArrow(run, schema)
+
+    def row(key: int | None, ids) -> tuple:
+        digests = (hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(joined(ids, pieces)).hexdigest())
+        return (key, len(ids), *digests, *[ids.astype("int32")] * with_ids)
+
+    return _encoded(docs, tokenizer, cache_words, row, names, schema)

@@ -73,8 +73,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     tokenizer = bpe.Tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer)
-    return bpe.digests(bpe.decode(encoded, tokenizer))
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
