@@ -23,9 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 8 << 20
 #: Words of the cache, documents in its sample, and bytes of a word it may hold: together they bound what is broadcast.
-CACHE_WORDS, SAMPLE_DOCS, CACHE_BYTES = 200_000, 16_384, 32
+CACHE_WORDS, SAMPLE_DOCS, CACHE_BYTES = 500_000, 32_768, 32
 #: A longer word is merged by a heap in Python: folding takes time in the square of the length.
 FOLD_BYTES = 64
 #: In place of a rank: the pair is no token.
@@ -83,7 +83,7 @@ def lookup(table: Column, sizes: tuple[int, int], left: Column, right: Column) -
     """Rank of a pair of tokens, as a long; NONE if it is no token or the right side is missing."""
 
     # written out rather than bound to variables: arithmetic costs less here than a lambda
-    key = left * F.lit(65536) + right
+    key = F.shiftleft(left, 16).bitwiseOR(right)
     first = F.get(table, (key % F.lit(sizes[0])).cast("int"))
     second = F.get(table, (key % F.lit(sizes[1])).cast("int") + F.lit(sizes[0]))
     low = F.lit(65535)
@@ -105,7 +105,7 @@ def fold(table: Column, sizes: tuple[int, int], word: Column) -> Column:
     def token(left: Column, right: Column, offset: Column) -> Column:
         return F.shiftleft(lookup(table, sizes, left, right), 24).bitwiseOR(offset).bitwiseOR(left)
 
-    start = F.transform(word, lambda x, i: token(x.cast("long"), F.get(word, i + 1), F.shiftleft(i.cast("long"), 16)))
+    start = F.transform(word, lambda x, i: token(x.cast("long"), F.get(word, i + 1).cast("long"), F.shiftleft(i.cast("long"), 16)))
 
     def merge(acc: Column, least: Column) -> Column:
         def at(p: Column) -> Column:  # p: where the pair begins, from 1
@@ -120,7 +120,7 @@ def fold(table: Column, sizes: tuple[int, int], word: Column) -> Column:
     def step(acc: Column, _: Column) -> Column:
         return let(F.array_min(acc), lambda least: F.when(rank_of(least) < NONE, merge(acc, least)).otherwise(acc))
 
-    return F.aggregate(word, start, step, lambda acc: F.transform(acc, lambda x: id_of(x).cast("int")))
+    return F.aggregate(F.slice(word, F.lit(2), F.lit(FOLD_BYTES)), start, step, lambda acc: F.transform(acc, lambda x: id_of(x).cast("int")))
 
 
 def folded(words: Column, sizes: tuple[int, int], table: list[int]) -> Column:
@@ -166,14 +166,57 @@ def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def splitter(pattern: str):
-    """Cuts a text into the pattern's matches. Texts of ASCII characters alone take the standard library's engine, which is faster."""
+    """Cuts a text into the pattern's matches. Texts of Latin-1 characters alone take the standard library's engine, which is faster."""
     import re
+    import unicodedata
 
     import regex
 
     outer = regex.compile(pattern.replace(r"[^\s", "[^" + WHITE).replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]"))
-    ascii_only = re.compile(pattern.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9").replace("?A-Za-z+", "?[A-Za-z]+").replace("?0-9+", "?[0-9]+"), re.ASCII)
-    return lambda text: (ascii_only if text.isascii() else outer).findall(text)
+    # the classes spelt out for the first 256 characters
+    low = [chr(i) for i in range(256)]
+    spelt = {kind: "".join(re.escape(c) for c in low if unicodedata.category(c)[0] == kind) for kind in "LN"}
+    white = "\t-\r \x85\xa0"
+    inner = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{white}{spelt['L']}{spelt['N']}]").replace(r"\p{L}", f"[{spelt['L']}]").replace(r"\p{N}", f"[{spelt['N']}]")
+    inner = re.compile(inner.replace(r"\S", f"[^{white}]").replace(r"\s", f"[{white}]"))
+    beyond = re.compile("[^\x00-\xff]").search
+    return lambda text: (outer if beyond(text) else inner).findall(text)
+
+
+class Cache:
+    """Ids of words, held in a few flat arrays: sorted hashes, and the words and ids that they stand for."""
+
+    def __init__(self, words: list[bytes], ids: list[bytes]) -> None:
+        import numpy as np
+        from xxhash import xxh3_64_intdigest as h64
+
+        hashes = np.fromiter(map(h64, words), np.uint64, len(words))
+        order = np.argsort(hashes).tolist()
+        self.hashes = hashes[order]
+        self.words, self.word_ends = self._flat([words[i] for i in order])
+        self.ids, self.id_ends = self._flat([ids[i] for i in order])
+
+    @staticmethod
+    def _flat(parts: list[bytes]):
+        import numpy as np
+
+        return b"".join(parts), np.cumsum([0, *map(len, parts)])
+
+    def find(self, words: list[bytes]) -> list[bytes | None]:
+        """The ids of each word, or None."""
+        import numpy as np
+        from xxhash import xxh3_64_intdigest as h64
+
+        if not len(self.hashes):
+            return [None] * len(words)
+        hashes = np.fromiter(map(h64, words), np.uint64, len(words))
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        out: list[bytes | None] = [None] * len(words)
+        for i in np.flatnonzero(self.hashes[at] == hashes).tolist():
+            k = at[i]
+            if self.words[self.word_ends[k] : self.word_ends[k + 1]] == words[i]:
+                out[i] = self.ids[self.id_ends[k] : self.id_ends[k + 1]]
+        return out
 
 
 class Tokenizer:
@@ -193,7 +236,7 @@ class Tokenizer:
         return out
 
 
-def frequent_words(docs: DataFrame, tokenizer: Tokenizer, words: int = CACHE_WORDS, sample: int = SAMPLE_DOCS) -> dict[bytes, bytes]:
+def frequent_words(docs: DataFrame, tokenizer: Tokenizer, words: int = CACHE_WORDS, sample: int = SAMPLE_DOCS) -> Cache:
     """The most frequent words of a sample of texts, of about ``sample`` documents at most, with their ids as 16-bit integers."""
     share = min(1.0, sample / max(1, docs.count()))
     unit = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "text"), 11).cast("double") / F.lit(float(2**53))
@@ -230,12 +273,14 @@ def frequent_words(docs: DataFrame, tokenizer: Tokenizer, words: int = CACHE_WOR
                     [pa.array([part.to_pylist()], pa.list_(pa.binary())), pa.array([spelt], pa.list_(pa.list_(pa.int32())))], ["words", "spelt"]
                 )
 
-    spelt = top.mapInArrow(spell, "words array<binary>, spelt array<array<int>>")
+    spelt = top.mapInArrow(spell, "words array<binary>, spelt array<array<int>>").repartition(32)
     found = spelt.select("words", folded(F.col("spelt"), *tokenizer.pairs).alias("ids")).toArrow()
-    out: dict[bytes, bytes] = {}
-    for words, ids in zip(found["words"], found["ids"], strict=True):
-        out.update(zip(words.as_py(), (struct.pack(f"<{len(i)}H", *i) for i in ids.as_py()), strict=True))
-    return out
+    known: list[bytes] = []
+    ids: list[bytes] = []
+    for some, folded_ids in zip(found["words"], found["ids"], strict=True):
+        known.extend(some.as_py())
+        ids.extend(struct.pack(f"<{len(i)}H", *i) for i in folded_ids.as_py())
+    return Cache(known, ids)
 
 
 class Index(dict):
@@ -246,7 +291,7 @@ class Index(dict):
         return number
 
 
-def encode_blocks(docs: DataFrame, tokenizer: Tokenizer, cache: dict[bytes, bytes]) -> DataFrame:
+def encode_blocks(docs: DataFrame, tokenizer: Tokenizer, cache: Cache) -> DataFrame:
     """Blocks of rows: ``keys`` (doc ids), ``counts`` (of each row's words), ``codes`` (which of the block's words), and the words' ids.
 
     ``lengths`` holds the number of ids of each word, and ``known`` those ids; where the length is -1,
@@ -267,10 +312,11 @@ def encode_blocks(docs: DataFrame, tokenizer: Tokenizer, cache: dict[bytes, byte
 
         def close() -> pa.RecordBatch:
             lengths, known, words = np.empty(len(index), "<i4"), [], []
-            for i, word in enumerate(index):
-                raw = word.encode("utf-8", "surrogatepass")
+            spelt = [word.encode() for word in index]
+            for i, (raw, ids) in enumerate(zip(spelt, cached.find(spelt), strict=True)):
                 rank = ranks.get(raw)
-                ids = struct.pack("<H", rank) if rank is not None else cached.get(raw)
+                if rank is not None:
+                    ids = struct.pack("<H", rank)
                 if ids is None and len(raw) > FOLD_BYTES:
                     long = heap_merge(raw, ranks)
                     ids = struct.pack(f"<{len(long)}H", *long)
@@ -347,7 +393,7 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, cache_words: int = CACHE_WORDS
 
 
 def _encoded(docs: DataFrame, tokenizer: Tokenizer, cache_words: int, row, names: list[str], schema: str) -> DataFrame:
-    cache = frequent_words(docs, tokenizer, cache_words) if cache_words else {}
+    cache = frequent_words(docs, tokenizer, cache_words) if cache_words else Cache([], [])
     kinds = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
     types = [kinds[part.split()[1]] for part in schema.split(", ")]
 
