@@ -39,7 +39,7 @@ def glm_calls(text: Column) -> Column:
     def call(body: Column) -> Column:
         keys = F.regexp_extract_all(body, F.lit(r"(?s)<arg_key>(.*?)</arg_key>"), F.lit(1))
         values = F.regexp_extract_all(body, F.lit(r"(?s)<arg_value>(.*?)</arg_value>"), F.lit(1))
-        return F.struct(F.trim(F.substring_index(body, "<arg_key>", 1)).alias("name"), F.to_json(F.map_from_arrays(keys, F.slice(values, F.lit(1), F.size(keys)))).alias("arguments"))
+        return F.struct(F.regexp_replace(F.substring_index(body, "<arg_key>", 1), r"^\s+|\s+$", "").alias("name"), F.to_json(F.map_from_arrays(keys, F.slice(values, F.lit(1), F.size(keys)))).alias("arguments"))
 
     return F.transform(bodies, call)
 

@@ -60,14 +60,14 @@ def decoupled(df: DataFrame, rewards: dict[str, float], group: str, name: str =
 
 def informative(df: DataFrame, reward: str, group: str) -> DataFrame:
     """Rows of the groups whose rewards differ."""
-    groups = df.groupBy(group).agg(F.stddev_samp(reward).alias("__std")).where("__std > 0").select(group)
+    groups = df.groupBy(group).agg(F.min(reward).alias("__low"), F.max(reward).alias("__high")).where("__low < __high").select(group)
     return df.join(groups, group, "left_semi")
 
 
 def reward_metrics(df: DataFrame, reward: str, group: str) -> DataFrame:
     """One row: mean of group means, mean of group deviations, share of groups without any."""
-    groups = df.groupBy(group).agg(F.avg(reward).alias("m"), F.coalesce(F.stddev_samp(reward), F.lit(0.0)).alias("s"))
-    return groups.agg(F.avg("m").alias("reward"), F.avg("s").alias("reward_std"), F.avg((F.col("s") == 0).cast("double")).alias("frac_zero_std"))
+    groups = df.groupBy(group).agg(F.avg(reward).alias("m"), F.coalesce(F.stddev_samp(reward), F.lit(0.0)).alias("s"), (F.min(reward) == F.max(reward)).alias("flat"))
+    return groups.agg(F.avg("m").alias("reward"), F.avg("s").alias("reward_std"), F.avg(F.col("flat").cast("double")).alias("frac_zero_std"))
 
 
 def scaled_scores(score: str, group: str) -> Column:
