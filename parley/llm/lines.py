@@ -1,10 +1,11 @@
 """Line dedup: fuzzy lines by MinHash, all in DataFrame operations.
 
-Every distinct line gets character shingles, hashed to 64 bits. Signatures are bottom-k sketches: a
-line's shingle hashes are dealt into classes by value, and the least few of a class are a band. Lines
-that share a band form a bucket. Each member is compared with the bucket's first line, and members of
-small buckets with all others, by the exact Jaccard similarity of their shingles. Distributed
-union-find joins what is similar, and of each component the line that comes first is kept.
+Every distinct line gets character shingles, hashed to 64 bits and sorted. The hashes' range is cut
+into equal parts; from the start of each part that is not empty, the next few hashes, the part's
+minima, make a band. Lines that share a band form a bucket. Each member is compared with the bucket's
+first line, and members of small buckets with all others, by the exact Jaccard similarity of their
+shingles. Distributed union-find joins what is similar, and of each component the line that comes
+first is kept.
 """
 
 from __future__ import annotations
@@ -16,35 +17,44 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import connected_components, materialize, remove
 
-#: A shingle starts at a word, or at every so many letters of a longer one, and reaches so far into the next.
-PIECE, AHEAD = 8, 4
+#: A shingle is a word, at most so long, and the letters that follow it, up to so far into the next word.
+PIECE, AHEAD = 16, 4
 SIMILARITY = 0.8
-#: Bands of a signature, hashes of a band, and hashes of the sketch they are taken from.
-BANDS, ROWS, SKETCH = 8, 4, 64
+#: Bands of a signature, as a power of two, and hashes of a band: lines of similarity 0.8 share one with probability 0.98.
+BAND_BITS, ROWS = 3, 4
 #: Members of a bucket that are all compared with each other.
 SMALL = 4
 
 
 def shingles(line: Column) -> Column:
-    """Sorted hashes of a line's character shingles; a line with no letter or digit is one shingle."""
-    pieces = F.regexp_extract_all(F.lower(line), F.lit(rf"[^\s\p{{P}}\p{{S}}]{{1,{PIECE}}}"), F.lit(0))
+    """Sorted hashes of a line's character shingles, one at each word.
 
-    def of(found: Column) -> Column:
-        hashes = F.transform(found, lambda p, i: F.xxhash64(p, F.substring(F.get(found, i + 1), 1, AHEAD)))
-        return F.when(F.size(found) > 0, F.sort_array(hashes)).otherwise(F.array(F.xxhash64(line)))
+    Words are what blanks separate; where words are long, as in scripts without blanks, they are
+    pieces of PIECE letters at most.
+    """
+    low = F.lower(line)
+
+    def of(words: Column) -> Column:
+        return F.sort_array(F.transform(words, lambda w, i: F.xxhash64(w, F.substring(F.get(words, i + 1), 1, AHEAD))))
+
+    def pieces(words: Column) -> Column:
+        short = F.size(words) * PIECE >= F.length(line)
+        return F.when(short, words).otherwise(F.regexp_extract_all(low, F.lit(rf"\S{{1,{PIECE // 2}}}"), F.lit(0)))
 
-    return F.element_at(F.transform(F.array(pieces), of), 1)
+    once = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)
+    return once(F.split(low, " "), lambda words: once(pieces(words), of))
 
 
-def bands(hashes: Column, bands: int = BANDS, rows: int = ROWS, sketch: int = SKETCH) -> Column:
-    """Keys of a signature: for each class of hashes that occurs in the sketch, one of its least few."""
+def bands(hashes: Column, bits: int = BAND_BITS, rows: int = ROWS) -> Column:
+    """Keys of a signature."""
 
-    def band(low: Column) -> Column:
-        own = lambda c: F.slice(F.filter(low, lambda h: F.pmod(h, F.lit(bands)) == c), 1, rows)
-        keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda c: F.element_at(F.transform(F.array(own(c)), lambda x: F.when(F.size(x) > 0, F.xxhash64(c, x))), 1))
-        return F.filter(keys, lambda k: k.isNotNull())
+    def of(held: Column) -> Column:
+        part = lambda x: F.shiftright(x, 64 - bits)
+        spots = F.sequence(F.lit(0), F.size(held) - 1)
+        starts = F.filter(spots, lambda i: (i == 0) | (part(F.get(held, i)) != part(F.get(held, i - 1))))
+        return F.transform(starts, lambda i: F.xxhash64(F.slice(held, i + 1, F.lit(rows))))
 
-    return F.element_at(F.transform(F.array(F.slice(hashes, 1, sketch)), band), 1)
+    return F.element_at(F.transform(F.array(hashes), of), 1)
 
 
 def exploded(docs: DataFrame) -> DataFrame:
