@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Words of the cache, documents in its sample, and bytes of a word it may hold: together they bound what is broadcast.
 CACHE_WORDS, SAMPLE_DOCS, CACHE_BYTES = 500_000, 32_768, 32
 #: A longer word is merged by a heap in Python: folding takes time in the square of the length.
@@ -256,7 +256,7 @@ def frequent_words(docs: DataFrame, tokenizer: Tokenizer, words: int = CACHE_WOR
         for batch in batches:
             for text in batch.column(0):
                 tally.update(cut(text.as_py()))
-                if len(tally) > 500_000:
+                if len(tally) > 100_000:
                     yield close()
         yield close()
 
@@ -418,20 +418,38 @@ def _encoded(docs: DataFrame, tokenizer: Tokenizer, cache_words: int, row, names
     return encode_blocks(docs, tokenizer, cache).mapInArrow(run, schema)
 
 
-def joined(ids, pieces: list[bytes]) -> bytes:
-    """The pieces of an array of ids, one after another."""
-    return b"".join([pieces[i] for i in ids.tolist()])
+class Decoder:
+    """Turns ids back into bytes: the pieces lie one after another, and are gathered by their places."""
+
+    def __init__(self, pieces: list[bytes]) -> None:
+        import numpy as np
+
+        self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
+        self.sizes = np.fromiter(map(len, pieces), np.int32, len(pieces))
+        self.starts = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
+
+    def joined(self, ids) -> bytes:
+        """The pieces of an array of ids, one after another; an id without a piece raises."""
+        import numpy as np
+
+        sizes = self.sizes[ids]
+        if not sizes.all():
+            raise ValueError("an id stands for no token")
+        ends = np.cumsum(sizes, dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        places = np.repeat(self.starts[ids] - (ends - sizes), sizes) + np.arange(total)
+        return self.bytes[places].tobytes()
 
 
 def decode(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """``doc_id, bytes``: the concatenated pieces of the ``ids`` of each row; null ids decode to null, an id out of range raises."""
-    pieces = tokenizer.pieces()
+    decoder = Decoder(tokenizer.pieces())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 keys, ids = batch.column(0).slice(at, 256), batch.column(1).slice(at, 256)
-                raw = [joined(x.values.to_numpy(zero_copy_only=False), pieces) if x.is_valid else None for x in ids]
+                raw = [decoder.joined(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else None for x in ids]
                 yield pa.RecordBatch.from_arrays([keys, pa.array(raw, pa.binary())], ["doc_id", "bytes"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary")
@@ -445,12 +463,12 @@ def round_trip(docs: DataFrame, tokenizer: Tokenizer, with_ids: bool = False, ca
     """
     import hashlib
 
-    pieces = tokenizer.pieces()
+    decoder = Decoder(tokenizer.pieces())
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
     def row(key: int | None, ids) -> tuple:
-        digests = (hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(joined(ids, pieces)).hexdigest())
+        digests = (hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoder.joined(ids)).hexdigest())
         return (key, len(ids), *digests, *[ids.astype("int32")] * with_ids)
 
     return _encoded(docs, tokenizer, cache_words, row, names, schema)
