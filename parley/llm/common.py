@@ -84,7 +84,6 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -29,30 +29,34 @@ SMALL = 4
 def shingles(line: Column) -> Column:
     """Sorted hashes of a line's character shingles, one at each word.
 
-    Words are what blanks separate; where words are long, as in scripts without blanks, they are
+    Letter case counts. Words are what blanks separate; where words are long, as in scripts without blanks, they are
     pieces of PIECE letters at most.
     """
-    low = F.lower(line)
-
     def of(words: Column) -> Column:
         return F.sort_array(F.transform(words, lambda w, i: F.xxhash64(w, F.substring(F.get(words, i + 1), 1, AHEAD))))
 
     def pieces(words: Column) -> Column:
         short = F.size(words) * PIECE >= F.length(line)
-        return F.when(short, words).otherwise(F.regexp_extract_all(low, F.lit(rf"\S{{1,{PIECE // 2}}}"), F.lit(0)))
+        return F.when(short, words).otherwise(F.regexp_extract_all(line, F.lit(rf"\S{{1,{PIECE // 2}}}"), F.lit(0)))
 
     once = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)
-    return once(F.split(low, " "), lambda words: once(pieces(words), of))
+    return once(F.split(line, " "), lambda words: once(pieces(words), of))
 
 
 def bands(hashes: Column, bits: int = BAND_BITS, rows: int = ROWS) -> Column:
     """Keys of a signature."""
 
     def of(held: Column) -> Column:
-        part = lambda x: F.shiftright(x, 64 - bits)
-        spots = F.sequence(F.lit(0), F.size(held) - 1)
-        starts = F.filter(spots, lambda i: (i == 0) | (part(F.get(held, i)) != part(F.get(held, i - 1))))
-        return F.transform(starts, lambda i: F.xxhash64(F.slice(held, i + 1, F.lit(rows))))
+        parts = F.transform(held, lambda x: F.shiftright(x, 64 - bits))
+
+        def key(part: Column, held_parts: Column) -> Column:
+            at = F.array_position(held_parts, part).cast("int")
+            return F.when(at > 0, F.xxhash64(F.slice(held, F.greatest(at, F.lit(1)), F.lit(rows))))
+
+        half = 1 << (bits - 1)
+        every = F.array(*[F.lit(c).cast("long") for c in range(-half, half)])
+        keys = F.element_at(F.transform(F.array(parts), lambda p: F.transform(every, lambda c: key(c, p))), 1)
+        return F.filter(keys, lambda k: k.isNotNull())
 
     return F.element_at(F.transform(F.array(hashes), of), 1)
 
@@ -60,7 +64,9 @@ def bands(hashes: Column, bits: int = BAND_BITS, rows: int = ROWS) -> Column:
 def exploded(docs: DataFrame) -> DataFrame:
     """``row`` (names a row by id and text), ``doc_id``, ``at`` and ``line`` of every line that is not blank; ``id`` is its hash."""
     key, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.xxhash64(key, text).alias("row"), key.alias("doc_id"), F.posexplode(F.split(text, "\n")).alias("at", "line"))
+    # the row's hash is made before the lines are exploded, and not again for each of them
+    rows = docs.select(F.xxhash64(key, text).alias("row"), key.alias("doc_id"), F.split(text, "\n").alias("lines"))
+    rows = rows.select("row", "doc_id", F.posexplode("lines").alias("at", "line"))
     return rows.where(F.trim("line") != "").withColumn("id", F.xxhash64("line"))
 
 
