@@ -46,3 +46,42 @@ def glm_calls(text: Column) -> Column:
 
 #: Readers by the name of the format.
 PARSERS = {"hermes": hermes_calls, "react": react_calls, "llama": llama_calls, "glm": glm_calls}
+
+
+def tagged_calls(text: Column, start: str, middle: str, end: str) -> Column:
+    """Calls written as start, name, middle, arguments, end; the marks are literal."""
+    import re
+
+    pattern = f"(?s){re.escape(start)}\\s*(.*?)\\s*{re.escape(middle)}\\s*(.*?)\\s*{re.escape(end)}"
+    names = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    arguments = F.regexp_extract_all(text, F.lit(pattern), F.lit(2))
+    return F.transform(F.arrays_zip(names.alias("n"), arguments.alias("a")), lambda c: F.struct(c["n"].alias("name"), c["a"].alias("arguments")))
+
+
+def listed_calls(text: Column, mark: str) -> Column:
+    """Calls written as a JSON list of objects with name and arguments after a mark; none where the mark is missing."""
+    body = F.substring_index(text, mark, -1)
+    made = F.from_json(body, "array<struct<name string, arguments string>>")
+    return F.when(F.contains(text, F.lit(mark)), F.coalesce(made, F.array().cast(f"array<{CALL}>"))).otherwise(F.array().cast(f"array<{CALL}>"))
+
+
+def nested_calls(text: Column) -> Column:
+    """'<function=name><parameter=key>value</parameter>...</function>'; the arguments become a JSON object of strings."""
+    bodies = F.regexp_extract_all(text, F.lit(r"(?s)<function=(.*?</function>)"), F.lit(1))
+
+    def call(body: Column) -> Column:
+        keys = F.regexp_extract_all(body, F.lit(r"(?s)<parameter=([^>]*)>\s*(.*?)\s*</parameter>"), F.lit(1))
+        values = F.regexp_extract_all(body, F.lit(r"(?s)<parameter=([^>]*)>\s*(.*?)\s*</parameter>"), F.lit(2))
+        return F.struct(F.substring_index(body, ">", 1).alias("name"), F.to_json(F.map_from_arrays(keys, values)).alias("arguments"))
+
+    return F.transform(bodies, call)
+
+
+# The marks of calls in public models' formats.
+TAGGED = {
+    "deepseek": ("<｜tool▁call▁begin｜>", "<｜tool▁sep｜>", "<｜tool▁call▁end｜>"),
+    "kimi": ("<|tool_call_begin|>", "<|tool_call_argument_begin|>", "<|tool_call_end|>"),
+    "qwen": ("✿FUNCTION✿:", "✿ARGS✿:", "\n"),
+}
+PARSERS |= {name: (lambda text, marks=marks: tagged_calls(text, *marks)) for name, marks in TAGGED.items()}
+PARSERS |= {"mistral": lambda text: listed_calls(text, "[TOOL_CALLS]"), "qwen_coder": nested_calls}
