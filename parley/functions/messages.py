@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from parley.functions.bind import bound
+
 #: The canonical type of a conversation.
 MESSAGES = "array<struct<role string, content string, loss boolean, loss_scale double>>"
 
@@ -71,9 +73,11 @@ def response(messages: Column) -> Column:
 
 def history_pairs(messages: Column) -> Column:
     """(query, response) pairs of the messages after a system message; an odd tail has a null response."""
-    body = F.filter(messages, lambda m: m["role"] != "system")
-    rounds = F.when(F.size(body) > 0, F.sequence(F.lit(0), F.floor((F.size(body) - 1) / 2).cast("int"))).otherwise(F.array().cast("array<int>"))
-    return F.transform(rounds, lambda i: F.struct(F.get(body, 2 * i)["content"].alias("query"), F.get(body, 2 * i + 1)["content"].alias("response")))
+    def of(body: Column) -> Column:
+        rounds = F.when(F.size(body) > 0, F.sequence(F.lit(0), F.floor((F.size(body) - 1) / 2).cast("int"))).otherwise(F.array().cast("array<int>"))
+        return F.transform(rounds, lambda i: F.struct(F.get(body, 2 * i)["content"].alias("query"), F.get(body, 2 * i + 1)["content"].alias("response")))
+
+    return bound(F.filter(messages, lambda m: m["role"] != "system"), of)
 
 
 def from_history(pairs: Column) -> Column:

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from parley.functions.bind import bound
+
 
 def format_reward(completion: Column) -> Column:
     """1 if the text is '<think>...</think>', blanks, '<answer>...</answer>' and nothing else."""
@@ -32,10 +34,14 @@ def cosine_reward(
 def repetition_reward(completion: Column, n: int = 3, max_penalty: float = -1.0) -> Column:
     """``max_penalty`` times the share of repeated word n-grams; 0 with fewer than n words."""
     words = F.filter(F.split(F.lower(completion), r"\s+"), lambda w: w != "")
-    count = F.size(words) - (n - 1)
-    grams = F.transform(F.sequence(F.lit(1), count), lambda i: F.array_join(F.slice(words, i, n), " "))
-    share = F.lit(1.0) - F.size(F.array_distinct(grams)) / count
-    return F.when(count >= 1, share * F.lit(max_penalty)).when(completion.isNotNull(), F.lit(0.0))
+
+    def of(held: Column) -> Column:
+        count = F.size(held) - (n - 1)
+        grams = F.transform(F.sequence(F.lit(1), count), lambda i: F.array_join(F.slice(held, i, n), " "))
+        share = F.lit(1.0) - F.size(F.array_distinct(grams)) / count
+        return F.when(count >= 1, share * F.lit(max_penalty)).otherwise(F.lit(0.0))
+
+    return F.when(completion.isNotNull(), bound(words, of))
 
 
 def overlong_reward(length: Column, max_length: int, cache: int) -> Column:

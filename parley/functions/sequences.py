@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from parley.functions.bind import bound
+
 #: Fixed value: the label of a token that is not trained on.
 IGNORE = -100
 
@@ -30,11 +32,15 @@ def truncated(ids: Column, size: int, protected: Column | None = None, side: str
     """At most ``size`` ids: protected ones stay, of the others those farthest from the cut-off ``side``."""
     if protected is None:
         return F.slice(ids, F.lit(1), F.lit(size)) if side == "right" else F.slice(ids, F.greatest(F.size(ids) - size + 1, F.lit(1)), F.lit(size))
-    kept = F.size(F.filter(ids, lambda i: F.array_contains(protected, i)))
-    room = F.greatest(F.lit(size) - kept, F.lit(0))
-    spots = F.filter(F.transform(ids, lambda i, k: F.when(F.array_contains(protected, i), F.lit(-1)).otherwise(k)), lambda k: k >= 0)
-    stay = F.slice(spots, F.lit(1), room) if side == "right" else F.slice(spots, F.greatest(F.size(spots) - room + 1, F.lit(1)), room)
-    return F.filter(ids, lambda i, k: F.array_contains(protected, i) | F.array_contains(stay, k))
+
+    def of(held: Column) -> Column:
+        kept = F.size(F.filter(held, lambda i: F.array_contains(protected, i)))
+        room = F.greatest(F.lit(size) - kept, F.lit(0))
+        spots = F.filter(F.transform(held, lambda i, k: F.when(F.array_contains(protected, i), F.lit(-1)).otherwise(k)), lambda k: k >= 0)
+        stay = bound(spots, lambda s: F.slice(s, F.lit(1), room) if side == "right" else F.slice(s, F.greatest(F.size(s) - room + 1, F.lit(1)), room))
+        return bound(stay, lambda s: F.filter(held, lambda i, k: F.array_contains(protected, i) | F.array_contains(s, k)))
+
+    return bound(ids, of)
 
 
 def positions(lengths: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from parley.functions.bind import bound
 from parley.functions.messages import last_user_round
 
 STRATEGIES = ("default", "last_round", "all")
@@ -22,7 +23,7 @@ def message_weight(message: Column, index: Column, last_round: Column, strategy:
 
 def conversation_weights(messages: Column, strategy: str = "default") -> Column:
     """A weight for each message of a conversation."""
-    return F.transform(messages, lambda m, i: message_weight(m, i, last_user_round(messages), strategy))
+    return bound(messages, lambda held: bound(last_user_round(held), lambda last: F.transform(held, lambda m, i: message_weight(m, i, last, strategy))))
 
 
 def split_by(text: Column, delimiters: list[str]) -> Column:

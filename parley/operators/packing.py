@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
+from parley.functions.bind import bound
 from parley.operators.algebra import numbered
 
 #: Rows of a shard that is packed in one go, and pool items that a query's negatives are drawn from by broadcast.
@@ -18,8 +19,12 @@ SHARD_ROWS, POOL_ROWS = 100_000, 10_000
 
 def chunks(tokens: Column, size: int) -> Column:
     """Consecutive slices of at most ``size`` tokens; none of an empty array."""
-    starts = F.when(F.size(tokens) > 0, F.sequence(F.lit(1), F.size(tokens), F.lit(size))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.slice(tokens, i, F.lit(size)))
+
+    def of(held: Column) -> Column:
+        starts = F.when(F.size(held) > 0, F.sequence(F.lit(1), F.size(held), F.lit(size))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.slice(held, i, F.lit(size)))
+
+    return bound(tokens, of)
 
 
 def truncated(tokens: Column, size: int, side: str = "right") -> Column:
