@@ -186,21 +186,21 @@ def splitter(pattern: str):
 class Cache:
     """Ids of words, held in a few flat arrays: sorted hashes, and the words and ids that they stand for."""
 
-    def __init__(self, words: list[bytes], ids: list[bytes]) -> None:
+    def __init__(self, words: pa.BinaryArray | None = None, ids: pa.ListArray | None = None) -> None:
+        """Words and their ids; all is moved in flat arrays, so the driver never holds an object for each word."""
         import numpy as np
         from xxhash import xxh3_64_intdigest as h64
 
-        hashes = np.fromiter(map(h64, words), np.uint64, len(words))
-        order = np.argsort(hashes).tolist()
+        words = pa.array([], pa.binary()) if words is None else words
+        ids = pa.array([], pa.list_(pa.int32())) if ids is None else ids
+        hashes = np.fromiter((h64(w.as_buffer()) for w in words), np.uint64, len(words))
+        order = np.argsort(hashes)
         self.hashes = hashes[order]
-        self.words, self.word_ends = self._flat([words[i] for i in order])
-        self.ids, self.id_ends = self._flat([ids[i] for i in order])
-
-    @staticmethod
-    def _flat(parts: list[bytes]):
-        import numpy as np
-
-        return b"".join(parts), np.cumsum([0, *map(len, parts)])
+        words, ids = words.take(pa.array(order)), ids.take(pa.array(order))
+        self.words = b"".join(w.as_buffer() for w in words)
+        self.word_ends = np.r_[0, np.cumsum([len(w.as_buffer()) for w in words], dtype=np.int64)].astype(np.int32)
+        self.ids = ids.flatten().to_numpy(zero_copy_only=False).astype("<u2").tobytes()
+        self.id_ends = np.r_[0, np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64) * 2].astype(np.int32)
 
     def find(self, words: list[bytes]) -> list[bytes | None]:
         """The ids of each word, or None."""
@@ -275,12 +275,8 @@ def frequent_words(docs: DataFrame, tokenizer: Tokenizer, words: int = CACHE_WOR
 
     spelt = top.mapInArrow(spell, "words array<binary>, spelt array<array<int>>").repartition(32)
     found = spelt.select("words", folded(F.col("spelt"), *tokenizer.pairs).alias("ids")).toArrow()
-    known: list[bytes] = []
-    ids: list[bytes] = []
-    for some, folded_ids in zip(found["words"], found["ids"], strict=True):
-        known.extend(some.as_py())
-        ids.extend(struct.pack(f"<{len(i)}H", *i) for i in folded_ids.as_py())
-    return Cache(known, ids)
+    words, ids = found["words"].combine_chunks(), found["ids"].combine_chunks()
+    return Cache(words.flatten(), ids.flatten()) if len(words) else Cache()
 
 
 class Index(dict):
@@ -295,7 +291,7 @@ def encode_blocks(docs: DataFrame, tokenizer: Tokenizer, cache: Cache) -> DataFr
     """Blocks of rows: ``keys`` (doc ids), ``counts`` (of each row's words), ``codes`` (which of the block's words), and the words' ids.
 
     ``lengths`` holds the number of ids of each word, and ``known`` those ids; where the length is -1,
-    the ids are the next element of ``ids``, which the fold has made.
+    the ids are the next element of ``ids``, which the fold has made. Binary columns are compressed.
     """
     ranks, pattern = tokenizer.ranks, tokenizer.pattern
     first = [ranks[bytes([b])] for b in range(256)]
@@ -305,7 +301,9 @@ def encode_blocks(docs: DataFrame, tokenizer: Tokenizer, cache: Cache) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        cut, cached = splitter(pattern), held.value
+        import zstandard as zstd
+
+        cut, cached, pack = splitter(pattern), held.value, zstd.ZstdCompressor(level=1).compress
         keys: list = []
         codes: list = []
         index = Index()
@@ -327,7 +325,7 @@ def encode_blocks(docs: DataFrame, tokenizer: Tokenizer, cache: Cache) -> DataFr
                     known.append(ids)
                     lengths[i] = len(ids) // 2
             counts = np.array([len(c) for c in codes], "<i4")
-            binary = [pa.array([x], pa.binary()) for x in (counts.tobytes(), np.concatenate(codes).tobytes(), lengths.tobytes(), b"".join(known))]
+            binary = [pa.array([x], pa.binary()) for x in map(pack, (counts.tobytes(), np.concatenate(codes).tobytes(), lengths.tobytes(), b"".join(known)))]
             arrays = [pa.array([keys], pa.list_(pa.int64())), *binary, pa.array([words], pa.list_(pa.list_(pa.int32())))]
             for x in (keys, codes, index):
                 x.clear()
@@ -377,9 +375,12 @@ def resolve(counts: bytes, codes: bytes, lengths: bytes, known: bytes, folded_id
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """(doc_id, ids) of the rows of blocks."""
+    import zstandard as zstd
+
+    unpack = zstd.ZstdDecompressor().decompress
     for batch in batches:
         for i in range(batch.num_rows):
-            binary = [batch.column(c)[i].as_py() for c in range(1, 5)]
+            binary = [unpack(batch.column(c)[i].as_py()) for c in range(1, 5)]
             yield from zip(batch.column(0)[i].values.to_pylist(), resolve(*binary, batch.column(5)[i].values), strict=True)
 
 
@@ -393,7 +394,7 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, cache_words: int = CACHE_WORDS
 
 
 def _encoded(docs: DataFrame, tokenizer: Tokenizer, cache_words: int, row, names: list[str], schema: str) -> DataFrame:
-    cache = frequent_words(docs, tokenizer, cache_words) if cache_words else Cache([], [])
+    cache = frequent_words(docs, tokenizer, cache_words) if cache_words else Cache()
     kinds = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
     types = [kinds[part.split()[1]] for part in schema.split(", ")]
 
