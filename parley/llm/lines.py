@@ -2,10 +2,10 @@
 
 Every distinct line gets character shingles, hashed to 64 bits and sorted. The hashes' range is cut
 into equal parts; from the start of each part that is not empty, the next few hashes, the part's
-minima, make a band. Lines that share a band form a bucket. Each member is compared with the bucket's
-first line, and members of small buckets with all others, by the exact Jaccard similarity of their
-shingles. Distributed union-find joins what is similar, and of each component the line that comes
-first is kept.
+minima, make a band. Lines that share a band form a bucket. All lines of a bucket are compared by the
+exact Jaccard similarity of their shingles, except where two are known to resemble its first line and
+so are joined already. Distributed union-find joins what is similar, and of each component the line
+that comes first is kept.
 """
 
 from __future__ import annotations
@@ -22,8 +22,10 @@ PIECE, AHEAD = 16, 4
 SIMILARITY = 0.8
 #: Bands of a signature, as a power of two, and hashes of a band: lines of similarity 0.8 share one with probability 0.98.
 BAND_BITS, ROWS = 3, 4
-#: Members of a bucket that are all compared with each other.
-SMALL = 4
+#: Members of a bucket that are all compared with each other at once, and of a tile of a larger bucket.
+SMALL, TILE = 4, 1000
+#: Words of 64 bits in a sketch that rules pairs of a large bucket out.
+WORDS = 4
 
 
 def shingles(line: Column) -> Column:
@@ -76,11 +78,57 @@ def released(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def sketch(hashes: Column) -> Column:
+    """WORDS words whose bits tell whether an even or odd number of hashes falls on them.
+
+    Sketches differ in at most as many bits as sets differ in members.
+    """
+    def word(k: int) -> Column:
+        own = F.filter(hashes, lambda h: h.bitwiseAND(F.lit(WORDS - 1)) == k)
+        bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 8).bitwiseAND(F.lit(63)).cast("int"))
+        return F.aggregate(own, F.lit(0).cast("long"), lambda held, h: held.bitwiseXOR(bit(h)))
+
+    return F.struct(*[word(k).alias(f"w{k}") for k in range(WORDS)])
+
+
+def alike(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """The ``pairs`` whose Jaccard similarity reaches ``threshold``."""
+    one, two = known.select(F.col("id").alias("u"), F.col("hashes").alias("hu")), known.select(F.col("id").alias("v"), F.col("hashes").alias("hv"))
+    both = F.size(F.array_intersect("hu", "hv"))
+    same = both >= F.lit(threshold) * F.size(F.array_union("hu", "hv"))
+    return pairs.join(one, "u").join(two, "v").where(same).select("u", "v")
+
+
+def others(members: DataFrame, edges: DataFrame, known: DataFrame, threshold: float) -> tuple[DataFrame, str]:
+    """Pairs, and where they are written, of buckets of more than SMALL lines that are not joined through the bucket's first line and may be alike.
+
+    Each line that does not resemble the first meets all others of its bucket, in tiles. Sizes and sketches rule out only what is not alike.
+    """
+    star = edges.select(F.col("u").alias("id"), F.col("v").alias("first"), F.lit(True).alias("hit"))
+    large = members.where(f"n > {SMALL}").join(star, ["id", "first"], "left")
+    large = large.withColumn("linked", (F.col("id") == F.col("first")) | F.col("hit").isNotNull()).select("key", "id", "n", "linked")
+    open_ = large.where("not linked").groupBy("key").agg(F.count("*").alias("loose"))
+    sides = large.join(open_, "key").join(known.select("id", F.size("hashes").alias("size"), "hashes"), "id")
+    sides = sides.select("key", "id", "linked", "size", sketch(F.col("hashes")).alias("s"), F.ceil(F.col("loose") / TILE).alias("tx"), F.ceil(F.col("n") / TILE).alias("ty"))
+    sides, sides_at = materialize(sides, "lines-sides")
+    last = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+    a = sides.where("not linked").select("*", F.pmod("id", "tx").alias("x"), F.explode(last("ty")).alias("y")).alias("a")
+    b = sides.select("*", F.pmod("id", "ty").alias("y"), F.explode(last("tx")).alias("x")).alias("b")
+    sizes = F.col("a.size") + F.col("b.size")
+    near = F.least("a.size", "b.size") >= F.lit(threshold) * F.greatest("a.size", "b.size") - 1e-6
+    bits = sum((F.bit_count(F.col(f"a.s.w{k}").bitwiseXOR(F.col(f"b.s.w{k}"))) for k in range(WORDS)), F.lit(0))
+    near = near & (bits <= sizes * ((1 - threshold) / (1 + threshold)) + 1e-6)
+    met = a.join(b, F.expr("a.key = b.key and a.x = b.x and a.y = b.y and a.id <> b.id and (b.linked or a.id > b.id)") & near)
+    pairs, pairs_at = materialize(met.select(F.greatest("a.id", "b.id").alias("u"), F.least("a.id", "b.id").alias("v")).distinct(), "lines-others")
+    remove(members.sparkSession, sides_at)
+    return pairs, pairs_at
+
+
 def similar(docs: DataFrame, lines: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """Pairs ``u``, ``v`` of ids of distinct lines whose shingle sets' Jaccard similarity reaches ``threshold``.
 
-    ``lines`` has an ``id``, the ``place`` of one occurrence and the ``keys`` of a signature; ``docs``
-    is where the places are.
+    Lines of a bucket that are alike are joined by a pair or by a chain of pairs. ``lines`` has an ``id``, the ``place``
+    of one occurrence and the ``keys`` of a signature; ``docs`` is where the places are.
     """
     spark = docs.sparkSession
     keyed = lines.select("id", F.explode("keys").alias("key"))
@@ -99,14 +147,16 @@ def similar(docs: DataFrame, lines: DataFrame, threshold: float = SIMILARITY) ->
     known = texts.groupBy("id").agg(F.first("line").alias("line"))  # a row may be repeated
     known, known_at = materialize(known.select("id", shingles(F.col("line")).alias("hashes")), "lines-known")
     released(spark)
-    one, two = known.select(F.col("id").alias("u"), F.col("hashes").alias("hu")), known.select(F.col("id").alias("v"), F.col("hashes").alias("hv"))
-    both = F.size(F.array_intersect("hu", "hv"))
-    same = both >= F.lit(threshold) * F.size(F.array_union("hu", "hv"))
-    edges, _ = materialize(pairs.join(one, "u").join(two, "v").where(same).select("u", "v"), "lines-edges")
-    for path in (buckets_at, members_at, pairs_at, wanted_at, known_at):
+    edges, edges_at = materialize(alike(pairs, known, threshold), "lines-edges")
+    for path in (buckets_at, pairs_at, wanted_at):
+        remove(spark, path)
+    released(spark)
+    more, more_at = others(members, edges, known, threshold)
+    found, _ = materialize(edges.union(alike(more, known, threshold)), "lines-alike")
+    for path in (members_at, known_at, edges_at, more_at):
         remove(spark, path)
     released(spark)
-    return edges
+    return found
 
 
 def repeated(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -137,10 +187,10 @@ def deduplicate(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     Lines are what line feeds separate. Two lines are alike if their shingle sets' Jaccard similarity
     reaches ``threshold``, or if a chain of such lines joins them; what comes first, by doc_id, then
     place, stays. Blank lines are never compared and always stay. Candidates come from bands, so alike
-    lines at the very threshold may be missed with a small probability; in buckets of more than SMALL
-    lines they are found through the bucket's first line or another band. A null text stays null.
-    A null id comes first. Rows that repeat id and text keep the same lines. Documents left without a
-    line stay, with an empty text. An empty table gives an empty result.
+    lines at the very threshold may be missed with a small probability; lines that share a band are
+    always found. A null text stays null. A null id comes first. Rows that repeat id and text keep the
+    same lines. Documents left without a line stay, with an empty text. An empty table gives an empty
+    result.
     """
     gone, _ = materialize(repeated(docs, threshold), "lines-gone")
     released(docs.sparkSession)
