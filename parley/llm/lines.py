@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import connected_components, materialize, remove
 
-#: A shingle is a word, at most so long, and the letters that follow it, up to so far into the next word.
-PIECE, AHEAD = 16, 4
+#: Characters of a shingle.
+WIDTH = 5
 SIMILARITY = 0.8
 #: Bands of a signature, as a power of two, and hashes of a band: lines of similarity 0.8 share one with probability 0.98.
 BAND_BITS, ROWS = 3, 4
@@ -29,20 +29,10 @@ WORDS = 4
 
 
 def shingles(line: Column) -> Column:
-    """Sorted hashes of a line's character shingles, one at each word.
-
-    Letter case counts. Words are what blanks separate; where words are long, as in scripts without blanks, they are
-    pieces of PIECE letters at most.
-    """
-    def of(words: Column) -> Column:
-        return F.sort_array(F.transform(words, lambda w, i: F.xxhash64(w, F.substring(F.get(words, i + 1), 1, AHEAD))))
-
-    def pieces(words: Column) -> Column:
-        short = F.size(words) * PIECE >= F.length(line)
-        return F.when(short, words).otherwise(F.regexp_extract_all(line, F.lit(rf"\S{{1,{PIECE // 2}}}"), F.lit(0)))
-
-    once = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)
-    return once(F.split(line, " "), lambda words: once(pieces(words), of))
+    """Sorted hashes of a line's character shingles, one at each position; a shorter line is one shingle. Letter case counts."""
+    every = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{WIDTH}}}))"), F.lit(1))
+    found = F.when(F.length(line) < WIDTH, F.array(line)).otherwise(every)
+    return F.sort_array(F.transform(found, lambda g: F.xxhash64(g)))
 
 
 def bands(hashes: Column, bits: int = BAND_BITS, rows: int = ROWS) -> Column:

@@ -29,3 +29,26 @@ def test_large_bucket(spark, monkeypatch):
             edit[i % 20] = word(rng)
             edits.append(" ".join(edit))
         assert kept(spark, [" ".join(words), *edits]) == {0}
+
+
+def grams(line):
+    return {line[i : i + 5] for i in range(max(1, len(line) - 4))}
+
+
+def jaccard(a, b):
+    a, b = grams(a), grams(b)
+    return len(a & b) / len(a | b)
+
+
+def test_one_letter_edits(spark):
+    """Similarities are those of overlapping 5-grams, and lines with one letter changed or put in are found, also without blanks."""
+    rng = random.Random(2)
+    pairs = []
+    for i in range(60):
+        line = word(rng, 90) if i % 2 else "".join(word(rng) for _ in range(24))
+        at = rng.randrange(3, 10)
+        pairs.append((line, line[:at] + "0" + line[at + i % 2 :]))
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", lines.shingles(lines.F.col("a")).alias("x"), lines.shingles(lines.F.col("b")).alias("y"))
+    for r in df.collect():
+        assert len(set(r["x"]) & set(r["y"])) / len({*r["x"], *r["y"]}) == jaccard(r["a"], r["b"]) >= 0.8
+    assert kept(spark, [x for pair in pairs for x in pair]) == {2 * i for i in range(60)}
