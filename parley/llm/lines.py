@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import connected_components, materialize, remove
 
-#: Characters of a shingle.
-WIDTH = 5
+#: Characters of a shingle, and what is taken out of a line before.
+WIDTH, DROPPED = 5, r"[\s\p{Z}\p{P}\p{S}&&[^\n]]+"
 SIMILARITY = 0.8
 #: Bands of a signature, as a power of two, and hashes of a band: lines of similarity 0.8 share one with probability 0.98.
 BAND_BITS, ROWS = 3, 4
@@ -29,7 +29,7 @@ WORDS = 4
 
 
 def shingles(line: Column) -> Column:
-    """Sorted hashes of a line's character shingles, one at each position; a shorter line is one shingle. Letter case counts."""
+    """Sorted hashes of a line's character shingles, one at each position; a shorter line is one shingle."""
     every = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{WIDTH}}}))"), F.lit(1))
     found = F.when(F.length(line) < WIDTH, F.array(line)).otherwise(every)
     return F.sort_array(F.transform(found, lambda g: F.xxhash64(g)))
@@ -54,10 +54,15 @@ def bands(hashes: Column, bits: int = BAND_BITS, rows: int = ROWS) -> Column:
 
 
 def exploded(docs: DataFrame) -> DataFrame:
-    """``row`` (names a row by id and text), ``doc_id``, ``at`` and ``line`` of every line that is not blank; ``id`` is its hash."""
+    """``row`` (names a row by id and text), ``doc_id``, ``at`` and ``line`` of every line that is not blank; ``id`` is its hash.
+
+    Lines are in lower case and without white space, punctuation and symbols; those that would have nothing left stay as they are.
+    """
     key, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))
-    # the row's hash is made before the lines are exploded, and not again for each of them
-    rows = docs.select(F.xxhash64(key, text).alias("row"), key.alias("doc_id"), F.split(text, "\n").alias("lines"))
+    folded = F.regexp_replace(F.lower(text), DROPPED, "")
+    lines = F.zip_with(F.split(text, "\n"), F.split(folded, "\n"), lambda raw, left: F.when(left == "", raw).otherwise(left))
+    # the row's hash and folded text are made before the lines are exploded, and not again for each of them
+    rows = docs.select(F.xxhash64(key, text).alias("row"), key.alias("doc_id"), lines.alias("lines"))
     rows = rows.select("row", "doc_id", F.posexplode("lines").alias("at", "line"))
     return rows.where(F.trim("line") != "").withColumn("id", F.xxhash64("line"))
 
@@ -176,9 +181,9 @@ def deduplicate(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
 
     Lines are what line feeds separate. Two lines are alike if their shingle sets' Jaccard similarity
     reaches ``threshold``, or if a chain of such lines joins them; what comes first, by doc_id, then
-    place, stays. Blank lines are never compared and always stay. Candidates come from bands, so alike
-    lines at the very threshold may be missed with a small probability; lines that share a band are
-    always found. A null text stays null. A null id comes first. Rows that repeat id and text keep the
+    place, stays. Letter case, white space, punctuation and symbols don't count, except in lines of nothing
+    else. Blank lines are never compared and always stay. Candidates come from bands, so alike lines at
+    the very threshold may be missed with a small probability; lines that share a band are always found. A null text stays null. A null id comes first. Rows that repeat id and text keep the
     same lines. Documents left without a line stay, with an empty text. An empty table gives an empty
     result.
     """

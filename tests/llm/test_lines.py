@@ -52,3 +52,10 @@ def test_one_letter_edits(spark):
     for r in df.collect():
         assert len(set(r["x"]) & set(r["y"])) / len({*r["x"], *r["y"]}) == jaccard(r["a"], r["b"]) >= 0.8
     assert kept(spark, [x for pair in pairs for x in pair]) == {2 * i for i in range(60)}
+
+
+def test_folding(spark):
+    """Lines that differ in case, white space, a carriage return, quotes or dashes are alike; lines of punctuation count as they are."""
+    line = "It's what they call a - so to say - well known case"
+    like = [line.upper(), line.replace(" ", "\t"), line.replace(" ", "  "), line + "\r", line.replace("'", "’").replace("-", "—"), line.replace(" ", " ")]
+    assert kept(spark, [line, *like, "ok then", "OK, then!\r", "---", "***", "---"]) == {0, 7, 9, 10}
