@@ -34,29 +34,83 @@ def truncated(tokens: Column, size: int, side: str = "right") -> Column:
     return F.slice(tokens, F.greatest(F.size(tokens) - size + 1, F.lit(1)), F.lit(size))
 
 
+def closes(used: float, n: float, capacity: int) -> bool:
+    """Whether the open pack is closed before a row of length ``n``."""
+    return used >= capacity or used + n > capacity
+
+
+def transitions(lengths: list, capacity: int) -> list[tuple]:
+    """What a shard makes of any open pack: ``least, packs, used``, the first that fits counts.
+
+    A pack that holds ``least`` or more is closed in the shard, which starts ``packs`` packs, the last of which holds
+    ``used``; without a ``least`` it is not closed, and ``used`` is added to it.
+    """
+    n = len(lengths)
+    ends: dict[int, tuple] = {n: (0, None)}
+
+    def end(start: int) -> tuple:
+        path = []
+        while start not in ends:
+            used, i = lengths[start], start + 1
+            while i < n and not closes(used, lengths[i], capacity):
+                used, i = used + lengths[i], i + 1
+            path.append((start, i, used))
+            start = i
+        for start, i, used in reversed(path):
+            packs, last = ends[i]
+            ends[start] = (packs + 1, used if last is None else last)
+        return ends[path[0][0]] if path else ends[start]
+
+    out, before, low = [], 0, None
+    for i, length in enumerate(lengths):
+        least = capacity - before - max(0, length - 1)
+        if low is None or least < low:
+            low = least
+            out.append((float(least), *end(i)))
+            if low <= 0:
+                return out
+        before += length
+    return [*out, (None, 0, before)]
+
+
 def next_fit(df: DataFrame, length: str, key: str, capacity: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """``pack_id`` by next-fit in key order: a pack is closed when it is full or the next row would not fit; a longer row is alone.
 
     Rows are numbered globally and packed in shards of ``shard_rows`` consecutive rows, so no task's
-    state grows with the table; up to so many rows, packs are those of one sequential pass.
+    state grows with the table. A first pass tells what each shard makes of any open pack, from which the pack that is
+    open at each shard's start follows: packs are those of one sequential pass. Lengths are whole numbers from 0.
     """
-    rows = numbered(df, [key], "__rn").withColumn("__shard", F.floor(F.col("__rn") / shard_rows))
+    rows = numbered(df, [key, length], "__rn").withColumn("__shard", F.floor(F.col("__rn") / shard_rows))
+
+    def told(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = transitions(pdf.sort_values("__rn", kind="stable")[length].tolist(), capacity)
+        return pd.DataFrame([(pdf["__shard"].iloc[0], i, *x) for i, x in enumerate(found)], columns=["shard", "i", "least", "packs", "used"])
+
+    # at most a row per place in a pack and shard
+    found = rows.select("__shard", "__rn", length).groupBy("__shard").applyInPandas(told, "shard long, i long, least double, packs long, used double")
+    shards: dict[int, list] = {}
+    for r in found.orderBy("shard", "i").toLocalIterator():
+        shards.setdefault(r["shard"], []).append(r)
+    pack, used, states = -1, float(capacity), []
+    for shard, choices in shards.items():
+        states.append((shard, pack, used))
+        r = next(r for r in choices if r["least"] is None or used >= r["least"])
+        pack, used = pack + r["packs"], used + r["used"] if r["least"] is None else r["used"]
+    # a row per shard
+    states = df.sparkSession.createDataFrame(states, "__s long, __pack long, __used double")
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("__rn", kind="stable")
-        used, pack, out = 0, 0, []
-        for n in pdf[length]:
-            if out and (used >= capacity or used + n > capacity):
+        pack, used, out = pdf["__pack"].iloc[0], pdf["__used"].iloc[0], []
+        for n in pdf[length].tolist():
+            if closes(used, n, capacity):
                 pack, used = pack + 1, 0
             used += n
             out.append(pack)
-        return pdf.assign(pack_id=out)
+        return pdf.assign(pack_id=out).drop(columns=["__pack", "__used", "__s"])
 
-    packed = rows.groupBy("__shard").applyInPandas(run, StructType([*rows.schema.fields, StructField("pack_id", LongType())]))
-    sizes = packed.groupBy("__shard").agg((F.max("pack_id") + 1).alias("__packs"))
-    # a row per shard
-    offsets = sizes.select(F.col("__shard").alias("__s"), F.coalesce(F.sum("__packs").over(Window.orderBy("__shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"))
-    joined = packed.join(F.broadcast(offsets), F.col("__shard") == F.col("__s"))
-    return joined.withColumn("pack_id", F.col("pack_id") + F.col("__offset")).drop("__rn", "__shard", "__s", "__offset")
+    joined = rows.join(F.broadcast(states), F.col("__shard") == F.col("__s"))
+    return joined.groupBy("__shard").applyInPandas(run, StructType([*rows.schema.fields, StructField("pack_id", LongType())])).drop("__rn", "__shard")
 
 
 def best_fit(df: DataFrame, length: str, key: str, capacity: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
