@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from parley.functions.bind import bound
 from parley.operators.algebra import numbered
 
-#: Rows of a shard that is packed in one go, and pool items that a query's negatives are drawn from by broadcast.
+#: Rows of a shard that is packed in one go, and pool items that a query's negatives are drawn from at once.
 SHARD_ROWS, POOL_ROWS = 100_000, 10_000
 
 
@@ -150,16 +150,21 @@ def rotate_in_batches(df: DataFrame, value: str, key: str, batch: int, name: str
 def negatives(queries: DataFrame, pool: DataFrame, key: str, item: str, allowed: Callable[[str, str], Column], n: int) -> DataFrame:
     """``n`` pool items per query in a hash order of their own, with their ``rank``; ``allowed`` says which pairs may be drawn.
 
-    The pool must not exceed POOL_ROWS items: it is collected once and ranked per query in place,
-    without a join.
+    The order is a hash of the pair, so every pair is looked at. A pool of at most POOL_ROWS items is collected once and
+    ranked per query in place, without a join; a larger one is joined in slices of so many, each of which leaves ``n`` items.
     """
     items = [r[0] for r in pool.select(item).limit(POOL_ROWS + 1).collect()]
     if len(items) > POOL_ROWS:
-        raise ValueError(f"the pool has more than {POOL_ROWS} items; sample it first")
+        slices = numbered(pool.select(item), [item], "__rn").groupBy(F.floor(F.col("__rn") / POOL_ROWS).alias("__slice"))
+        pairs = queries.crossJoin(slices.agg(F.collect_list(F.col(item).cast("long")).alias("__items")))
+    else:
+        pairs = queries.withColumn("__slice", F.lit(0)).withColumn("__items", F.array(*[F.lit(i).cast("long") for i in items]))
     drawn = F.transform(
-        F.array(*[F.lit(i).cast("long") for i in items]),
+        F.col("__items"),
         lambda i: F.struct(F.md5(F.concat(F.col(key).cast("string"), F.lit(":"), i.cast("string")).cast("binary")).alias("h"), i.alias("i")),
     )
-    rows = queries.select(key, F.explode(drawn).alias("d")).select(key, F.col("d.h").alias("h"), F.col("d.i").alias(item)).where(allowed(key, item))
-    best = rows.groupBy(key).agg(F.slice(F.sort_array(F.collect_list(F.struct("h", F.col(item).alias("i")))), 1, n).alias("best"))
+    rows = pairs.select(key, "__slice", F.explode(drawn).alias("d")).select(key, "__slice", F.col("d.h").alias("h"), F.col("d.i").alias(item)).where(allowed(key, item))
+    first = lambda x: F.slice(F.sort_array(x), 1, n)
+    best = rows.groupBy(key, "__slice").agg(first(F.collect_list(F.struct("h", F.col(item).alias("i")))).alias("best"))
+    best = best.groupBy(key).agg(first(F.flatten(F.collect_list("best"))).alias("best"))
     return best.select(key, F.posexplode("best").alias("p", "x")).select(key, F.col("x.i").alias(item), (F.col("p") + 1).cast("long").alias("rank"))

@@ -1,10 +1,12 @@
-"""Packing beyond one shard, against a sequential version."""
+"""Packing and negatives beyond one shard or pool, against sequential versions."""
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from parley.operators import packing
 
@@ -27,3 +29,12 @@ def test_packs_over_shards(spark, shard, longest):
     df = spark.createDataFrame(list(enumerate(lengths)), "id long, n long")
     found = {r["id"]: r["pack_id"] for r in packing.next_fit(df, "n", "id", 16, shard_rows=shard).collect()}
     assert [found[i] for i in range(300)] == sequential(lengths, 16)
+
+
+def test_pool_of_any_size(spark, monkeypatch):
+    """A pool beyond POOL_ROWS gives the items that one ranking of all pairs gives."""
+    monkeypatch.setattr(packing, "POOL_ROWS", 10)
+    pool = spark.range(57).withColumnRenamed("id", "item")
+    out = packing.negatives(spark.range(9), pool, "id", "item", lambda d, b: F.col(b) % 10 != F.col(d) % 10, 3).collect()
+    order = lambda d: sorted((b for b in range(57) if b % 10 != d % 10), key=lambda b: hashlib.md5(f"{d}:{b}".encode()).hexdigest())
+    assert sorted((r["id"], r["rank"], r["item"]) for r in out) == [(d, k + 1, order(d)[k]) for d in range(9) for k in range(3)]
