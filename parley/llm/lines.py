@@ -15,6 +15,7 @@ import gc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.functions.bind import bound
 from parley.llm.common import connected_components, materialize, remove
 
 #: Characters of a shingle, and what is taken out of a line before.
@@ -29,10 +30,10 @@ WORDS = 4
 
 
 def shingles(line: Column) -> Column:
-    """Sorted hashes of a line's character shingles, one at each position; a shorter line is one shingle."""
+    """Sorted distinct hashes of a line's character shingles, one at each position; a shorter line is one shingle."""
     every = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{WIDTH}}}))"), F.lit(1))
     found = F.when(F.length(line) < WIDTH, F.array(line)).otherwise(every)
-    return F.sort_array(F.transform(found, lambda g: F.xxhash64(g)))
+    return F.sort_array(F.array_distinct(F.transform(found, lambda g: F.xxhash64(g))))
 
 
 def bands(hashes: Column, bits: int = BAND_BITS, rows: int = ROWS) -> Column:
@@ -88,9 +89,10 @@ def sketch(hashes: Column) -> Column:
 
 def alike(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
     """The ``pairs`` whose Jaccard similarity reaches ``threshold``."""
-    one, two = known.select(F.col("id").alias("u"), F.col("hashes").alias("hu")), known.select(F.col("id").alias("v"), F.col("hashes").alias("hv"))
-    both = F.size(F.array_intersect("hu", "hv"))
-    same = both >= F.lit(threshold) * F.size(F.array_union("hu", "hv"))
+    one, two = known.select(F.col("id").alias("u"), F.col("line").alias("lu")), known.select(F.col("id").alias("v"), F.col("line").alias("lv"))
+    sets = F.struct(shingles(F.col("lu")).alias("u"), shingles(F.col("lv")).alias("v"))
+    # texts take less room in shuffles than the hashes, which are made here
+    same = bound(sets, lambda x: bound(F.size(F.array_intersect(x.u, x.v)), lambda n: n >= F.lit(threshold) * (F.size(x.u) + F.size(x.v) - n)))
     return pairs.join(one, "u").join(two, "v").where(same).select("u", "v")
 
 
@@ -103,8 +105,10 @@ def others(members: DataFrame, edges: DataFrame, known: DataFrame, threshold: fl
     large = members.where(f"n > {SMALL}").join(star, ["id", "first"], "left")
     large = large.withColumn("linked", (F.col("id") == F.col("first")) | F.col("hit").isNotNull()).select("key", "id", "n", "linked")
     open_ = large.where("not linked").groupBy("key").agg(F.count("*").alias("loose"))
-    sides = large.join(open_, "key").join(known.select("id", F.size("hashes").alias("size"), "hashes"), "id")
-    sides = sides.select("key", "id", "linked", "size", sketch(F.col("hashes")).alias("s"), F.ceil(F.col("loose") / TILE).alias("tx"), F.ceil(F.col("n") / TILE).alias("ty"))
+    loose = large.join(open_, "key")
+    drawn = bound(shingles(F.col("line")), lambda h: F.struct(F.size(h).alias("size"), sketch(h).alias("s")))
+    drawn = known.join(loose.select("id").distinct(), "id").select("id", drawn.alias("drawn"))
+    sides = loose.join(drawn, "id").select("key", "id", "linked", "drawn.*", F.ceil(F.col("loose") / TILE).alias("tx"), F.ceil(F.col("n") / TILE).alias("ty"))
     sides, sides_at = materialize(sides, "lines-sides")
     last = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
     a = sides.where("not linked").select("*", F.pmod("id", "tx").alias("x"), F.explode(last("ty")).alias("y")).alias("a")
@@ -140,7 +144,7 @@ def similar(docs: DataFrame, lines: DataFrame, threshold: float = SIMILARITY) ->
     wanted, wanted_at = materialize(lines.join(wanted, "id").select("id", "place.row", "place.at"), "lines-wanted")
     texts = exploded(docs).select("row", "at", "line").join(wanted, ["row", "at"])
     known = texts.groupBy("id").agg(F.first("line").alias("line"))  # a row may be repeated
-    known, known_at = materialize(known.select("id", shingles(F.col("line")).alias("hashes")), "lines-known")
+    known, known_at = materialize(known, "lines-known")
     released(spark)
     edges, edges_at = materialize(alike(pairs, known, threshold), "lines-edges")
     for path in (buckets_at, pairs_at, wanted_at):

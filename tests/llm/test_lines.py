@@ -59,3 +59,13 @@ def test_folding(spark):
     line = "It's what they call a - so to say - well known case"
     like = [line.upper(), line.replace(" ", "\t"), line.replace(" ", "  "), line + "\r", line.replace("'", "’").replace("-", "—"), line.replace(" ", " ")]
     assert kept(spark, [line, *like, "ok then", "OK, then!\r", "---", "***", "---"]) == {0, 7, 9, 10}
+
+
+def test_repeated_shingles(spark):
+    """Lines that differ only in how often shingles repeat have similarity 1 and the same bands."""
+    rng = random.Random(3)
+    units = [word(rng, 9) for _ in range(20)]
+    df = spark.createDataFrame([(u * 3, u * 4) for u in units], "a string, b string")
+    for r in df.select(*[lines.bands(lines.shingles(lines.F.col(c))).alias(c) for c in "ab"]).collect():
+        assert r["a"] == r["b"]
+    assert kept(spark, [x for u in units for x in (u * 3, u * 4)]) == {2 * i for i in range(20)}
