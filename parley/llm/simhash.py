@@ -21,8 +21,10 @@ from parley.llm.common import connected_components, materialize
 BITS, DISTANCE, SHINGLE, SEED = 64, 4, 4, 42
 #: Lowest bit and width of each segment of the ring.
 SEGMENTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
-#: Fingerprints of a bucket that are compared with each other; those of larger buckets link through shared balls instead.
-BUCKET = 512
+#: Fingerprints of a block: larger buckets are cut into blocks, which are compared two by two.
+BLOCK = 2048
+#: Fingerprints of a search's front that are compared at once.
+FRONT = 64
 
 
 def fingerprint(text: bytes) -> int:
@@ -79,85 +81,103 @@ def chain_keys(fps):
     return np.stack(out, 1).view(np.int64)
 
 
-def popcount(x):
-    """Set bits of each element of an unsigned array."""
+def linked(one, two, segment: int):
+    """Which of ``one`` link to which of ``two``, as index arrays: pairs that pass the chain from ``segment`` on, then the whole distance."""
     import numpy as np
 
-    return np.bitwise_count(x).astype(np.int16)
-
-
-def linked(fps, segment: int):
-    """Which pairs of a bucket pass the chain from ``segment`` on, then the whole distance: a square of booleans."""
-    import numpy as np
-
-    differ = fps[:, None] ^ fps[None, :]
-    spent = np.zeros(differ.shape, np.int16)
-    passed = np.ones(differ.shape, bool)
-    for length in range(1, len(SEGMENTS) + 1):
+    differ = one[:, None] ^ two[None, :]
+    # the first two segments of the chain on the whole square, the others on what is left of it
+    low, width = SEGMENTS[(segment + 1) % len(SEGMENTS)]
+    first, first_width = SEGMENTS[segment]
+    mask = np.uint64(((1 << width) - 1) << low | ((1 << first_width) - 1) << first)
+    i, j = np.nonzero(np.bitwise_count(differ & mask) <= DISTANCE * 2 // len(SEGMENTS))
+    left = differ[i, j]
+    for length in range(3, len(SEGMENTS) + 1):
         low, width = SEGMENTS[(segment + length - 1) % len(SEGMENTS)]
-        spent += popcount(differ & np.uint64(((1 << width) - 1) << low))
-        passed &= spent <= DISTANCE * length // len(SEGMENTS)
-        if not passed.any():
-            break
-    return passed & (popcount(differ) <= DISTANCE)
+        mask |= np.uint64(((1 << width) - 1) << low)
+        passed = np.bitwise_count(left & mask) <= DISTANCE * length // len(SEGMENTS)
+        i, j, left = i[passed], j[passed], left[passed]
+    near = np.bitwise_count(left) <= DISTANCE
+    return i[near], j[near]
+
 
+def forest(fps, blocks, segment: int):
+    """Edges, as two index arrays, that span the components of a tile: breadth first, so that what was reached is not compared again.
 
-def forest(adjacent):
-    """The smallest member's index in the component of each, by label spreading over a square of booleans."""
+    ``blocks`` tells which of the two blocks of the tile each fingerprint is from. Two fingerprints of one
+    block are compared only if the tile has no other, since that block has a tile of its own.
+    """
     import numpy as np
 
-    n = len(adjacent)
-    label = np.arange(n)
-    while True:
-        spread = np.where(adjacent, label[None, :], n).min(1)
-        spread = np.minimum(spread, label)
-        spread = spread[spread]
-        if (spread == label).all():
-            return label
-        label = spread
+    n, two = len(fps), bool(len(blocks)) and bool((blocks != blocks[0]).any())
+    waiting = np.ones(n, bool)
+    us, vs = [], []
+    for seed in range(n):
+        if not waiting[seed]:
+            continue
+        waiting[seed] = False
+        frontier = np.array([seed])
+        while len(frontier):
+            reached = []
+            for at in range(0, len(frontier), FRONT):
+                part = frontier[at : at + FRONT]
+                for own in {*blocks[part].tolist()} if two else (None,):
+                    mine = part if own is None else part[blocks[part] == own]
+                    rest = np.flatnonzero(waiting if own is None else waiting & (blocks != own))
+                    if not len(rest):
+                        continue
+                    i, j = linked(fps[mine], fps[rest], segment)
+                    j, at_first = np.unique(j, return_index=True)
+                    us.append(rest[j]), vs.append(mine[i[at_first]])
+                    waiting[rest[j]] = False
+                    reached.append(rest[j])
+            frontier = np.concatenate(reached) if reached else np.array([], int)
+    none = np.array([], int)
+    return np.concatenate(us or [none]), np.concatenate(vs or [none])
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of equal keys, sorted, of which at most BUCKET + 1 are held: edges of small buckets, ``u`` = ``v`` for members of large ones."""
+    """Edges of the tiles of rows ``key, x, y, block, fp``, sorted by the first three; one tile is held at a time."""
     import numpy as np
 
-    held_key, held, large, us, vs = None, [], False, [], []
+    held: list[tuple] = []
+    held_key = None
+    us, vs, size = [], [], 0
 
-    def close() -> None:
-        if large or len(held) < 2:
-            return
-        found = np.array(held, np.int64).view(np.uint64)
-        label = forest(linked(found, int(held_key) >> 40))
-        for i in np.flatnonzero(label != np.arange(len(label))):
-            us.append(held[i]), vs.append(held[label[i]])
+    def close() -> int:
+        fps, blocks = (np.concatenate(x) for x in zip(*held, strict=True))
+        if len(fps) < 2:
+            return 0
+        i, j = forest(fps.view(np.uint64), blocks, int(held_key[0]) >> 40)
+        us.append(fps[i]), vs.append(fps[j])
+        return len(i)
 
     def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+        none = np.array([], np.int64)
+        out = pa.RecordBatch.from_arrays([pa.array(np.concatenate(c or [none]), pa.int64()) for c in (us, vs)], ["u", "v"])
         us.clear(), vs.clear()
         return out
 
     for batch in batches:
-        keys, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.array([], int)
-        ends = np.r_[starts[1:], len(keys)]
-        # runs of one row that neither begin nor end the batch have no partner
-        alone = (ends - starts == 1) & (starts > 0) & (ends < len(keys))
+        if not batch.num_rows:
+            continue
+        key, x, y, blocks, fps = (batch.column(i).to_numpy() for i in range(5))
+        new = (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+        starts = np.flatnonzero(np.r_[True, new])
+        ends = np.r_[starts[1:], len(key)]
+        # tiles of one row that neither begin nor end the batch have no partner
+        alone = (ends - starts == 1) & (starts > 0) & (ends < len(key))
         for a, b in zip(starts[~alone].tolist(), ends[~alone].tolist(), strict=True):
-            if keys[a] != held_key:
-                close()
-                held_key, held, large = keys[a], [], False
-            run = fps[a:b].tolist()
-            if not large and len(held) + len(run) > BUCKET:
-                large = True
-                us.extend(held), vs.extend(held)
-                held = []
-            if large:
-                us.extend(run), vs.extend(run)
-            else:
-                held.extend(run)
-            if len(us) > 20_000:
-                yield flush()
-    close()
+            own = (key[a], x[a], y[a])
+            if own != held_key:
+                size += close() if held else 0
+                held_key, held = own, []
+            held.append((fps[a:b], blocks[a:b]))
+        if size > 20_000:
+            yield flush()
+            size = 0
+    if held:
+        close()
     yield flush()
 
 
@@ -166,44 +186,27 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         fps = batch.column(0).to_numpy()
-        for at in range(0, len(fps), 2000):
-            part = fps[at : at + 2000]
+        for at in range(0, len(fps), 500):
+            part = fps[at : at + 500]
             keys = chain_keys(part)
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(part, keys.shape[1]))], ["key", "fp"])
 
 
-def _balls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All words within half the distance of each fingerprint."""
-    import numpy as np
-
-    one = np.uint64(1) << np.arange(64, dtype=np.uint64)
-    a, b = np.triu_indices(64, 1)
-    flips = np.concatenate([np.zeros(1, np.uint64), one, one[a] | one[b]])
-    for batch in batches:
-        fps = batch.column(0).to_numpy().view(np.uint64)
-        for at in range(0, len(fps), 32):
-            part = fps[at : at + 32]
-            words = (part[:, None] ^ flips[None, :]).ravel().view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(np.repeat(part, len(flips)).view(np.int64))], ["word", "fp"])
-
-
 def link_fingerprints(fps: DataFrame) -> DataFrame:
     """Edges ``u``, ``v`` between distinct fingerprints ``fp`` that span the same components as all links do.
 
-    Buckets of up to BUCKET fingerprints are compared in place and give a spanning forest, not pairs.
-    Members of larger buckets, wherever a near-copy group is dense, meet in another way that is linear
-    in their number: two words differ in 4 or fewer bits just if some word lies within 2 bits of both,
-    so each emits its ball of 2081 words and is linked to the smallest that shares one.
+    A bucket of more than BLOCK fingerprints is cut into blocks by a hash, and every two of its blocks,
+    and each with itself, make a tile; a smaller one is a single tile. Each tile gives a spanning forest,
+    not pairs, so no task holds more than about two blocks and a dense group's tiles are dealt to many.
     """
     keyed = fps.select("fp").mapInArrow(_expand, "key long, fp long")
-    runs = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_scan, "u long, v long").distinct()
-    runs, _ = materialize(runs, "simhash-runs")
-    dense = runs.where("u = v").select(F.col("u").alias("fp"))
-    # evenly dealt before each row becomes thousands
-    words = dense.repartition("fp").mapInArrow(_balls, "word long, fp long")
-    least = words.groupBy("word").agg(F.min("fp").alias("v"), F.max("fp").alias("w")).where("v <> w").select("word", "v")
-    shared = words.join(least, "word").where("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
-    return runs.where("u <> v").union(shared)
+    large = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+    large, _ = materialize(large.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("cuts")), "simhash-large")
+    cut = keyed.join(large, "key", "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
+    cut = cut.select("key", "fp", "cuts", F.pmod(F.xxhash64("fp"), F.col("cuts")).cast("int").alias("block"))
+    tiles = cut.select("key", "fp", "block", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other"))
+    tiles = tiles.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "fp")
+    return tiles.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_scan, "u long, v long").distinct()
 
 
 def components(docs: DataFrame) -> DataFrame:

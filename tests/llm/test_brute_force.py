@@ -95,9 +95,9 @@ def fingerprint(text: str) -> int:
     return sum(1 << b for b in range(64) if 2 * counts[b] > len(shingles))
 
 
-@pytest.mark.parametrize("bucket", [simhash.BUCKET, 2])
-def test_op6(spark, data, texts, bucket, monkeypatch):
-    monkeypatch.setattr(simhash, "BUCKET", bucket)
+@pytest.mark.parametrize("block", [simhash.BLOCK, 2])
+def test_op6(spark, data, texts, block, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", block)
     prints = {d: fingerprint(t) for d, t in texts.items()}
     groups, ids = Sets(sorted(prints)), sorted(prints)
     for i, a in enumerate(ids):
@@ -109,7 +109,7 @@ def test_op6(spark, data, texts, bucket, monkeypatch):
 
 
 def test_simhash_dense_region(spark, monkeypatch):
-    """Random words around a few centres: chains and balls give the same components as all pairs."""
+    """Random words around a few centres: whole buckets and tiles of blocks give the same components as all pairs."""
     rng = np.random.default_rng(1)
     found = set()
     for c in rng.integers(0, 2**63, 5).tolist():
@@ -127,8 +127,8 @@ def test_simhash_dense_region(spark, monkeypatch):
                 groups.join(a, b)
     want = Counter(groups.find(w) for w in words)
     df = spark.createDataFrame([(w - (1 << 64) if w >> 63 else w,) for w in words], "fp long")
-    for bucket in (1000, 3):
-        monkeypatch.setattr(simhash, "BUCKET", bucket)
+    for block in (1000, 3):
+        monkeypatch.setattr(simhash, "BLOCK", block)
         out = simhash.connected_components(simhash.link_fingerprints(df)).collect()
         sizes = Counter(r["component"] for r in out)
         assert sorted(sizes.values()) == sorted(n for n in want.values() if n > 1)
