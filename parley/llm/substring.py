@@ -12,6 +12,7 @@ are shuffled, so a passage in very many documents costs a row for each of them a
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 from collections.abc import Iterator
 
@@ -19,14 +20,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import materialize, remove
+from parley.llm.common import joined, materialize, remove
 
 WINDOW, GRAM = 50, 8
+#: Bytes of text whose words are held at once, and rows that are sent on at once.
+PIECE_BYTES, ROWS_OUT = 1 << 20, 10_000
+BLANK = re.compile(rb"[\t-\r ]")
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Maximal runs without the six ASCII blanks."""
-    return text.split()
+def pieces(text: bytes, overlap: int, size: int = PIECE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """Of one text: its words (maximal runs without the six ASCII blanks) in pieces of about ``size`` bytes, each with the number of its first word.
+
+    The last ``overlap`` words of a piece come again at the start of the next, so a window of one
+    word more lies in exactly one piece, and no more than a piece's words are held at once.
+    """
+    at, first, carried = 0, 0, []
+    while True:
+        end = min(at + size, len(text))
+        cut = BLANK.search(text, end)
+        end = cut.start() if cut else len(text)
+        words = carried + text[at:end].split()
+        yield first, words
+        at = end
+        if at >= len(text):
+            return
+        carried = words[-overlap:] if overlap else []
+        first += len(words) - len(carried)
 
 
 def anchored(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> list[tuple[int, int, int]]:
@@ -112,18 +131,31 @@ def anchor_rows(rows: DataFrame, window: int, gram: int) -> DataFrame:
         out: list[list] = [[] for _ in names]
         for batch in batches:
             for doc, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                words = words_of(text.as_py())
-                for anchor, first, last in anchored(words, window, gram):
-                    one = (doc, row, anchor, *digest(words, first, last - first + window), first, last)
-                    for column, x in zip(out, one, strict=True):
-                        column.append(x)
-                if len(out[0]) > 20_000:
-                    yield _emit(out, names, kinds)
+                for start, words in pieces(text.as_py(), window - 1):
+                    for anchor, first, last in anchored(words, window, gram):
+                        one = (doc, row, anchor, *digest(words, first, last - first + window), start + first, start + last)
+                        for column, x in zip(out, one, strict=True):
+                            column.append(x)
+                    if len(out[0]) > ROWS_OUT:
+                        yield _emit(out, names, kinds)
             yield _emit(out, names, kinds)
 
     return rows.mapInArrow(run, "doc_id long, row long, anchor long, s1 long, s2 long, first int, last int")
 
 
+def ranges(spans: pa.ListScalar, widen: int = 0) -> list[tuple[int, int]]:
+    """Of a row's ``spans`` of first and last numbers: the ranges from the first to before last + 1 + ``widen``, merged and in order."""
+    import numpy as np
+
+    if not spans.is_valid or not len(spans.values):
+        return []
+    first, last = (spans.values.field(i).to_numpy().astype(np.int64) for i in range(2))
+    order = np.argsort(first, kind="stable")
+    first, end = first[order], np.maximum.accumulate(last[order] + 1 + widen)
+    starts = np.r_[0, np.flatnonzero(first[1:] > end[:-1]) + 1]
+    return list(zip(first[starts].tolist(), end[np.r_[starts[1:] - 1, len(end) - 1]].tolist(), strict=True))
+
+
 def window_rows(texts: DataFrame, window: int) -> DataFrame:
     """Every window of the ``spans`` of every text, with the hash ``w1, w2`` of its words."""
     names, kinds = ["doc_id", "row", "at", "w1", "w2"], [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
@@ -132,13 +164,18 @@ def window_rows(texts: DataFrame, window: int) -> DataFrame:
         out: list[list] = [[] for _ in names]
         for batch in batches:
             for doc, row, data, spans in zip(*(batch.column(i) for i in range(4)), strict=True):
-                words, doc, row = words_of(unpack(data.as_py())), doc.as_py(), row.as_py()
-                for s in spans.as_py():
-                    for i in range(s["first"], s["last"] + 1):
-                        for column, x in zip(out, (doc, row, i, *digest(words, i, window)), strict=True):
-                            column.append(x)
-                if len(out[0]) > 20_000:
-                    yield _emit(out, names, kinds)
+                wanted, doc, row = ranges(spans), doc.as_py(), row.as_py()
+                for start, words in pieces(unpack(data.as_py()), window - 1):
+                    while wanted and wanted[0][1] <= start:
+                        wanted.pop(0)
+                    for first, end in wanted:
+                        if first > start + len(words) - window:
+                            break
+                        for i in range(max(first, start), min(end, start + len(words) - window + 1)):
+                            for column, x in zip(out, (doc, row, i, *digest(words, i - start, window)), strict=True):
+                                column.append(x)
+                            if len(out[0]) > ROWS_OUT:
+                                yield _emit(out, names, kinds)
             yield _emit(out, names, kinds)
 
     return texts.mapInArrow(run, "doc_id long, row long, at int, w1 long, w2 long")
@@ -155,15 +192,13 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
         .where("least < most")
         .select("anchor", "least", (F.col("a") != F.col("b")).alias("differ"))
     )
-    shared, shared_at = materialize(shared, "substring-anchors")  # written, so that the join can split a hot anchor
-    met, _ = materialize(seeds.join(shared, "anchor"), "substring-met")
+    met, _ = materialize(joined(seeds, shared, ["anchor"]), "substring-met")
     remove(docs.sparkSession, seeds_at)
-    remove(docs.sparkSession, shared_at)
     # whole spans: where all documents at an anchor agree, the smallest of them decides
     whole = met.where("not differ and doc_id > least").select("row", "first", "last")
     unlike = met.where("differ").drop("least", "differ")
-    spans, _ = materialize(unlike.groupBy("anchor", "s1", "s2").agg(F.min("doc_id").alias("least")), "substring-spans")
-    spanned, _ = materialize(unlike.join(spans, ["anchor", "s1", "s2"]), "substring-spanned")
+    spans = unlike.groupBy("anchor", "s1", "s2").agg(F.min("doc_id").alias("least"))
+    spanned = joined(unlike, spans, ["anchor", "s1", "s2"])
     whole = whole.union(spanned.where("doc_id > least").select("row", "first", "last"))
     # window by window: the smallest document of each differing span stands for the others
     own = (
@@ -174,9 +209,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     texts = packed(rows).join(own, "row").select("doc_id", "row", "packed", "spans")
     windows, _ = materialize(window_rows(texts, window), "substring-windows")
     first = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    first, _ = materialize(first.drop("most"), "substring-first")
-    later = windows.join(first, ["w1", "w2"]).where("doc_id > least").select("row", F.col("at").alias("first"), F.col("at").alias("last"))
-    return whole.union(later)
+    later = joined(windows, first.drop("most"), ["w1", "w2"]).where("doc_id > least")
+    return whole.union(later.select("row", F.col("at").alias("first"), F.col("at").alias("last")))
 
 
 def deduplicate(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -198,12 +232,22 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
             out: list[list] = [[] for _ in names]
             size = 0
             for doc, data, spans in zip(*(batch.column(i) for i in range(3)), strict=True):
-                words = words_of(unpack(data.as_py()))
-                gone = bytearray(len(words))
-                for s in spans.as_py() or []:
-                    gone[s["first"] : s["last"] + window] = b"\1" * (s["last"] + window - s["first"])
-                kept = b" ".join(w for w, g in zip(words, gone, strict=True) if not g)
-                for column, x in zip(out, (doc.as_py(), len(words), sum(gone), kept.decode("utf-8", "replace")), strict=True):
+                gone, parts, count, removed = ranges(spans, window - 1), [], 0, 0
+                for start, words in pieces(unpack(data.as_py()), 0):
+                    count, at, left = start + len(words), 0, []
+                    while gone and gone[0][0] < count:
+                        first, end = max(gone[0][0] - start, 0), min(gone[0][1] - start, len(words))
+                        left += words[at:first]
+                        removed += end - first
+                        at = end
+                        if gone[0][1] > count:
+                            break
+                        gone.pop(0)
+                    left += words[at:]
+                    if left:
+                        parts.append(b" ".join(left))
+                kept = b" ".join(parts)
+                for column, x in zip(out, (doc.as_py(), count, removed, kept.decode("utf-8", "replace")), strict=True):
                     column.append(x)
                 size += len(kept)
                 if size > 4 << 20:
