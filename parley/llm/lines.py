@@ -1,8 +1,8 @@
 """Line dedup: fuzzy lines by MinHash, all in DataFrame operations.
 
-Every distinct line gets character shingles, hashed to 64 bits and sorted. The hashes' range is cut
-into equal parts; from the start of each part that is not empty, the next few hashes, the part's
-minima, make a band. Lines that share a band form a bucket. All lines of a bucket are compared by the
+Lines are reduced to distinct ones first, named by 128 bits of hash. Each gets character shingles, one
+at every position, hashed to 64 bits. The hashes' range is cut into equal parts; the least hashes of a
+part make a band. Lines that share a band form a bucket. All lines of a bucket are compared by the
 exact Jaccard similarity of their shingles, except where two are known to resemble its first line and
 so are joined already. Distributed union-find joins what is similar, and of each component the line
 that comes first is kept.
@@ -10,52 +10,66 @@ that comes first is kept.
 
 from __future__ import annotations
 
-import gc
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions.bind import bound
-from parley.llm.common import connected_components, materialize, remove
+from parley.llm.common import connected_components, held, joined, materialize, remove, unpacked
 
 #: Characters of a shingle, and what is taken out of a line before.
 WIDTH, DROPPED = 5, r"[\s\p{Z}\p{P}\p{S}&&[^\n]]+"
 SIMILARITY = 0.8
-#: Bands of a signature, as a power of two, and hashes of a band: lines of similarity 0.8 share one with probability 0.98.
+#: Bands of a signature, as a power of two, and hashes of a band.
 BAND_BITS, ROWS = 3, 4
+#: Hashes of a line that are looked at for its bands, on average and a part's share of them three times what a band takes.
+LOOKED_AT = 3 * ROWS << BAND_BITS
 #: Members of a bucket that are all compared with each other at once, and of a tile of a larger bucket.
 SMALL, TILE = 4, 1000
 #: Words of 64 bits in a sketch that rules pairs of a large bucket out.
 WORDS = 4
 
 
+def hashes(line: Column) -> Column:
+    """Hashes of a line's character shingles, one at each position and repeats included; a shorter line is one shingle."""
+    # four bytes a character, so that a shingle is found by its place and not by counting from the start
+    unit = 4
+    places = lambda raw: F.sequence(F.lit(1), F.greatest(F.length(raw) - unit * WIDTH + 1, F.lit(1)), F.lit(unit))
+    return bound(F.encode(line, "UTF-32"), lambda raw: F.transform(places(raw), lambda i: F.xxhash64(raw.substr(i, F.lit(unit * WIDTH)))))
+
+
 def shingles(line: Column) -> Column:
-    """Sorted distinct hashes of a line's character shingles, one at each position; a shorter line is one shingle."""
-    every = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{WIDTH}}}))"), F.lit(1))
-    found = F.when(F.length(line) < WIDTH, F.array(line)).otherwise(every)
-    return F.sort_array(F.array_distinct(F.transform(found, lambda g: F.xxhash64(g))))
+    """The distinct ``hashes``."""
+    return F.array_distinct(hashes(line))
 
 
-def bands(hashes: Column, bits: int = BAND_BITS, rows: int = ROWS) -> Column:
-    """Keys of a signature."""
+def bands(found: Column, bits: int = BAND_BITS, rows: int = ROWS) -> Column:
+    """Keys of a signature, of a line's shingle hashes.
+
+    A band begins at the least hash of a part and takes the next ``rows`` numbers, of which the border
+    to the next part is one. Parts without a hash give none.
+    """
+    half, low = 1 << (bits - 1), (1 << (64 - bits)) - 1
+    borders = [F.lit(c << (64 - bits)).cast("long") for c in range(-half, half)]
 
-    def of(held: Column) -> Column:
-        parts = F.transform(held, lambda x: F.shiftright(x, 64 - bits))
+    def of(x: Column) -> Column:
+        limit = F.when(F.size(x) > LOOKED_AT, (F.lit(float(low)) * LOOKED_AT / F.size(x)).cast("long")).otherwise(F.lit(low))
+        few = bound(limit, lambda most: F.filter(x, lambda h: h.bitwiseAND(F.lit(low)) <= most))
 
-        def key(part: Column, held_parts: Column) -> Column:
-            at = F.array_position(held_parts, part).cast("int")
-            return F.when(at > 0, F.xxhash64(F.slice(held, F.greatest(at, F.lit(1)), F.lit(rows))))
+        def keys(line: Column) -> Column:
+            def key(border: Column, following: Column | None) -> Column:
+                at = F.array_position(line, border).cast("int")
+                empty = F.get(line, at).isNull() if following is None else F.get(line, at) == following
+                return F.when(~empty, F.xxhash64(F.slice(line, at, F.lit(rows + 1))))
 
-        half = 1 << (bits - 1)
-        every = F.array(*[F.lit(c).cast("long") for c in range(-half, half)])
-        keys = F.element_at(F.transform(F.array(parts), lambda p: F.transform(every, lambda c: key(c, p))), 1)
-        return F.filter(keys, lambda k: k.isNotNull())
+            return F.filter(F.array(*map(key, borders, [*borders[1:], None])), lambda k: k.isNotNull())
 
-    return F.element_at(F.transform(F.array(hashes), of), 1)
+        return bound(F.sort_array(F.concat(F.array_distinct(few), F.array(*borders))), keys)
+
+    return bound(found, of)
 
 
 def exploded(docs: DataFrame) -> DataFrame:
-    """``row`` (names a row by id and text), ``doc_id``, ``at`` and ``line`` of every line that is not blank; ``id`` is its hash.
+    """Of every line that is not blank: ``row`` (names a row by its text) and ``doc_id``, ``at``, ``line``, and ``h1, h2``, the line's hash.
 
     Lines are in lower case and without white space, punctuation and symbols; those that would have nothing left stay as they are.
     """
@@ -63,26 +77,26 @@ def exploded(docs: DataFrame) -> DataFrame:
     folded = F.regexp_replace(F.lower(text), DROPPED, "")
     lines = F.zip_with(F.split(text, "\n"), F.split(folded, "\n"), lambda raw, left: F.when(left == "", raw).otherwise(left))
     # the row's hash and folded text are made before the lines are exploded, and not again for each of them
-    rows = docs.select(F.xxhash64(key, text).alias("row"), key.alias("doc_id"), lines.alias("lines"))
+    rows = docs.select(F.xxhash64(text).alias("row"), key.alias("doc_id"), lines.alias("lines"))
     rows = rows.select("row", "doc_id", F.posexplode("lines").alias("at", "line"))
-    return rows.where(F.trim("line") != "").withColumn("id", F.xxhash64("line"))
+    return rows.where(F.trim("line") != "").select("*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"))
 
 
-def released(spark: SparkSession) -> None:
-    """Ask the driver to let go of shuffle files of queries that are over."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def distinct_lines(found: DataFrame) -> DataFrame:
+    """Each distinct line of ``exploded``: the ``place`` of the first occurrence, their number ``n``, and the line."""
+    place = F.struct("doc_id", "at", "row")
+    return found.groupBy("h1", "h2").agg(F.min(place).alias("place"), F.count("*").alias("n"), F.first("line").alias("line"))
 
 
-def sketch(hashes: Column) -> Column:
+def sketch(found: Column) -> Column:
     """WORDS words whose bits tell whether an even or odd number of hashes falls on them.
 
     Sketches differ in at most as many bits as sets differ in members.
     """
     def word(k: int) -> Column:
-        own = F.filter(hashes, lambda h: h.bitwiseAND(F.lit(WORDS - 1)) == k)
+        own = F.filter(found, lambda h: h.bitwiseAND(F.lit(WORDS - 1)) == k)
         bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 8).bitwiseAND(F.lit(63)).cast("int"))
-        return F.aggregate(own, F.lit(0).cast("long"), lambda held, h: held.bitwiseXOR(bit(h)))
+        return F.aggregate(own, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
 
     return F.struct(*[word(k).alias(f"w{k}") for k in range(WORDS)])
 
@@ -105,14 +119,14 @@ def others(members: DataFrame, edges: DataFrame, known: DataFrame, threshold: fl
     large = members.where(f"n > {SMALL}").join(star, ["id", "first"], "left")
     large = large.withColumn("linked", (F.col("id") == F.col("first")) | F.col("hit").isNotNull()).select("key", "id", "n", "linked")
     open_ = large.where("not linked").groupBy("key").agg(F.count("*").alias("loose"))
-    loose = large.join(open_, "key")
+    loose = joined(large, open_, ["key"])
     drawn = bound(shingles(F.col("line")), lambda h: F.struct(F.size(h).alias("size"), sketch(h).alias("s")))
     drawn = known.join(loose.select("id").distinct(), "id").select("id", drawn.alias("drawn"))
     sides = loose.join(drawn, "id").select("key", "id", "linked", "drawn.*", F.ceil(F.col("loose") / TILE).alias("tx"), F.ceil(F.col("n") / TILE).alias("ty"))
     sides, sides_at = materialize(sides, "lines-sides")
     last = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
-    a = sides.where("not linked").select("*", F.pmod("id", "tx").alias("x"), F.explode(last("ty")).alias("y")).alias("a")
-    b = sides.select("*", F.pmod("id", "ty").alias("y"), F.explode(last("tx")).alias("x")).alias("b")
+    a = sides.where("not linked").select("*", F.pmod(F.xxhash64("id"), "tx").alias("x"), F.explode(last("ty")).alias("y")).alias("a")
+    b = sides.select("*", F.pmod(F.xxhash64("id"), "ty").alias("y"), F.explode(last("tx")).alias("x")).alias("b")
     sizes = F.col("a.size") + F.col("b.size")
     near = F.least("a.size", "b.size") >= F.lit(threshold) * F.greatest("a.size", "b.size") - 1e-6
     bits = sum((F.bit_count(F.col(f"a.s.w{k}").bitwiseXOR(F.col(f"b.s.w{k}"))) for k in range(WORDS)), F.lit(0))
@@ -123,61 +137,48 @@ def others(members: DataFrame, edges: DataFrame, known: DataFrame, threshold: fl
     return pairs, pairs_at
 
 
-def similar(docs: DataFrame, lines: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+def similar(lines: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """Pairs ``u``, ``v`` of ids of distinct lines whose shingle sets' Jaccard similarity reaches ``threshold``.
 
-    Lines of a bucket that are alike are joined by a pair or by a chain of pairs. ``lines`` has an ``id``, the ``place``
-    of one occurrence and the ``keys`` of a signature; ``docs`` is where the places are.
+    Lines of a bucket that are alike are joined by a pair or by a chain of pairs. ``lines`` has an ``id``,
+    the ``line`` and the ``keys`` of its signature.
     """
-    spark = docs.sparkSession
+    spark = lines.sparkSession
     keyed = lines.select("id", F.explode("keys").alias("key"))
     buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
-    buckets, buckets_at = materialize(buckets, "lines-buckets")
-    released(spark)
-    members, members_at = materialize(keyed.join(buckets, "key"), "lines-members")
-    released(spark)
+    members, members_at = materialize(joined(keyed, buckets, ["key"]), "lines-members")
     star = members.where("id <> first").select(F.col("id").alias("u"), F.col("first").alias("v"))
     few = members.where(f"n between 3 and {SMALL}").select("key", "id")
     each = few.alias("a").join(few.alias("b"), F.expr("a.key = b.key and a.id > b.id")).select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
     pairs, pairs_at = materialize(star.union(each).distinct(), "lines-pairs")
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-    wanted, wanted_at = materialize(lines.join(wanted, "id").select("id", "place.row", "place.at"), "lines-wanted")
-    texts = exploded(docs).select("row", "at", "line").join(wanted, ["row", "at"])
-    known = texts.groupBy("id").agg(F.first("line").alias("line"))  # a row may be repeated
+    known = lines.select("id", "line").join(members.select("id").distinct(), "id")
     known, known_at = materialize(known, "lines-known")
-    released(spark)
     edges, edges_at = materialize(alike(pairs, known, threshold), "lines-edges")
-    for path in (buckets_at, pairs_at, wanted_at):
-        remove(spark, path)
-    released(spark)
+    remove(spark, pairs_at)
     more, more_at = others(members, edges, known, threshold)
     found, _ = materialize(edges.union(alike(more, known, threshold)), "lines-alike")
     for path in (members_at, known_at, edges_at, more_at):
         remove(spark, path)
-    released(spark)
     return found
 
 
 def repeated(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """``row`` and ``gone``: the places of the lines that go from each row that loses any."""
+    """``doc_id``, ``row`` and ``gone``: the places of the lines that go from each row that loses any."""
     spark = docs.sparkSession
     found = exploded(docs)
-    # one row per distinct line; its signature is made before the shuffle, so texts don't move
-    place = F.struct("doc_id", "at", "row").alias("place")
-    lines = found.select("id", place, bands(shingles(F.col("line"))).alias("keys"))
-    lines = lines.groupBy("id").agg(F.min("place").alias("place"), F.count("*").alias("n"), F.first("keys").alias("keys"))
-    lines, lines_at = materialize(lines, "lines")
-    released(spark)
-    roots, roots_at = materialize(connected_components(similar(docs, lines, threshold), "lines-cc"), "lines-roots")
-    rooted = lines.select("id", "place", "n").join(roots, F.col("id") == F.col("node"), "left").select("id", "place", "n", F.coalesce("component", "id").alias("root"))
+    lines = distinct_lines(found).select("h1", "h2", "place", "n", "line", bands(hashes(F.col("line"))).alias("keys"))
+    # the number is given once, as the table is written
+    lines, lines_at = materialize(lines.withColumn("id", F.monotonically_increasing_id()), "lines")
+    roots, roots_at = materialize(connected_components(similar(lines, threshold), "lines-cc"), "lines-roots")
+    rooted = lines.select("id", "h1", "h2", "place", "n").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("component", "id"))
     # what stays of each component; lines that occur once and resemble none need no second look
-    stays = rooted.groupBy("root").agg(F.min("place").alias("stays"), F.sum("n").alias("total")).where("total > 1")
-    judged, judged_at = materialize(rooted.join(stays, "root").select("id", "stays"), "lines-judged")
+    stays = rooted.groupBy("root").agg(F.min("place").alias("stays"), F.sum("n").alias("total")).where("total > 1").drop("total")
+    judged, _ = materialize(joined(rooted, stays, ["root"]).select("h1", "h2", "stays"), "lines-judged")
     remove(spark, lines_at)
     remove(spark, roots_at)
-    spots = found.select("id", "row", "doc_id", "at").join(judged, "id")
-    gone = spots.where(~((F.col("row") == F.col("stays.row")) & (F.col("at") == F.col("stays.at"))))
-    return gone.groupBy("row").agg(F.collect_set("at").alias("gone"))
+    spots = found.select("h1", "h2", "row", "doc_id", "at").join(judged, ["h1", "h2"])
+    gone = spots.where(~F.struct("doc_id", "at", "row").eqNullSafe(F.col("stays")))
+    return gone.groupBy("doc_id", "row").agg(F.collect_set("at").alias("gone"))
 
 
 def deduplicate(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -189,18 +190,20 @@ def deduplicate(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     else. Blank lines are never compared and always stay. Candidates come from bands, so alike lines at
     the very threshold may be missed with a small probability; lines that share a band are always found. A null text stays null. A null id comes first. Rows that repeat id and text keep the
     same lines. Documents left without a line stay, with an empty text. An empty table gives an empty
-    result.
+    result. Other columns may have any names.
     """
     gone, _ = materialize(repeated(docs, threshold), "lines-gone")
-    released(docs.sparkSession)
     kept = docs.columns
-    key, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumn("__row", F.xxhash64(key, text))
-    lines = F.split("text", "\n")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(held(docs).alias("doc"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("row"))
+    gone = gone.select(F.col("doc_id").alias("of"), F.col("row").alias("of_row"), "gone")
+    out = rows.join(gone, rows["id"].eqNullSafe(gone["of"]) & (rows["row"] == gone["of_row"]), "left")
+    lines = F.split(F.col("doc").getField("text"), "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    left = F.element_at(F.transform(F.array(lines), lambda held: F.transform(stay, lambda i: F.get(held, i))), 1)
-    text = F.when(F.col("gone").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    out = keyed.join(gone.withColumnRenamed("row", "__row"), "__row", "left").withColumn("text", text)
+    left = bound(lines, lambda every: F.transform(stay, lambda i: F.get(every, i)))
+    text = F.when(F.col("gone").isNull(), F.col("doc").getField("text")).otherwise(F.array_join(left, "\n"))
+    out = out.select("doc", text.alias("text"))
+    new = {"text": F.col("text")}
     if "n_chars" in kept:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in kept])
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[new[c].alias(c) if c in new else was for c, was in zip(kept, unpacked("doc", kept), strict=True)])
