@@ -1,16 +1,19 @@
 """Exact top-k search by inner product with no random access (NRA aggregation).
 
 Candidates are packed into shards of bounded size, one row each, and queries into blocks. Every block
-is sent to every slot, and a shard is in one slot, so all meet by an equi-join. In a shard each
-dimension is a list of the candidates sorted by component. For a query the lists are read from the
-end that its sign favours, front to back and in step. The read parts give each candidate a lower
-and an upper bound of its score: what is unread adds or takes at most the product of the remaining
-lengths of candidate and query. Reading ends when no outsider can reach the k-th lower bound, as the
-lists' next values show; the seen ones whose upper bounds still can have their scores resolved. The shards' own top k are merged by query.
+is sent to every shard by an equi-join. In a shard each dimension is a list of the candidates sorted by
+component. For a query the lists are read from the end that its sign favours, front to back and in
+step; all queries of a block are read for at once, as matrix products over what has been read. What a
+list has not shown yet of a candidate lies between the list's next value and its last one, and all
+that is unread adds or takes no more than the product of the remaining lengths of candidate and query;
+so each candidate has a lower and an upper bound of its score. Reading ends for a query when no
+outsider can reach the k-th lower bound, which is carried from shard to shard; only the candidates
+whose upper bounds still can have their final scores resolved. The shards' own top k are merged by query.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,16 +25,18 @@ from parley.llm.common import materialize
 
 #: Candidates of a shard and queries of a block.
 SHARD_ROWS, BLOCK_ROWS = 4096, 256
-#: List entries read in the first step; each further step doubles the depth.
-FIRST_DEPTH = 64
+#: Shares of the lists after which bounds are taken.
+DEPTHS = (1 / 16, 1 / 8, 1 / 4, 3 / 8, 1 / 2, 5 / 8, 3 / 4)
 #: Inner products stay below this sum of magnitudes in doubles; beyond it they are computed with Python integers.
 EXACT = float(2**53)
+#: Blocks of which a task holds the k-th best scores found so far.
+HELD_BLOCKS = 4096
 
 
 def usable(vector: Column) -> Column:
-    """Neither null nor empty nor holding a null, NaN or infinity."""
+    """Neither null nor holding a null, NaN or infinity."""
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
-    return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & fine, F.lit(False))
+    return F.coalesce(vector.isNotNull() & fine, F.lit(False))
 
 
 def integers(vector: Column, scale: int = 256) -> Column:
@@ -40,7 +45,7 @@ def integers(vector: Column, scale: int = 256) -> Column:
 
 
 def packs(rows: DataFrame, size: int) -> DataFrame:
-    """Rows ``id, vec`` as rows of at most ``size`` of them: ``dim``, flat ``ids`` and ``vecs``, and the latter's number type ``code``."""
+    """Rows ``id, vec`` as rows of at most ``size`` of them: a ``name``, ``dim``, flat ``ids`` and ``vecs``, and the latter's number type ``code``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -51,9 +56,9 @@ def packs(rows: DataFrame, size: int) -> DataFrame:
             ids, vecs = held.pop(dim)
             vecs = np.array(vecs, "<i8")
             code = next((c for c in ("<i2", "<i4") if (vecs.astype(c) == vecs).all()), "<i8")
-            one = ([dim], [code], [np.array(ids, "<i8").tobytes()], [vecs.astype(code).tobytes()])
-            kinds = (pa.int32(), pa.string(), pa.binary(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(one, kinds, strict=True)], ["dim", "code", "ids", "vecs"])
+            one = ([uuid.uuid4().hex], [dim], [code], [np.array(ids, "<i8").tobytes()], [vecs.astype(code).tobytes()])
+            kinds = (pa.string(), pa.int32(), pa.string(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(one, kinds, strict=True)], ["name", "dim", "code", "ids", "vecs"])
 
         for batch in batches:
             for number, vector in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -65,120 +70,155 @@ def packs(rows: DataFrame, size: int) -> DataFrame:
         for dim in list(held):
             yield close(dim)
 
-    return rows.mapInArrow(run, "dim int, code string, ids binary, vecs binary")
+    return rows.mapInArrow(run, "name string, dim int, code string, ids binary, vecs binary")
 
 
-class Shard:
-    """A shard's candidates with each dimension's list, from either end, and their squared lengths."""
+class Lists:
+    """A shard's candidates as sorted lists, one for each dimension and either end."""
 
     def __init__(self, ids, vecs) -> None:
         import numpy as np
 
         self.ids, self.vecs = ids, vecs
         self.columns = np.ascontiguousarray(vecs.T.astype(float))
-        rising = np.argsort(self.columns, axis=1, kind="stable").astype(np.int32)
-        self.order = np.stack([rising, rising[:, ::-1]])
-        self.values = np.stack([np.take_along_axis(self.columns, o, 1) for o in self.order])
+        n, dims = len(ids), len(self.columns)
+        order = np.argsort(self.columns, axis=1, kind="stable")
+        rising = np.empty((dims, n), np.int32)
+        np.put_along_axis(rising, order, np.broadcast_to(np.arange(n, dtype=np.int32), (dims, n)), 1)
+        # places of the candidates in the lists that favour a positive and a negative weight, one above the other
+        self.places = np.concatenate([n - 1 - rising, rising])
+        values = np.take_along_axis(self.columns, order, 1)
+        self.values = np.concatenate([values[:, ::-1], values])
         self.squares = (self.columns**2).sum(0)
         self.magnitude = np.abs(self.columns).max(1)
-
-    def scores(self, query, which) -> list[int]:
-        """Exact scores of some candidates."""
-        if float((self.magnitude * abs(query.astype(float))).sum()) < EXACT:
-            return (self.columns[:, which].T @ query.astype(float)).astype("int64").tolist()
-        return [sum(int(a) * int(b) for a, b in zip(self.vecs[i], query, strict=True)) for i in which]
-
-    def search(self, own: int, query, k: int) -> list[tuple[int, int]]:
-        """The k best (score, id), ties to the smaller id; candidates with the query's own id are left out."""
+        self.entries = 0
+        self._read: dict[int, tuple] = {}
+
+    def read(self, depth: int) -> tuple:
+        """What the first ``depth`` entries of all lists show: which candidates, their components and squares."""
+        if depth not in self._read:
+            seen = self.places < depth
+            both = seen * _twice(self.columns)
+            self._read[depth] = (seen.astype(float), both, both * both)
+        return self._read[depth]
+
+    def search(self, own, queries, k: int, known) -> list[list[tuple[int, int]]]:
+        """Of each query the k best (score, id) or fewer, ties to the smaller id: all that may be among the k best of all shards.
+
+        Candidates with the query's ``own`` id are left out. ``known`` holds the k-th best score of each
+        query so far, and is raised to what is found here.
+        """
         import numpy as np
 
-        n, weights = len(self.ids), query.astype(float)
-        others = self.ids != own
-        rivals = int(others.sum())
-        if n <= FIRST_DEPTH or rivals <= k:
-            return self._best(query, np.flatnonzero(others), k)
-        dims = np.flatnonzero(query)
-        w = weights[dims][:, None]
-        side = (w[:, 0] > 0).astype(int)  # the end that favours the query
-        worst = (w[:, 0] * self.values[side, dims, -1]).sum() if len(dims) else 0.0
-        slack = float((self.magnitude * abs(weights)).sum() + (self.squares.max() * (w * w).sum()) ** 0.5) * 1e-9 + 1e-6
-        # of each candidate, over what was read: score, its own squared length and the query's
-        known, length, asked = np.zeros(n), np.zeros(n), np.zeros(n)
-        done, depth = 0, FIRST_DEPTH
-        while depth < n:
-            part = self.order[side, dims, done:depth].ravel()
-            value = self.values[side, dims, done:depth]
-            known += np.bincount(part, (value * w).ravel(), n)
-            length += np.bincount(part, (value * value).ravel(), n)
-            asked += np.bincount(part, np.broadcast_to(w * w, value.shape).ravel(), n)
-            following = w[:, 0] * self.values[side, dims, depth]
-            unseen = following.sum()
-            # what is unread can't exceed the product of the remaining lengths
-            left = np.sqrt(np.maximum(self.squares - length, 0) * np.maximum((w * w).sum() - asked, 0))
-            lower = known - left
-            kth = max(np.partition(lower[others], rivals - k)[rivals - k], worst)
-            if unseen + slack < kth:  # no candidate that no list has shown can qualify
-                return self._best(query, np.flatnonzero(others & (asked > 0) & (known + left + slack >= kth)), k)
-            done, depth = depth, 2 * depth
-        return self._best(query, np.flatnonzero(others), k)
-
-    def _best(self, query, which, k: int) -> list[tuple[int, int]]:
+        n, m = len(self.ids), len(queries)
+        weights = queries.astype(float)
+        # weights of the lists: a query reads a dimension's one list or the other, or none where it weighs nothing
+        w = np.concatenate([np.maximum(weights, 0), np.minimum(weights, 0)], 1)
+        asks, squared = (w != 0).astype(float), w * w
+        lengths = squared.sum(1)
+        slack = (abs(weights) @ self.magnitude + np.sqrt(lengths * self.squares.max(initial=0.0))) * 1e-9 + 1e-6
+        found: list[list[tuple[int, int]]] = [[] for _ in range(m)]
+        mine = own[:, None] == self.ids[None, :]
+        rivals = n - mine.sum(1)
+        open_ = np.flatnonzero(rivals > 0)
+        last = w @ self.values[:, -1]
+        for depth in sorted({int(share * n) for share in DEPTHS} - {0}):
+            if not len(open_):
+                break
+            seen, parts, squares = self.read(depth)
+            wo, following = w[open_], self.values[:, depth]
+            score = wo @ parts
+            ahead = wo @ following
+            # what the lists have yet to show: at most their next values, at least their last ones
+            high = ahead[:, None] - (wo * following) @ seen
+            low = last[open_][:, None] - (wo * self.values[:, -1]) @ seen
+            left = np.sqrt(np.maximum(self.squares - asks[open_] @ squares, 0) * np.maximum(lengths[open_][:, None] - squared[open_] @ seen, 0))
+            lower = np.where(mine[open_], -np.inf, score + np.maximum(low, -left))
+            kth = np.where(rivals[open_] >= k, np.partition(lower, max(n - k, 0), axis=1)[:, max(n - k, 0)], -np.inf)
+            known[open_] = kth = np.maximum(kth, known[open_])
+            over = np.flatnonzero(ahead + slack[open_] < kth)  # no candidate that no list has shown can qualify
+            for i in over.tolist():
+                q = int(open_[i])
+                shown = asks[q] @ seen > 0
+                may = shown & ~mine[q] & (score[i] + np.minimum(high[i], left[i]) + slack[q] >= kth[i])
+                found[q] = self._resolved(queries[q], np.flatnonzero(may), k)
+            self.entries += int(asks[open_[over]].sum()) * depth
+            open_ = np.delete(open_, over)
+        # lists read to their ends hold every score
+        self.entries += int(asks[open_].sum()) * n
+        for q in open_.tolist():
+            found[q] = self._resolved(queries[q], np.flatnonzero(~mine[q]), k)
+        for q, best in enumerate(found):
+            if len(best) >= k:
+                known[q] = max(known[q], best[k - 1][0])
+        return found
+
+    def _resolved(self, query, which, k: int) -> list[tuple[int, int]]:
         import numpy as np
 
-        found = self.scores(query, which)
-        ids = self.ids[which]
-        if found and max(map(abs, found)) < 2**62:
-            best = np.lexsort((ids, -np.array(found, np.int64)))[:k]
-        else:
-            best = sorted(range(len(found)), key=lambda i: (-found[i], ids[i]))[:k]
-        return [(found[i], int(ids[i])) for i in best]
+        if float(self.magnitude @ abs(query.astype(float))) < EXACT:
+            scores = (query.astype(float) @ self.columns[:, which]).astype(np.int64)
+            ids = self.ids[which]
+            best = np.lexsort((ids, -scores))[:k]
+            return list(zip(scores[best].tolist(), ids[best].tolist(), strict=True))
+        exact = [(sum(int(a) * int(b) for a, b in zip(self.vecs[i], query, strict=True)), int(self.ids[i])) for i in which]
+        return sorted(exact, key=lambda x: (-x[0], x[1]))[:k]
+
+
+def _twice(columns):
+    import numpy as np
+
+    return np.concatenate([columns, columns])
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_column: str = "vec_id", vector_column: str = "embedding", scale: int = 256) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k best other rows of ``vectors`` for each row of ``queries``.
 
     Components count as floor(scale * x); the score is the integer inner product, ties go to the
-    smaller id. Ids that are null and vectors that are null, empty or hold a null or non-finite
-    component take no part, on either side. Rows that repeat an id and its vector count once; a
-    query id with several vectors uses the least of them. Queries meet vectors of their own length
-    only. Fewer than k candidates give fewer rows; empty tables give none. Scores beyond 64 bits fail.
+    smaller id. Ids that are null and vectors that are null or hold a null or non-finite component
+    take no part, on either side; an empty vector has score 0 with the other empty ones. Rows that
+    repeat an id are queries each, with ranks of their own, and candidates each, but not for one
+    another. Queries meet vectors of their own length only. Fewer than k candidates give fewer rows;
+    empty tables give none. Scores beyond 64 bits fail. Other columns play no part.
     """
 
-    def clean(df: DataFrame) -> DataFrame:
+    def clean(df: DataFrame, size: int) -> DataFrame:
         own = df.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).alias("v"))
-        return own.where(F.col("id").isNotNull() & usable(F.col("v"))).select("id", integers(F.col("v"), scale).alias("vec"))
-
-    candidates = clean(vectors).groupBy("id", "vec").agg(F.lit(1).alias("one"))
-    asked = clean(queries).groupBy("id").agg(F.min("vec").alias("vec"))
-    shards, _ = materialize(packs(candidates.select("id", "vec"), SHARD_ROWS), "topk-shards")
-    blocks, _ = materialize(packs(asked.select("id", "vec"), BLOCK_ROWS), "topk-blocks")
-    slots = max(8, 2 * shards.count())
-    dealt = shards.withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)))
-    own = [F.col(c).alias(f"q{c}") for c in ("code", "ids", "vecs")]
+        own = own.where(F.col("id").isNotNull() & usable(F.col("v"))).select("id", integers(F.col("v"), scale).alias("vec"))
+        # no more partitions than full packs: small files would make small packs
+        return own.coalesce(max(1, -(-own.count() // size)))
+
+    shards, _ = materialize(packs(clean(vectors, SHARD_ROWS), SHARD_ROWS), "topk-shards")
+    blocks, _ = materialize(packs(clean(queries, BLOCK_ROWS), BLOCK_ROWS), "topk-blocks")
+    slots = max(1, shards.count())
+    dealt = shards.withColumn("slot", F.pmod(F.xxhash64("name"), F.lit(slots)))
+    own = [F.col(c).alias(f"q{c}") for c in ("name", "code", "ids", "vecs")]
     met = blocks.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))).alias("slot"), "dim", *own)
-    met = met.join(dealt, ["slot", "dim"]).select("dim", "qcode", "qids", "qvecs", "code", "ids", "vecs")
+    met = met.join(dealt, ["slot", "dim"]).select("dim", "qname", "qcode", "qids", "qvecs", "name", "code", "ids", "vecs")
 
-    def run(dim: int, qcode: str, qids: bytes, qvecs: bytes, code: str, ids: bytes, vecs: bytes, held: dict) -> list[tuple]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        if held.get("ids") != ids:
-            held["ids"] = ids
-            held["shard"] = Shard(np.frombuffer(ids, "<i8"), np.frombuffer(vecs, code).reshape(-1, dim).astype(np.int64))
-        shard, out = held["shard"], []
-        for one, query in zip(np.frombuffer(qids, "<i8").tolist(), np.frombuffer(qvecs, qcode).reshape(-1, dim).astype(np.int64), strict=True):
-            out.extend((one, vec_id, score) for score, vec_id in shard.search(one, query, k))
-        return out
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict = {}
+        name, lists, known = None, None, {}
         for batch in batches:
             for i in range(batch.num_rows):
-                found = run(*(batch.column(c)[i].as_py() for c in range(7)), held)
-                columns = list(zip(*found, strict=True)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
-
-    partial = met.mapInArrow(each, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+                dim, qname, qcode, qids, qvecs, own, code = (batch.column(c)[i].as_py() for c in range(7))
+                qids = np.frombuffer(qids, "<i8")
+                if own != name:
+                    ids, vecs = (batch.column(c)[i].as_py() for c in (7, 8))
+                    ids = np.frombuffer(ids, "<i8")
+                    name, lists = own, Lists(ids, np.frombuffer(vecs, code).reshape(len(ids), dim).astype(np.int64))
+                if len(known) >= HELD_BLOCKS and qname not in known:
+                    known.clear()  # bounds only: what is forgotten is found again
+                best = known.setdefault(qname, np.full(len(qids), -np.inf))
+                found = lists.search(qids, np.frombuffer(qvecs, qcode).reshape(len(qids), dim).astype(np.int64), k, best)
+                rows = [(qname, at, int(qids[at]), vec_id, score) for at, one in enumerate(found) for score, vec_id in one]
+                columns = list(zip(*rows, strict=True)) or [()] * 5
+                kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["block", "at", "query_id", "vec_id", "score"])
+
+    partial = met.mapInArrow(each, "block string, at int, query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("block", "at").orderBy(F.desc("score"), "vec_id"))
     return partial.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

@@ -182,17 +182,33 @@ def test_op7(spark, data, texts):
         assert (r["n_words"], r["n_removed"], r["kept_sha256"]) == (len(w), sum(gone), hashlib.sha256(kept).hexdigest())
 
 
-def test_topk_shards():
+def test_topk_lists():
+    """Shards in turn, with the bounds carried over, against all products; ties are common at the smaller spread, and some ids repeat."""
     rng = np.random.default_rng(0)
-    for spread in (3, 1000):
-        vecs = rng.integers(-spread, spread, (700, 16))
-        shard = topk.Shard(np.arange(700), vecs)
-        for own in range(0, 700, 35):
-            scores = vecs @ vecs[own]
-            want = sorted(((int(s), i) for i, s in enumerate(scores) if i != own), key=lambda x: (-x[0], x[1]))[:5]
-            assert shard.search(own, vecs[own], 5) == want
-    huge = topk.Shard(np.arange(3), np.array([[2**40, 1], [2**40, 2], [5, 5]]))
-    assert huge.search(0, np.array([2**20, 1]), 2) == [(2**60 + 2, 1), (5 * 2**20 + 5, 2)]
+    for spread, dims in ((3, 16), (1000, 16), (2, 3), (1000, 1)):
+        vecs, ids = rng.integers(-spread, spread, (700, dims)), rng.permutation(700) // 2 * 2
+        own, queries = ids[::35], vecs[::35]
+        known, best, entries = np.full(len(own), -np.inf), [[] for _ in own], 0
+        for at in (0, 100, 300, 303):
+            lists = topk.Lists(ids[at : {0: 100, 100: 300, 300: 303, 303: 700}[at]], vecs[at : {0: 100, 100: 300, 300: 303, 303: 700}[at]])
+            for rows, found in zip(best, lists.search(own, queries, 5, known), strict=True):
+                rows += found
+            entries += lists.entries
+        for one, query, rows in zip(own, queries, best, strict=True):
+            want = sorted(((int(s), int(i)) for i, s in zip(ids, vecs @ query, strict=True) if i != one), key=lambda x: (-x[0], x[1]))[:5]
+            assert sorted(rows, key=lambda x: (-x[0], x[1]))[:5] == want
+        assert entries <= 700 * dims * len(own)
+    huge = topk.Lists(np.arange(3), np.array([[2**40, 1], [2**40, 2], [5, 5]]))
+    assert huge.search(np.array([0]), np.array([[2**20, 1]]), 2, np.full(1, -np.inf)) == [[(2**60 + 2, 1), (5 * 2**20 + 5, 2)]]
+
+
+def test_topk_stops_early():
+    """Reading ends before the lists do on vectors with and without structure."""
+    rng = np.random.default_rng(1)
+    for vecs in (rng.integers(-100, 100, (4000, 32)), rng.integers(-100, 100, (4000, 1)) * rng.integers(1, 5, (1, 32))):
+        lists, known = topk.Lists(np.arange(4000), vecs), np.full(40, -np.inf)
+        lists.search(np.arange(40), vecs[:40], 5, known)
+        assert lists.entries < 0.8 * 40 * 4000 * 32
 
 
 def test_mixing_counts(docs):

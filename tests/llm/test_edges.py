@@ -131,7 +131,11 @@ def test_topk(spark):
     rows = [(0, v), (1, v), (2, v), (3, None), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [-1.0, 0.0]), (None, v), (1, v), (7, []), (8, [1.0])]
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, rank int")
     out = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.search(df, df.where("vec_id = 0")).orderBy("rank").collect()]
-    assert out == [(0, 1, 1, 81920), (0, 2, 2, 81920), (0, 3, 6, -65536)]
+    assert out == [(0, 1, 1, 81920), (0, 2, 1, 81920), (0, 3, 2, 81920), (0, 4, 6, -65536)]  # each row is a candidate
+    again = [(r["query_id"], r["rank"], r["vec_id"]) for r in topk.search(df, df.where("vec_id in (1, 7, 8)")).collect()]
+    assert sorted(again) == sorted(2 * [(1, 1, 0), (1, 2, 2), (1, 3, 6)])  # each row of an id is a query
+    empty = spark.createDataFrame([(1, []), (2, []), (3, None)], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in topk.search(empty, empty.where("vec_id = 1")).collect()] == [(1, 1, 2, 0)]
     assert topk.search(df.limit(0), df).count() == 0 and topk.search(df, df.limit(0)).count() == 0
 
 
