@@ -14,7 +14,6 @@ filled from a bounded sample and changes no result.
 from __future__ import annotations
 
 import base64
-import json
 import struct
 from collections.abc import Iterator
 
@@ -123,10 +122,18 @@ def fold(table: Column, sizes: tuple[int, int], word: Column) -> Column:
     return F.aggregate(F.slice(word, F.lit(2), F.lit(FOLD_BYTES)), start, step, lambda acc: F.transform(acc, lambda x: id_of(x).cast("int")))
 
 
-def folded(words: Column, sizes: tuple[int, int], table: list[int]) -> Column:
-    """Token ids of each of an array of words."""
-    literal = F.from_json(F.lit(json.dumps(table, separators=(",", ":"))), "array<bigint>")
-    return let(literal, lambda t: F.transform(words, lambda w: fold(t, sizes, w)))
+def literal(spark: SparkSession, table: list[int]) -> Column:
+    """The table as a literal: a relation of one row, so that plans name it and do not spell it out each time they are shown or logged."""
+    array = pa.array([table], pa.list_(pa.int64()))
+    return spark.createDataFrame(pa.table({"entries": array})).scalar()
+
+
+def fold_words(rows: DataFrame, tokenizer: Tokenizer, words: str) -> DataFrame:
+    """``rows`` with the token ids of each of an array column of words, in its place and named ``ids``."""
+    sizes, table = tokenizer.pairs
+    rows = rows.withColumn("table", literal(rows.sparkSession, table))
+    kept = [c for c in rows.columns if c not in (words, "table")]
+    return rows.select(*kept, let(F.col("table"), lambda t: F.transform(words, lambda w: fold(t, sizes, w))).alias("ids"))
 
 
 def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -274,7 +281,7 @@ def frequent_words(docs: DataFrame, tokenizer: Tokenizer, words: int = CACHE_WOR
                 )
 
     spelt = top.mapInArrow(spell, "words array<binary>, spelt array<array<int>>").repartition(32)
-    found = spelt.select("words", folded(F.col("spelt"), *tokenizer.pairs).alias("ids")).toArrow()
+    found = fold_words(spelt, tokenizer, "spelt").toArrow()
     words, ids = found["words"].combine_chunks(), found["ids"].combine_chunks()
     return Cache(words.flatten(), ids.flatten()) if len(words) else Cache()
 
@@ -347,7 +354,7 @@ def encode_blocks(docs: DataFrame, tokenizer: Tokenizer, cache: Cache) -> DataFr
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     blocks = rows.mapInArrow(run, "keys array<bigint>, counts binary, codes binary, lengths binary, known binary, words array<array<int>>")
-    return blocks.select(*names[:-1], folded(F.col("words"), *tokenizer.pairs).alias("ids"))
+    return fold_words(blocks, tokenizer, "words")
 
 
 def resolve(counts: bytes, codes: bytes, lengths: bytes, known: bytes, folded_ids: pa.ListArray) -> Iterator:
