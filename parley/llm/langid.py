@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from parley.llm.common import held, unpacked
+
 #: Slices of text in a language's dictionary, and characters in a slice: the bound of the fitting sample.
 SLICES, SLICE_CHARS = 96, 1024
 BLOCK_BYTES = 512
-LEVEL = 5
-#: Texts of fewer bytes are searched harder: they have few matches to tell languages apart.
-SHORT_BYTES, SHORT_LEVEL = 128, 12
+LEVEL = 9
 #: Rows that are sent back at once.
 SLICE_ROWS = 512
 #: Least relative difference of the two best sizes.
@@ -39,7 +39,7 @@ def fit(train: DataFrame, slices: int = SLICES, slice_chars: int = SLICE_CHARS)
     as in ``predict``. Languages come in the order of their distinct texts, most first: ties go to
     the first.
     """
-    rows = train.where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
+    rows = train.select("lang", "text", F.xxhash64("text").alias("__h")).where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
     counts = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02)).collect()}
     if not counts:
         return {}
@@ -49,8 +49,7 @@ def fit(train: DataFrame, slices: int = SLICES, slice_chars: int = SLICE_CHARS)
     unit = (F.shiftrightunsigned("__h", 11).cast("double")) / F.lit(float(2**53))
     start = F.pmod(F.shiftrightunsigned("__h", 20), F.greatest(F.length("text") - F.lit(slice_chars), F.lit(0)).cast("long") + 1)
     picked = (
-        rows.withColumn("__h", F.xxhash64("text"))
-        .where(unit < share)
+        rows.where(unit < share)
         .select("lang", "__h", F.lower(F.substring("text", start.cast("int") + 1, F.lit(slice_chars))).alias("__slice"))
         .groupBy("lang", "__h")
         .agg(F.min("__slice").alias("__slice"))
@@ -101,30 +100,21 @@ def predict(docs: DataFrame, model: dict[str, bytes], min_margin: float = MIN_MA
     sends back.
     """
     langs, dictionaries = list(model), list(model.values())
-    kept = [c for c in docs.columns if c.lower() not in ADDED]
-    kept = [c for c in kept if with_text or c.lower() != "text"]
+    kept = [c for c in docs.columns if c.lower() not in ADDED and (with_text or c.lower() != "text")]
     lettered = F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")
-    framed = docs.select(*[F.col(f"`{c}`") for c in kept], F.when(lettered, F.lower("text").cast("binary")).alias("__bytes"))
-    docs = docs.select(*[F.col(f"`{c}`") for c in kept])
+    framed = docs.select(F.when(lettered, F.lower("text").cast("binary")).alias("bytes"), held(docs, kept).alias("doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        long, short = coders_of(dictionaries, level), coders_of(dictionaries, SHORT_LEVEL)
+        coders = coders_of(dictionaries, level)
         for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
-            column = batch.column(batch.num_columns - 1)
             lang, score, margin = [], [], []
-            for value in column:
+            for value in batch.column(0):
                 raw = value.as_py()
-                if raw is None or not langs:
-                    one = ("und", 0.0, 0.0)
-                else:
-                    one = decide(langs, sizes(raw, short if len(raw) < SHORT_BYTES else long))
+                one = ("und", 0.0, 0.0) if raw is None or not langs else decide(langs, sizes(raw, coders))
                 lang.append(one[0]), score.append(one[1]), margin.append(one[2])
             ok = [p != "und" and m >= min_margin for p, m in zip(lang, margin, strict=True)]
-            arrays = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64()), pa.array(ok, pa.bool_())],
-                [*kept, *ADDED],
-            )
-
-    schema = docs.schema.add("lang_pred", "string").add("score", "double").add("margin", "double").add("accepted", "boolean")
-    return framed.mapInArrow(run, schema)
+            arrays = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64()), pa.array(ok, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([batch.column(1), *arrays], ["doc", *ADDED])
+
+    schema = framed.select("doc").schema.add("lang_pred", "string").add("score", "double").add("margin", "double").add("accepted", "boolean")
+    return framed.mapInArrow(run, schema).select(*unpacked("doc", kept), *ADDED)
