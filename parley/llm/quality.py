@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from parley.llm.common import held, unpacked
+
 #: Statistics of a text, in the order of a feature vector.
 STATISTICS = (
     "bytes", "words", "lines", "mean_word", "word_spread", "distinct_words", "top_word", "repeated_words", "upper", "digits",
@@ -70,17 +72,21 @@ def statistics(text: bytes):
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` but ``text``, and ``features``; null texts count as empty."""
+    """The columns of ``docs`` but ``text``, and ``features``; null texts count as empty.
+
+    Every row has its own vector, also one that repeats another; equal texts have equal ones. A column
+    ``features`` is replaced, others may have any names. An empty table gives an empty result.
+    """
     kept = [c for c in docs.columns if c.lower() not in ("text", "features")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col("text").cast("binary").alias("__text"))
+    rows = docs.select(F.col("text").cast("binary").alias("text"), held(docs, kept).alias("doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [statistics(t.as_py() or b"") for t in batch.column(len(kept))]
-            columns = [batch.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(pa.float64()))], [*kept, "features"])
+            found = [statistics(t.as_py() or b"") for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.float64()))], ["doc", "features"])
 
-    return rows.mapInArrow(run, docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add("features", ArrayType(DoubleType())))
+    out = rows.mapInArrow(run, rows.select("doc").schema.add("features", ArrayType(DoubleType())))
+    return out.select(*unpacked("doc", kept), "features")
 
 
 @dataclass
@@ -142,17 +148,20 @@ def fit(labelled: DataFrame) -> Discriminant:
 
 
 def score(found: DataFrame, model: Discriminant) -> DataFrame:
-    """Rows of ``features`` with ``score`` and ``predicted`` (1 from a score of 0.5) in place of the vector."""
+    """Rows of ``features`` with ``score`` and ``predicted`` (1 from a score of 0.5) in place of the vector.
+
+    Columns of these names are replaced, others may have any names. Equal vectors have equal scores; a
+    model without both classes gives 0.5. Repeated rows stay, and an empty table gives an empty result.
+    """
     kept = [c for c in found.columns if c.lower() not in ("features", "score", "predicted")]
-    rows = found.select(*[F.col(f"`{c}`") for c in kept], "features")
+    rows = found.select("features", held(found, kept).alias("doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for batch in batches:
-            x = np.array(batch.column(len(kept)).to_pylist(), float).reshape(-1, len(STATISTICS))
-            s = model.scores(x)
-            columns = [batch.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*kept, "score", "predicted"])
+            s = model.scores(np.array(batch.column(0).to_pylist(), float).reshape(-1, len(STATISTICS)))
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], ["doc", "score", "predicted"])
 
-    return rows.mapInArrow(run, found.select(*[F.col(f"`{c}`") for c in kept]).schema.add("score", "double").add("predicted", "integer"))
+    out = rows.mapInArrow(run, rows.select("doc").schema.add("score", "double").add("predicted", "integer"))
+    return out.select(*unpacked("doc", kept), "score", "predicted")
