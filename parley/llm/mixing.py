@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parley.functions.bind import bound
+from parley.llm.common import held, joined, unpacked
+
 #: Up to so many sources the rate table (a name and an array of doubles each) is broadcast; beyond, it is joined.
 BROADCAST_SOURCES = 4096
 #: Mean up to which a rate table is broadcast: bounds the length of its arrays.
@@ -26,17 +29,15 @@ def uniform(key: Column, seed: int) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(2**52))
 
 
-def rates(docs: DataFrame, weights: dict[str, float] | None, default_weight: float) -> DataFrame:
-    """One row per source: its key, documents, share of the target and mean repetition rate."""
-    counts = docs.groupBy(F.coalesce("source", F.lit("")).alias("__source")).agg(F.count("*").alias("__n"))
+def rates(sources: DataFrame, weights: dict[str, float] | None, default_weight: float) -> DataFrame:
+    """One row per ``source`` of a table's rows: its mean repetition ``rate``, from documents and share of the target."""
+    counts = sources.groupBy("source").agg(F.count("*").alias("n"))
     weight = F.lit(float(default_weight))
     for name, value in (weights or {}).items():
-        weight = F.when(F.col("__source") == name, F.lit(float(value))).otherwise(weight)
-    counts = counts.withColumn("__w", weight)
-    totals = counts.agg(F.sum("__w").alias("__tw"), F.sum("__n").alias("__tn"))
-    return counts.join(F.broadcast(totals)).select(  # the right side is one row
-        "__source", (F.col("__w") / F.col("__tw") * F.col("__tn") / F.col("__n")).alias("__rate")
-    )
+        weight = F.when(F.col("source") == name, F.lit(float(value))).otherwise(weight)
+    counts = counts.withColumn("w", weight)
+    totals = counts.agg(F.sum("w").alias("tw"), F.sum("n").alias("tn"))
+    return counts.join(F.broadcast(totals)).select("source", (F.col("w") / F.col("tw") * F.col("tn") / F.col("n")).alias("rate"))  # the right side is one row
 
 
 def distribution(rate: Column) -> Column:
@@ -68,31 +69,27 @@ def mix(
     common scale. Returns the columns of ``docs`` plus ``copy`` (int, from 1) and ``rate`` (double);
     existing columns of these names are replaced. A null source is a source of its own, the same as
     the empty name; a null id draws as the empty text; rows that repeat an id get the same count; a
-    weight of 0 leaves a source out; an empty table gives an empty result. Texts are never looked at.
+    weight of 0 leaves a source out; an empty table gives an empty result; other columns may have any names. Texts are never looked at.
     """
     if default_weight < 0 or any(w < 0 for w in (weights or {}).values()):
         raise ValueError("weights must not be negative")
     kept = [c for c in docs.columns if c.lower() not in ("copy", "rate")]
-    docs = docs.select(*[F.col(f"`{c}`") for c in kept])
-    table = rates(docs, weights, default_weight)
-    few = table.agg(F.count("*"), F.max("__rate")).first()
-    small = few[0] <= BROADCAST_SOURCES and (few[1] or 0.0) <= BROADCAST_RATE
-    table = table.withColumn("__cdf", distribution(F.col("__rate")))
-    keyed = docs.withColumn("__source", F.coalesce("source", F.lit("")))
-    joined = keyed.join(F.broadcast(table) if small else table, "__source")
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    draw = uniform(key, seed)
-    # The number of k with P(X <= k) <= draw is the smallest k whose P exceeds it. The draw is bound
-    # to a lambda variable, so that it is computed once and not for each k.
-    counted = F.element_at(F.transform(F.array(draw), lambda u: F.size(F.filter("__cdf", lambda p: p <= u))), 1)
-    copies = F.transform(F.array(counted), lambda k: F.when(k > 0, F.sequence(F.lit(1), k)))
-    out = joined.select(*[F.col(f"`{c}`") for c in kept], F.explode(F.element_at(copies, 1)).alias("copy"), F.col("__rate").alias("rate"))
-    if not shuffle:
-        return out
-    order = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("copy"))
-    out = out.withColumn("__order", order)
-    dealt = out.repartition(partitions, "__order") if partitions else out.repartition("__order")
-    return dealt.sortWithinPartitions("__order").drop("__order")
+    rows = docs.select(F.coalesce("source", F.lit("")).alias("source"), key.alias("key"), held(docs, kept).alias("doc"))
+    table = rates(rows.select("source"), weights, default_weight)
+    few = table.agg(F.count("*"), F.max("rate")).first()
+    small = few[0] <= BROADCAST_SOURCES and (few[1] or 0.0) <= BROADCAST_RATE
+    table = table.withColumn("cdf", distribution(F.col("rate")))
+    met = rows.join(F.broadcast(table), "source") if small else joined(rows, table, ["source"])
+    # The number of k with P(X <= k) <= draw is the smallest k whose P exceeds it.
+    counted = bound(uniform(F.col("key"), seed), lambda u: F.size(F.filter("cdf", lambda p: p <= u)))
+    copies = bound(counted, lambda k: F.when(k > 0, F.sequence(F.lit(1), k)))
+    out = met.select("key", "doc", F.explode(copies).alias("copy"), "rate")
+    if shuffle:
+        out = out.select(F.xxhash64(F.lit(seed), "key", "copy").alias("order"), "doc", "copy", "rate")
+        dealt = out.repartition(partitions, "order") if partitions else out.repartition("order")
+        out = dealt.sortWithinPartitions("order")
+    return out.select(*unpacked("doc", kept), "copy", "rate")
 
 
 #: The same with equal weights; ``{docs}`` is the input.
