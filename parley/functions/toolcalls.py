@@ -82,6 +82,36 @@ TAGGED = {
     "deepseek": ("<｜tool▁call▁begin｜>", "<｜tool▁sep｜>", "<｜tool▁call▁end｜>"),
     "kimi": ("<|tool_call_begin|>", "<|tool_call_argument_begin|>", "<|tool_call_end|>"),
     "qwen": ("✿FUNCTION✿:", "✿ARGS✿:", "\n"),
+    "hunyuan": ("<tool_call>", "\n```json", "```</tool_call>"),
 }
 PARSERS |= {name: (lambda text, marks=marks: tagged_calls(text, *marks)) for name, marks in TAGGED.items()}
 PARSERS |= {"mistral": lambda text: listed_calls(text, "[TOOL_CALLS]"), "qwen_coder": nested_calls}
+
+
+def marked_calls(text: Column, block: str, head: str, parameter: str, close: str) -> Column:
+    """Calls of nested tags in blocks: ``head`` and ``parameter`` are patterns with a group for the name, ``close`` ends a parameter's value."""
+    bodies = F.regexp_extract_all(text, F.lit(block), F.lit(1))
+    whole = f"(?s){parameter}\\s*(.*?)\\s*{close}"
+
+    def call(body: Column) -> Column:
+        keys, values = (F.regexp_extract_all(body, F.lit(whole), F.lit(i)) for i in (1, 2))
+        return F.struct(F.regexp_extract(body, head, 1).alias("name"), F.to_json(F.map_from_arrays(keys, values)).alias("arguments"))
+
+    return F.filter(F.transform(bodies, call), lambda c: c["name"] != "")
+
+
+# Patterns of formats with nested tags, as (block, head, parameter, end of a value).
+NESTED = {
+    "seed": (r"(?s)<seed:tool_call>(.+?)</seed:tool_call>", r"<function=([^>]+)>", r"<parameter=([^>]+)>", r"</parameter>"),
+    "minimax": (r'(?s)(<invoke name="[^"]+">.*?</invoke>)', r'<invoke name="([^"]+)">', r'<parameter name="([^"]+)">', r"</parameter>"),
+}
+PARSERS |= {name: (lambda text, marks=marks: marked_calls(text, *marks)) for name, marks in NESTED.items()}
+#: Other names of the same formats.
+PARSERS |= {"hunyuan_hermes": PARSERS["hunyuan"], "youtu": hermes_calls, "llama3": llama_calls, "llama4": llama_calls, "glm4_5": glm_calls, "qwen_en": PARSERS["qwen"], "qwen3_coder": nested_calls, "qwen3_5": nested_calls, "deepseek_v3_1": PARSERS["deepseek"], "kimi_k25": PARSERS["kimi"], "react_en": react_calls, "react_zh": react_calls, "seed_oss": PARSERS["seed"], "minimax_m2": PARSERS["minimax"], "toolbench": react_calls}
+
+
+def register(name: str, parser, exist_ok: bool = False) -> None:
+    """Add a reader; a name that is taken raises unless it may be replaced."""
+    if name in PARSERS and not exist_ok:
+        raise ValueError(f"the format {name!r} exists")
+    PARSERS[name] = parser
