@@ -3,7 +3,7 @@
 Lines are reduced to distinct ones first, named by 128 bits of hash. Each gets character shingles, one
 at every position, hashed to 64 bits. The hashes' range is cut into equal parts; the least hashes of a
 part make a band. Lines that share a band form a bucket. All lines of a bucket are compared by the
-exact Jaccard similarity of their shingles, except where two are known to resemble its first line and
+exact Jaccard similarity of their shingles, except where two are known to resemble its pivot and
 so are joined already. Distributed union-find joins what is similar, and of each component the line
 that comes first is kept.
 """
@@ -20,9 +20,7 @@ from parley.llm.common import connected_components, held, joined, materialize, r
 WIDTH, DROPPED = 5, r"[\s\p{Z}\p{P}\p{S}&&[^\n]]+"
 SIMILARITY = 0.8
 #: Bands of a signature, as a power of two, and hashes of a band.
-BAND_BITS, ROWS = 3, 4
-#: Hashes of a line that are looked at for its bands, on average and a part's share of them three times what a band takes.
-LOOKED_AT = 3 * ROWS << BAND_BITS
+BAND_BITS, ROWS = 4, 8
 #: Members of a bucket that are all compared with each other at once, and of a tile of a larger bucket.
 SMALL, TILE = 4, 1000
 #: Words of 64 bits in a sketch that rules pairs of a large bucket out.
@@ -42,30 +40,23 @@ def shingles(line: Column) -> Column:
     return F.array_distinct(hashes(line))
 
 
-def bands(found: Column, bits: int = BAND_BITS, rows: int = ROWS) -> Column:
-    """Keys of a signature, of a line's shingle hashes.
+def signed(lines: DataFrame, bits: int = BAND_BITS, rows: int = ROWS) -> DataFrame:
+    """``lines`` with ``keys``, the bands of each ``line``'s signature.
 
-    A band begins at the least hash of a part and takes the next ``rows`` numbers, of which the border
-    to the next part is one. Parts without a hash give none.
+    A band begins with the least hash of a part and takes ``rows`` numbers from there on, of which the
+    border to the next part is one. Parts without a hash give none.
     """
-    half, low = 1 << (bits - 1), (1 << (64 - bits)) - 1
+    half = 1 << (bits - 1)
     borders = [F.lit(c << (64 - bits)).cast("long") for c in range(-half, half)]
+    # each step is a column of its own, so that it is computed once and in generated code
+    found = lines.withColumn("_sorted", F.sort_array(F.concat(shingles(F.col("line")), F.array(*borders))))
+    found = found.withColumns({f"_at{i}": F.array_position("_sorted", x).cast("int") for i, x in enumerate(borders)})
 
-    def of(x: Column) -> Column:
-        limit = F.when(F.size(x) > LOOKED_AT, (F.lit(float(low)) * LOOKED_AT / F.size(x)).cast("long")).otherwise(F.lit(low))
-        few = bound(limit, lambda most: F.filter(x, lambda h: h.bitwiseAND(F.lit(low)) <= most))
+    def key(i: int) -> Column:
+        at, following = F.col(f"_at{i}"), F.size("_sorted") + 1 if i + 1 == len(borders) else F.col(f"_at{i + 1}")
+        return F.when(following > at + 1, F.xxhash64(F.slice("_sorted", at, F.lit(rows + 1))))
 
-        def keys(line: Column) -> Column:
-            def key(border: Column, following: Column | None) -> Column:
-                at = F.array_position(line, border).cast("int")
-                empty = F.get(line, at).isNull() if following is None else F.get(line, at) == following
-                return F.when(~empty, F.xxhash64(F.slice(line, at, F.lit(rows + 1))))
-
-            return F.filter(F.array(*map(key, borders, [*borders[1:], None])), lambda k: k.isNotNull())
-
-        return bound(F.sort_array(F.concat(F.array_distinct(few), F.array(*borders))), keys)
-
-    return bound(found, of)
+    return found.select(*lines.columns, F.array_compact(F.array(*map(key, range(len(borders))))).alias("keys"))
 
 
 def exploded(docs: DataFrame) -> DataFrame:
@@ -111,11 +102,12 @@ def alike(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
 
 
 def others(members: DataFrame, edges: DataFrame, known: DataFrame, threshold: float) -> tuple[DataFrame, str]:
-    """Pairs, and where they are written, of buckets of more than SMALL lines that are not joined through the bucket's first line and may be alike.
+    """Pairs, and where they are written, of buckets of more than SMALL lines that are not joined through the bucket's pivot and may be alike.
 
-    Each line that does not resemble the first meets all others of its bucket, in tiles. Sizes and sketches rule out only what is not alike.
+    Each line that does not resemble the pivot meets all others of its bucket, in tiles. Sizes and sketches rule out only what is not alike.
     """
     star = edges.select(F.col("u").alias("id"), F.col("v").alias("first"), F.lit(True).alias("hit"))
+    star = star.union(edges.select(F.col("v"), F.col("u"), F.lit(True)))
     large = members.where(f"n > {SMALL}").join(star, ["id", "first"], "left")
     large = large.withColumn("linked", (F.col("id") == F.col("first")) | F.col("hit").isNotNull()).select("key", "id", "n", "linked")
     open_ = large.where("not linked").groupBy("key").agg(F.count("*").alias("loose"))
@@ -145,9 +137,15 @@ def similar(lines: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """
     spark = lines.sparkSession
     keyed = lines.select("id", F.explode("keys").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
-    members, members_at = materialize(joined(keyed, buckets, ["key"]), "lines-members")
-    star = members.where("id <> first").select(F.col("id").alias("u"), F.col("first").alias("v"))
+    buckets, buckets_at = materialize(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "lines-buckets")
+    met, met_at = materialize(joined(keyed, buckets, ["key"]), "lines-met")
+    remove(spark, buckets_at)
+    # a bucket's pivot is the line that meets most others, over all its buckets: what has been edited in many ways rather than an edit
+    meetings = met.groupBy("id").agg(F.sum("n").alias("meetings"))
+    pivots = joined(met, meetings, ["id"]).groupBy("key").agg((-F.max(F.struct("meetings", -F.col("id")))["col2"]).alias("first"))
+    members, members_at = materialize(joined(met, pivots, ["key"]), "lines-members")
+    remove(spark, met_at)
+    star = members.where("id <> first").select(F.greatest("id", "first").alias("u"), F.least("id", "first").alias("v"))
     few = members.where(f"n between 3 and {SMALL}").select("key", "id")
     each = few.alias("a").join(few.alias("b"), F.expr("a.key = b.key and a.id > b.id")).select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
     pairs, pairs_at = materialize(star.union(each).distinct(), "lines-pairs")
@@ -166,7 +164,7 @@ def repeated(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """``doc_id``, ``row`` and ``gone``: the places of the lines that go from each row that loses any."""
     spark = docs.sparkSession
     found = exploded(docs)
-    lines = distinct_lines(found).select("h1", "h2", "place", "n", "line", bands(hashes(F.col("line"))).alias("keys"))
+    lines = signed(distinct_lines(found))
     # the number is given once, as the table is written
     lines, lines_at = materialize(lines.withColumn("id", F.monotonically_increasing_id()), "lines")
     roots, roots_at = materialize(connected_components(similar(lines, threshold), "lines-cc"), "lines-roots")
