@@ -1,156 +1,157 @@
-"""Conversations in providers' formats, whose contents are lists of typed blocks, made canonical.
+"""Conversations in providers' formats made canonical, as column expressions over VARIANT values.
 
-The types of contents vary from message to message, so conversations come as JSON text. The walk over
-blocks keeps state that column expressions have no form for; it runs in Arrow batches.
+A conversation comes as JSON text, since the types of its contents vary from message to message: a
+content is a text or a list of typed blocks. Blocks become pieces, neighbouring pieces of text and
+media are joined, and tool calls and results stand alone. Locations of media are listed by their kind
+in order, and what can't be read is said in ``error`` instead of failing the row.
 """
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from parley.functions.agents import islands
+from parley.functions.bind import bound
 from parley.functions.messages import MESSAGES
 
-NORMALIZED = f"struct<messages: {MESSAGES}, images: array<string>>"
-
-
-def detect(messages: list[dict]) -> str:
-    """'openai' if any message has tool calls, 'anthropic' if blocks of tools or image sources occur, else 'native'."""
-    if any(m.get("tool_calls") for m in messages):
-        return "openai"
-    blocks = [b for m in messages if isinstance(m.get("content"), list) for b in m["content"] if isinstance(b, dict)]
-    if any(b.get("type") in ("tool_use", "tool_result") or b.get("type") == "image" and "source" in b for b in blocks):
-        return "anthropic"
-    return "native"
-
-
-def _weights(m: dict) -> dict:
-    return {"loss": m.get("loss"), "loss_scale": m.get("loss_scale")}
-
-
-def _call(name: str, arguments) -> str:
-    if isinstance(arguments, str):
-        try:
-            arguments = json.loads(arguments)
-        except ValueError:
-            pass
-    return json.dumps({"name": name, "arguments": arguments}, ensure_ascii=False)
-
-
-def _source(block: dict) -> str:
-    source = block["source"]
-    return source["url"] if source.get("type") == "url" else f"data:{source['media_type']};base64,{source['data']}"
-
-
-def from_openai(messages: list[dict]) -> tuple[list[dict], list[str]]:
-    """Text of an assistant first, then a ``tool_call`` message for each call; blocks of media become tags and locations."""
-    out, images = [], []
-    for m in messages:
-        content = m.get("content")
-        if isinstance(content, list):
-            parts = []
-            for b in content:
-                if b["type"] == "text":
-                    parts.append(b["text"])
-                elif b["type"].endswith("_url"):
-                    kind, where = b["type"].removesuffix("_url"), b[b["type"]]
-                    parts.append(f"<{kind}>")
-                    images.append(where["url"] if isinstance(where, dict) else where)
-                else:
-                    raise ValueError(f"unknown block {b['type']!r}")
-            content = "".join(parts)
-        if not m.get("tool_calls"):
-            out.append({"role": m["role"], "content": content, **_weights(m)})
-            continue
-        if content:
-            out.append({"role": m["role"], "content": content, **_weights(m)})
-        for c in m["tool_calls"]:
-            made = c.get("function", c)
-            out.append({"role": "tool_call", "content": _call(made["name"], made.get("arguments")), **_weights(m)})
-    return out, images
-
-
-def from_anthropic(messages: list[dict]) -> tuple[list[dict], list[str]]:
-    """Runs of text and images make one message each; tool uses and results between them make their own."""
-    out, images = [], []
-    for m in messages:
-        content = m["content"]
-        if not isinstance(content, list):
-            out.append({"role": m["role"], "content": content, **_weights(m)})
-            continue
-        run: list[str] = []
-
-        def flush(m: dict = m, run: list[str] = run) -> None:
-            if run:
-                out.append({"role": m["role"], "content": "".join(run), **_weights(m)})
-                run.clear()
-
-        for b in content:
-            kind = b.get("type")
-            if kind == "text":
-                run.append(b["text"])
-            elif kind == "image":
-                run.append("<image>")
-                images.append(_source(b))
-            elif kind == "tool_use":
-                flush()
-                out.append({"role": "tool_call", "content": _call(b["name"], b.get("input", {})), **_weights(m)})
-            elif kind == "tool_result":
-                flush()
-                result = b.get("content", "")
-                if isinstance(result, list):
-                    result = "".join(x["text"] if x["type"] == "text" else "<image>" for x in result)
-                    images.extend(_source(x) for x in b["content"] if x["type"] == "image")
-                out.append({"role": "tool", "content": result if isinstance(result, str) else json.dumps(result, ensure_ascii=False), **_weights(m)})
-            else:
-                raise ValueError(f"unknown block {kind!r}")
-        flush()
-    return out, images
-
-
-def normalize_one(text: str | None, form: str = "auto") -> tuple[list[dict], list[str]] | None:
-    """Messages and images of one conversation in JSON; None for null or what is no conversation of the format."""
-    try:
-        messages = json.loads(text)
-        kind = detect(messages) if form == "auto" else form
-        return {"openai": from_openai, "anthropic": from_anthropic, "native": from_openai}[kind](messages)
-    except (TypeError, ValueError, KeyError, AttributeError):
-        return None
+RAW = "array<struct<role string, content variant, tool_calls variant, loss boolean, loss_scale double>>"
+NONE = "array<string>"
+# Kinds of media, the blocks that hold them by location, and the formats' names.
+MEDIA = ("image", "audio", "video")
+FORMS = ("auto", "openai", "anthropic", "native")
+
+
+def text_at(value: Column, path: str) -> Column:
+    return F.try_variant_get(value, path, "string")
+
+
+def kind_of(value: Column) -> Column:
+    """'ARRAY', 'OBJECT', 'STRING' and so on; null for a missing value."""
+    return F.regexp_extract(F.schema_of_variant(value), r"^[A-Z]+", 0)
+
+
+def listed(value: Column) -> Column:
+    """Elements of a list; none of anything else."""
+    return F.coalesce(F.when(kind_of(value) == "ARRAY", F.try_variant_get(value, "$", "array<variant>")), F.array().cast("array<variant>"))
+
+
+def detected(messages: Column) -> Column:
+    """'openai' if any message has tool calls, 'anthropic' if blocks of tools or of image sources occur, else 'native'."""
+    block = lambda b: text_at(b, "$.type").isin("tool_use", "tool_result") | ((text_at(b, "$.type") == "image") & F.try_variant_get(b, "$.source", "variant").isNotNull())
+    anthropic = F.exists(messages, lambda m: F.exists(listed(m["content"]), lambda b: F.coalesce(block(b), F.lit(False))))
+    return F.when(F.exists(messages, lambda m: F.size(listed(m["tool_calls"])) > 0), "openai").when(anthropic, "anthropic").otherwise("native")
+
+
+def call_text(name: Column, arguments: Column) -> Column:
+    """A call as JSON; arguments that are JSON in a string are decoded, other strings stay, and missing ones are an empty object."""
+    inner = F.try_parse_json(F.when(kind_of(arguments) == "STRING", F.try_variant_get(arguments, "$", "string")))
+    given = F.coalesce(inner, arguments, F.parse_json(F.lit("{}")))
+    return F.to_json(F.struct(name.alias("name"), given.alias("arguments")))
+
+
+def location(block: Column) -> Column:
+    """Where a block's media are: a location as such or under 'url', or a source with a location or encoded data."""
+    kind = text_at(block, "$.type")
+    own = [F.when(kind == f"{m}_url", F.coalesce(text_at(block, f"$.{m}_url.url"), text_at(block, f"$.{m}_url"))) for m in MEDIA]
+    data = F.concat(F.lit("data:"), text_at(block, "$.source.media_type"), F.lit(";base64,"), text_at(block, "$.source.data"))
+    return F.coalesce(*own, text_at(block, "$.source.url"), data)
+
+
+def medium(block: Column) -> Column:
+    """'image', 'audio' or 'video' of a block that holds one, else null."""
+    name = F.regexp_replace(text_at(block, "$.type"), "_url$", "")
+    return F.when(name.isin(*MEDIA) & location(block).isNotNull(), name)
+
+
+def inner_blocks(block: Column) -> Column:
+    """The block, or the blocks in a tool's result."""
+    return F.when(text_at(block, "$.type") == "tool_result", listed(F.try_variant_get(block, "$.content", "variant"))).otherwise(F.array(block))
+
+
+def located(messages: Column, kind: str) -> Column:
+    """Locations of all media of a kind, in order."""
+    blocks = F.flatten(F.transform(F.flatten(F.transform(messages, lambda m: listed(m["content"]))), inner_blocks))
+    return F.transform(F.filter(blocks, lambda b: F.coalesce(medium(b) == kind, F.lit(False))), location)
+
+
+def shown(block: Column) -> Column:
+    """A block's text, or the tag of its medium; null of other blocks."""
+    return F.coalesce(F.when(text_at(block, "$.type") == "text", text_at(block, "$.text")), F.concat(F.lit("<"), medium(block), F.lit(">")))
+
+
+def result_text(block: Column) -> Column:
+    """What a tool has given back: its text, its blocks' texts and tags, or JSON."""
+    content = F.try_variant_get(block, "$.content", "variant")
+    parts = F.array_join(F.transform(listed(content), lambda b: F.coalesce(shown(b), F.to_json(b))), "")
+    return F.coalesce(F.when(kind_of(content) == "ARRAY", parts).when(kind_of(content) == "STRING", text_at(block, "$.content")), F.to_json(content), F.lit(""))
+
+
+def pieces(message: Column) -> Column:
+    """A message as canonical ones: what its blocks show, calls and results in their order, then the calls listed beside them."""
+    own = lambda role, content: F.struct(role.alias("role"), content.alias("content"), message["loss"].alias("loss"), message["loss_scale"].alias("loss_scale"))
+
+    def of_block(b: Column) -> Column:
+        kind = text_at(b, "$.type")
+        call = own(F.lit("tool_call"), call_text(text_at(b, "$.name"), F.try_variant_get(b, "$.input", "variant")))
+        result = own(F.lit("tool_response"), result_text(b))
+        return F.when(kind == "tool_use", call).when(kind == "tool_result", result).otherwise(own(message["role"], F.coalesce(shown(b), F.lit(""))))
+
+    plain = lambda m: ~m["role"].isin("tool_call", "tool_response")
+    runs = islands(F.transform(listed(message["content"]), of_block), lambda a, b: plain(a) & plain(b))
+    whole = F.transform(runs, lambda run: own(run[0]["role"], F.array_join(F.transform(run, lambda m: m["content"]), "")))
+    calls = F.when(message["role"] == "assistant", listed(message["tool_calls"])).otherwise(F.array().cast("array<variant>"))
+
+    def of_call(c: Column) -> Column:
+        inner = F.coalesce(F.try_variant_get(c, "$.function", "variant"), c)
+        return own(F.lit("tool_call"), call_text(text_at(inner, "$.name"), F.try_variant_get(inner, "$.arguments", "variant")))
+
+    text = F.when(kind_of(message["content"]) == "STRING", F.try_variant_get(message["content"], "$", "string"))
+    lone = F.when((F.size(calls) > 0) & (F.coalesce(text, F.lit("")) == ""), F.array().cast(MESSAGES)).otherwise(F.array(own(message["role"], text)).cast(MESSAGES))
+    return F.concat(F.when(kind_of(message["content"]) == "ARRAY", whole.cast(MESSAGES)).otherwise(lone), F.transform(calls, of_call).cast(MESSAGES))
+
+
+def fault(messages: Column) -> Column:
+    """What keeps a conversation from being read, or null."""
+    known = lambda b: shown(b).isNotNull() | F.coalesce(text_at(b, "$.type").isin("tool_use", "tool_result"), F.lit(False))
+    odd = F.filter(F.flatten(F.transform(messages, lambda m: listed(m["content"]))), lambda b: ~known(b))
+    nameless = F.exists(messages, lambda m: m["role"].isNull())
+    return F.when(messages.isNull() | nameless, "no list of messages with roles").when(F.size(odd) > 0, F.concat(F.lit("unknown block "), F.coalesce(text_at(odd[0], "$.type"), F.lit("without a type"))))
 
 
 def normalized(column: Column, form: str = "auto") -> Column:
-    """``messages`` and ``images`` of conversations in JSON; null where one can't be read."""
+    """``messages``, ``images``, ``audios``, ``videos``, ``format`` and ``error`` of conversations in JSON.
 
-    @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        found = [normalize_one(t, form) for t in texts]
-        return pd.Series([None if f is None else json.dumps({"messages": f[0], "images": f[1]}, ensure_ascii=False) for f in found], dtype=object)
+    ``messages`` is null where ``error`` says why. A ``form`` other than ``auto`` is taken as given: the
+    formats' blocks don't contradict each other, so it only sets ``format``.
+    """
+    if form not in FORMS:
+        raise ValueError(f"unknown format {form!r}")
 
-    return F.from_json(run(column), NORMALIZED)
+    def of(raw: Column) -> Column:
+        error = fault(raw)
+        made = F.when(error.isNull(), F.flatten(F.transform(raw, pieces)))
+        return F.struct(
+            made.alias("messages"), *[located(raw, k).alias(f"{k}s") for k in MEDIA], (detected(raw) if form == "auto" else F.lit(form)).alias("format"), error.alias("error")
+        )
 
+    return bound(F.from_json(column, RAW), of)
 
-def same_call(action: str | None, given: str | None, wanted_action: str | None, wanted: str | None) -> float:
-    """1.0 if the names agree and both inputs are equal JSON objects, else 0.0."""
-    if action is None or action != wanted_action:
-        return 0.0
-    try:
-        a, b = json.loads(given), json.loads(wanted)
-    except (TypeError, ValueError):
-        return 0.0
-    return float(isinstance(a, dict) and isinstance(b, dict) and a == b)
+
+def same_object(a: Column, b: Column) -> Column:
+    """Whether both texts are JSON objects, and equal whatever the order of their keys."""
+    one, two = F.try_parse_json(a), F.try_parse_json(b)
+    objects = (kind_of(one) == "OBJECT") & (kind_of(two) == "OBJECT")
+    return F.coalesce(objects & (F.to_json(one) == F.to_json(two)), F.lit(False))
 
 
 def action_reward(completion: Column, solution: Column) -> Column:
-    """``same_call`` of the last ReAct call in each of two texts."""
+    """1.0 if the last ReAct calls of two texts have one name and equal JSON objects as inputs, else 0.0."""
     from parley.functions.toolcalls import react_calls
 
-    @F.pandas_udf("double")
-    def run(name: pd.Series, given: pd.Series, wanted_name: pd.Series, wanted: pd.Series) -> pd.Series:
-        return pd.Series([same_call(*x) for x in zip(name, given, wanted_name, wanted, strict=True)], dtype=float)
+    last = lambda text: bound(react_calls(text), lambda calls: F.when(F.size(calls) > 0, F.element_at(calls, -1)))
+
+    def same(x: Column) -> Column:
+        return F.coalesce((x["a"]["name"] == x["b"]["name"]) & same_object(x["a"]["arguments"], x["b"]["arguments"]), F.lit(False)).cast("double")
 
-    last = lambda text: F.when(F.size(react_calls(text)) > 0, F.element_at(react_calls(text), -1))
-    a, b = last(completion), last(solution)
-    return run(a["name"], a["arguments"], b["name"], b["arguments"])
+    return bound(F.struct(last(completion).alias("a"), last(solution).alias("b")), same)

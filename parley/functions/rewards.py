@@ -67,3 +67,20 @@ def judged_reward(judgement: Column) -> Column:
 
 #: Reward functions of a completion alone, by name.
 REWARDS = {"format": format_reward, "react_format": react_format_reward, "repetition": repetition_reward}
+
+
+# Fixed value: what leads a judge to a number.
+JUDGE_PROMPT = "Reward: "
+
+
+def judge_prompt(query: Column, response: Column, truth: Column | None = None) -> Column:
+    """What a judge of steps is asked: the question, a reference answer if there is one, the response, and where the number goes."""
+    reference = F.lit("") if truth is None else F.when(truth.isNotNull(), F.concat(F.lit("The reference answer is:\n"), truth, F.lit("\n"))).otherwise("")
+    return F.concat(F.lit("The question is:\n"), query, F.lit("\n"), reference, F.lit("The response is:\n"), response, F.lit(f"\nGive your score after '{JUDGE_PROMPT}'."))
+
+
+def process_reward(judgement: Column) -> Column:
+    """The number between the first 'Reward:' of a judge's answer and the next one or the end, asterisks left out; 0 where there is none."""
+    after = F.replace(F.get(F.split(judgement, "Reward:"), F.lit(1)), F.lit("*"), F.lit(""))
+    number = F.regexp_extract(after, r"^\s*([-+]?(?:\d+\.?\d*|\.\d+))\s*$", 1)
+    return F.when(F.contains(judgement, F.lit("Reward:")), F.coalesce(number.try_cast("double"), F.lit(0.0))).otherwise(F.lit(0.0))

@@ -59,10 +59,11 @@ def tagged_calls(text: Column, start: str, middle: str, end: str) -> Column:
 
 
 def listed_calls(text: Column, mark: str) -> Column:
-    """Calls written as a JSON list of objects with name and arguments after a mark; none where the mark is missing."""
-    body = F.substring_index(text, mark, -1)
-    made = F.from_json(body, "array<struct<name string, arguments string>>")
-    return F.when(F.contains(text, F.lit(mark)), F.coalesce(made, F.array().cast(f"array<{CALL}>"))).otherwise(F.array().cast(f"array<{CALL}>"))
+    """Calls written as a list of JSON objects with name and arguments after a mark, with commas or line feeds between them; without any, ReAct calls."""
+    body = F.regexp_extract(F.substring_index(text, mark, -1), r"(?s)(\[.*\])", 1)
+    made = F.from_json(F.regexp_replace(body, r"\}\s*\n\s*\{", "},{"), "array<struct<name string, arguments string>>")
+    made = F.filter(made, lambda c: c["name"].isNotNull() & c["arguments"].isNotNull())
+    return F.when(F.contains(text, F.lit(mark)) & (F.size(made) > 0), made).otherwise(react_calls(text))
 
 
 def nested_calls(text: Column) -> Column:

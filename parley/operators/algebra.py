@@ -130,3 +130,84 @@ def length_batches(df: DataFrame, length: str, key: str, batch: int, mega: int =
     rows = numbered(df, [hash_order(key, seed), F.col(key)]).withColumn("__mega", F.floor(F.col("rn") / (batch * mega)))
     place = F.row_number().over(Window.partitionBy("__mega").orderBy(F.desc(length), key)) - 1
     return rows.withColumn("batch", F.col("__mega") * mega + F.floor(place / batch)).drop("rn", "__mega")
+
+
+def split_in_order(df: DataFrame, n: int, ratio: float, key: str) -> DataFrame:
+    """The first ``n`` rows in key order with ``part``: the first int(n * ratio) are 'val', the others 'train'; nothing is shuffled."""
+    held = int(n * ratio)
+    taken = df.orderBy(key).limit(n)
+    if not held:
+        return taken.withColumn("part", F.lit("train"))
+    border = taken.orderBy(key).limit(held).agg(F.max(key).alias("__border"))  # one row
+    return taken.join(F.broadcast(border)).withColumn("part", F.when(F.col(key) <= F.col("__border"), "val").otherwise("train")).drop("__border")
+
+
+def batches(df: DataFrame, size: int, key: str, name: str = "batch") -> DataFrame:
+    """Whole batches of consecutive rows in key order; what makes no whole one is left out."""
+    whole = df.count() // size
+    return numbered(df, [key]).where(F.col("rn") < whole * size).withColumn(name, F.floor(F.col("rn") / size)).drop("rn")
+
+
+def strided_shard(df: DataFrame, total: int, key: str, name: str = "shard") -> DataFrame:
+    """Rows dealt in turn to ``total`` shards, in key order."""
+    return numbered(df, [key]).withColumn(name, F.pmod("rn", F.lit(total))).drop("rn")
+
+
+def epochs(df: DataFrame, n: int, key: str, name: str = "epoch") -> DataFrame:
+    """All rows ``n`` times, with the number of the round and the place in all rounds."""
+    total = df.count()
+    rounds = numbered(df, [key]).withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>")))
+    return rounds.withColumn("place", F.col("rn") + F.col(name) * total).drop("rn")
+
+
+def drawn(df: DataFrame, source: str, key: str, probabilities: dict[str, float], seed: int = 42, stop: str = "first_exhausted") -> DataFrame:
+    """Rows of sources drawn slot by slot with the given probabilities, each source's in key order, with their ``slot``.
+
+    Slot k's source comes from a hash of seed and slot, so every engine draws the same. ``first_exhausted``
+    ends before the first slot whose source has no next row; ``all_exhausted`` ends when each source has
+    given all its rows, and starts the short ones again. Sources without rows or chance are left out.
+    """
+    if stop not in ("first_exhausted", "all_exhausted"):
+        raise ValueError(f"unknown stop {stop!r}")
+    found = df.where(F.col(source).isin([s for s, p in probabilities.items() if p > 0]))
+    counts = {r[0]: r[1] for r in found.groupBy(source).agg(F.count("*")).collect()}
+    names = [s for s in probabilities if counts.get(s)]
+    if not names:
+        return df.limit(0).withColumn("slot", F.lit(0).cast("long"))
+    total = sum(probabilities[s] for s in names)
+    # as many slots as the slowest source may need, with room for chance; more are drawn if they do not do
+    need = max(counts[s] / probabilities[s] for s in names) * total if stop == "all_exhausted" else min(counts[s] / probabilities[s] for s in names) * total
+    slots = int(need + 8 * need**0.5 + 64)
+    while True:
+        plan = _drawn_plan(df, source, names, [probabilities[s] / total for s in names], slots, seed)
+        last = {r[0]: r[1] for r in plan.join(F.broadcast(_sizes(df, counts, stop)), F.col("__s") == F.col("__name")).where("__k = __want").groupBy("__s").agg(F.min("slot")).collect()}
+        if stop == "first_exhausted" and last or len(last) == len(names):
+            break
+        slots *= 2
+    end = min(last.values()) - 1 if stop == "first_exhausted" else max(last.values())
+    size = F.element_at(F.create_map(*[x for s in names for x in (F.lit(s), F.lit(counts[s]))]), F.col("__s"))
+    plan = plan.where(F.col("slot") <= end).withColumn("__k", F.pmod("__k", size))
+    ranked = numbered_by(found, source, key)
+    return ranked.join(plan, (F.col(source) == F.col("__s")) & (F.col("__rn") == F.col("__k"))).drop("__s", "__k", "__rn")
+
+
+def _drawn_plan(df: DataFrame, source: str, names: list[str], shares: list[float], slots: int, seed: int) -> DataFrame:
+    """``slot, __s, __k``: the source of each slot, and how often it was drawn before."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")).cast("binary")), 1, 13)
+    unit = F.conv(digits, 16, 10).cast("double") / F.lit(float(2**52))
+    name, edge = F.lit(names[-1]), 1.0
+    for s, share in zip(reversed(names[:-1]), reversed(shares[1:]), strict=True):
+        edge -= share
+        name = F.when(unit < F.lit(edge), F.lit(s)).otherwise(name)
+    return numbered_by(df.sparkSession.range(slots).select(F.col("id").alias("slot"), name.alias("__s")), "__s", "slot").withColumnRenamed("__rn", "__k")
+
+
+def _sizes(df: DataFrame, counts: dict[str, int], stop: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([(s, n if stop == "first_exhausted" else n - 1) for s, n in counts.items()], "__name string, __want long")
+
+
+def numbered_by(df: DataFrame, group: str, key: str, name: str = "__rn") -> DataFrame:
+    """Row numbers from 0 within each group in key order; a large group's rows lie in many range partitions, none in one task alone."""
+    rows = numbered(df, [F.col(group), F.col(key)], "__all")
+    first = rows.groupBy(group).agg(F.min("__all").alias("__first"))
+    return rows.join(F.broadcast(first), group).withColumn(name, F.col("__all") - F.col("__first")).drop("__all", "__first")

@@ -168,3 +168,76 @@ def negatives(queries: DataFrame, pool: DataFrame, key: str, item: str, allowed:
     best = rows.groupBy(key, "__slice").agg(first(F.collect_list(F.struct("h", F.col(item).alias("i")))).alias("best"))
     best = best.groupBy(key).agg(first(F.flatten(F.collect_list("best"))).alias("best"))
     return best.select(key, F.posexplode("best").alias("p", "x")).select(key, F.col("x.i").alias(item), (F.col("p") + 1).cast("long").alias("rank"))
+
+
+def row_length(lengths: Column, packed: bool = True) -> Column:
+    """Length of a row of several sequences: their sum where they are packed one after another, the greatest where they are filtered."""
+    held = F.coalesce(lengths, F.array().cast("array<bigint>"))
+    total = F.aggregate(held, F.lit(0).cast("long"), lambda acc, n: acc + n)
+    return total if packed else F.coalesce(F.array_max(held).cast("long"), F.lit(0).cast("long"))
+
+
+def pack_shards(rows: int, workers: int, window: int = 1000) -> int:
+    """Shards of a table that is packed by several workers: one for each window of rows at most."""
+    return max(1, min(workers, -(-rows // window)))
+
+
+def fill(lengths: list[tuple[int, int]], capacity: int) -> list[list[tuple[int, int]]]:
+    """Packs of (key, length) by best-fit decreasing, in the order in which they were opened; ties to the smaller key."""
+    import bisect
+
+    packs: list[list[tuple[int, int]]] = []
+    space: list[tuple[int, int]] = []
+    for key, n in sorted(lengths, key=lambda x: (-x[1], x[0])):
+        at = bisect.bisect_left(space, (n, -1))
+        room, pack = space.pop(at) if at < len(space) else (max(capacity, n), len(packs))
+        if pack == len(packs):
+            packs.append([])
+        packs[pack].append((key, n))
+        bisect.insort(space, (room - n, pack))
+    return packs
+
+
+def windowed_fit(df: DataFrame, length: str, key: str, capacity: int, workers: int = 1, window: int = 1000) -> DataFrame:
+    """``shard, pack_id`` of each row by best-fit decreasing in windows: the last pack of a window is taken apart and joins the next one.
+
+    Shards are contiguous in key order, as many as ``pack_shards`` says, and packed on their own; results
+    depend on their number. A task holds a window and the pack carried over, whatever the shard's size.
+    """
+    from collections.abc import Iterator
+
+    rows = df.count()
+    shards = pack_shards(rows, workers, window)
+    placed = numbered(df.select(key, length), [key], "__rn")
+    # bounds int(i * rows / shards), as of evenly spaced numbers
+    bounds = [int(i * rows / shards) for i in range(shards)]
+    shard = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b <= F.col("__rn"))) - 1
+    placed = placed.withColumn("shard", shard.cast("long"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, pack, held, fresh = None, 0, [], 0
+
+        def close(last: bool) -> pd.DataFrame:
+            nonlocal pack, held, fresh
+            packs = fill(held, capacity)
+            carried = [] if last or not packs else packs.pop()
+            out = [(own, pack + i, k) for i, rows_ in enumerate(packs) for k, _ in rows_]
+            pack, held, fresh = pack + len(packs), carried, 0
+            return pd.DataFrame(out, columns=["shard", "pack_id", key])
+
+        for frame in frames:
+            for s, k, n in frame.itertuples(index=False):
+                if s != own:
+                    if own is not None:
+                        yield close(True)
+                    own, pack, held, fresh = s, 0, [], 0
+                held.append((k, n))
+                fresh += 1
+                if fresh == window:
+                    yield close(False)
+        if own is not None:
+            yield close(True)
+
+    kind = dict(df.dtypes)[key]
+    dealt = placed.repartition(shards, "shard").sortWithinPartitions("shard", "__rn").select("shard", key, F.coalesce(length, F.lit(0)).cast("long").alias(length))
+    return dealt.mapInPandas(run, f"shard long, pack_id long, {key} {kind}")

@@ -27,4 +27,4 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from parley.plans import agents, conversations, datasets, losses, recipes, relational, sampling, scoring, training  # noqa: E402, F401
+from parley.plans import agents, conversations, datasets, losses, objects, recipes, relational, sampling, scoring, training  # noqa: E402, F401
