@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.operators import algebra, packing
+from parley.operators import algebra, instruction_sets, packing
 from parley.plans.registry import load, query
 
 ORDER = "md5(doc_id::varchar || ':42'), doc_id"
@@ -171,13 +171,14 @@ def best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "n35_kto_kl",
-    """with r as (select doc_id, source, row_number() over (order by doc_id) - 1 rn, substr(text, 1, 20) c from documents),
-    b as (select *, rn // 8 batch from r) select doc_id, coalesce(lag(c) over w, last_value(c) over (partition by batch order by rn rows between unbounded preceding and unbounded following)) as rejected
-    from b window w as (partition by batch order by rn)""",
+    """with r as (select doc_id, row_number() over (order by doc_id) - 1 rn, text c from documents), b as (select *, rn // 8 batch from r),
+    x as (select doc_id, coalesce(lag(c) over w, last_value(c) over (partition by batch order by rn rows between unbounded preceding and unbounded following)) c from b window w as (partition by batch order by rn))
+    select doc_id, md5(c) as rejected from x""",
 )
 def kto_kl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir, "text").withColumn("c", F.substring("text", 1, 20))
-    return packing.rotate_in_batches(docs, "c", "doc_id", 8, "rejected").select("doc_id", "rejected")
+    """Whole responses go one row on within their batch; what comes back is a digest."""
+    out = packing.rotate_in_batches(documents(spark, sf_dir, "text"), "text", "doc_id", 8, "rejected")
+    return out.select("doc_id", F.md5(F.col("rejected").cast("binary")).alias("rejected"))
 
 
 @query(
@@ -193,12 +194,13 @@ def kto_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "e31_chunk9",
-    "select doc_id, regexp_replace(left(replace(text, '.', '0'), 27), '(.{9})', '\\1' || chr(10), 'gs') as rows from documents where length(text) >= 28",
+    """with c as (select doc_id, length(text) n, regexp_replace(replace(text, '.', '0'), '(.{9})', '\\1' || chr(10), 'gs') x from documents where text is not null)
+    select doc_id, md5(case when n > 0 and n % 9 = 0 then left(x, length(x) - 1) else x end) as rows from c""",
 )
 def chunk9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A board of 27 cells in rows of nine, from the head of the text; the cut is the layout of the board."""
-    board = F.substring(F.replace(F.col("text"), F.lit("."), F.lit("0")), 1, 27)
-    return documents(spark, sf_dir, "text").where(F.length("text") >= 28).select("doc_id", F.regexp_replace(board, "(?s)(.{9})", "$1\n").alias("rows"))
+    """Whole texts as boards: lines of nine cells."""
+    boards = instruction_sets.sudoku_rows(documents(spark, sf_dir, "text").where("text is not null"), "text", "doc_id")
+    return boards.select("doc_id", F.md5(F.col("rows").cast("binary")).alias("rows"))
 
 
 @query("e07_keep_kinds", "select doc_id, source from documents where source in ('src1', 'src3', 'src5')")

@@ -36,7 +36,9 @@ class Spec:
             rest, sample = head, int(tail)
         subsets: tuple[str, ...] = ()
         if not exists(rest):
-            rest, mark, tail = rest.partition(":")
+            scheme, there, inner = rest.rpartition("://")  # a scheme's colon is none of ours
+            rest, mark, tail = inner.partition(":")
+            rest = scheme + there + rest
             subsets = tuple(s.strip() for s in tail.split("/")) if mark else ()
         return cls(rest.strip(), subsets, sample, hub)
 
