@@ -16,14 +16,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.functions import rewards
+from parley.functions import metrics, rewards
 from parley.operators import losses, normalize
 
 #: By kind and name; ``register`` adds to them.
 KINDS: dict[str, dict[str, Callable]] = {
     "preprocessor": {"auto": normalize.auto_preprocess, "alpaca": normalize.alpaca_preprocess, "messages": normalize.messages_preprocess, "response": normalize.response_preprocess},
     "reward": rewards.REWARDS,
-    "metric": {},
+    "metric": metrics.METRICS,
     "loss": losses.LOSSES,
 }
 

@@ -163,3 +163,13 @@ def text_overlap(df: DataFrame, key: str, hypothesis: str, reference: str) -> Da
 
     kind = dict(df.dtypes)[key]
     return df.select(key, hypothesis, reference).mapInPandas(run, f"{key} {kind}, rouge_1 double, rouge_2 double, rouge_l double, bleu_4 double")
+
+
+#: Metrics of a table's columns by name, as aggregates; more can be registered.
+METRICS: dict[str, Callable[..., Column]] = {
+    "acc": lambda predicted, label: F.avg((F.col(predicted) == F.col(label)).cast("double")),
+    "mean": lambda value: F.avg(value),
+    "std": lambda value: F.stddev_pop(value),
+    "nan_std": lambda value: F.coalesce(F.stddev_samp(value), F.lit(float("nan"))),
+    "pearson": lambda a, b: F.corr(a, b),
+}

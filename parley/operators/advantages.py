@@ -83,3 +83,20 @@ def best_of_n(df: DataFrame, group: str, key: str, score: str, good: str, n_best
     worst = df.groupBy(group).agg(F.max(F.struct((-F.col(score)).alias("s"), F.col(key).alias("k")))["k"].alias("rejected"))
     chosen = df.withColumn("pick", up).where((F.col("pick") <= n_best) & F.col(good))
     return chosen.join(worst, group).where(F.col(key) != F.col("rejected")).select(group, F.col(key).alias("chosen"), "rejected", F.col("pick").cast("long").alias("pick"))
+
+
+def filled(rounds: list[DataFrame], reward: str, group: str, size: int) -> DataFrame:
+    """Rows of the first ``size`` groups whose rewards differ, taken from the rounds in turn until there are enough; too few in all of them give the first round as it is."""
+    found = None
+    for rows in rounds:
+        good = informative(rows, reward, group)
+        found = good if found is None else found.unionByName(good)
+        chosen = found.select(group).distinct().orderBy(group).limit(size)
+        if chosen.count() == size:
+            return found.join(chosen, group, "left_semi")
+    return rounds[0]
+
+
+def function_metrics(df: DataFrame, rewards: list[str]) -> DataFrame:
+    """One row: mean and sample deviation of each reward column over the rows that have it."""
+    return df.agg(*[f(c).alias(f"{c}_{name}") for c in rewards for name, f in (("mean", F.avg), ("std", F.stddev_samp))])

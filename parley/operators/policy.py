@@ -76,3 +76,24 @@ def reweighed(teacher: Column, student: Column, advantage: Column, clip: float,
         return advantage * (F.lit(1 - strength) + F.lit(strength) * bounded)
 
     return F.zip_with(teacher, student, one)
+
+
+def with_teacher(df: DataFrame, teacher: str, student: str, advantage: str, mask: str, strength: float) -> DataFrame:
+    """Token advantages plus ``strength`` times the teacher's log ratio to the student, on the masked-in tokens."""
+    gap = F.when(F.col(mask) != 0, F.col(teacher) - F.col(student)).otherwise(0.0)
+    return df.withColumn(advantage, F.col(advantage) + F.lit(strength) * gap)
+
+
+def masked_k3(new: Column, reference: Column, mask: Column, clamp: float | None = None) -> Column:
+    """``k3`` of masked-in tokens, 0 of others: the mask comes before the exponential, which padding could overflow."""
+    return F.when(mask != 0, k3(new, reference, clamp)).otherwise(0.0)
+
+
+def influence(log_ratios: Column, advantages: Column, gamma: float, clip: float, dual: float = 10.0) -> Column:
+    """Weights of a sequence's tokens by what they lead to: exp of the discounted sum of later log ratios, kept within 1 - clip and 1 + clip.
+
+    Tokens whose ratio exceeds ``dual`` at a negative advantage are left out of the sums. The sums come from
+    running ones from the end, so the work is linear in the length.
+    """
+    kept = F.zip_with(log_ratios, advantages, lambda x, a: F.when((a < 0) & (F.exp(x) > dual), F.lit(0.0)).otherwise(x))
+    return F.transform(future_sums(kept, gamma), lambda s: F.greatest(F.least(F.exp(s), F.lit(1 + clip)), F.lit(1 - clip)))

@@ -57,3 +57,20 @@ def shuffled_buffers(df: DataFrame, order: list[str], key: str, size: int = 1000
     rows = numbered(df, order, "__rn").withColumn("__run", F.floor(F.col("__rn") / size))
     inside = F.row_number().over(Window.partitionBy("__run").orderBy(hash_order(key, seed), key)) - 1
     return rows.withColumn("place", (F.col("__run") * size + inside).cast("long")).drop("__rn", "__run")
+
+
+def replaced_within(df: DataFrame, failed: Column, key: str, tries: int = 10, seed: int = 42) -> DataFrame:
+    """The same with a limit: the i-th failed row looks at ``tries`` places of its own in a fixed order of all rows and takes the first good one; a row that finds none raises.
+
+    ``slot`` is the key whose place a row fills.
+    """
+    total = df.count()
+    order = numbered(df.withColumn("__bad", failed), [hash_order(key, seed), F.col(key)], "__k")
+    bad = numbered(df.where(failed).select(F.col(key).alias("slot")), ["slot"], "__i")
+    places = bad.select("slot", F.posexplode(F.sequence(F.lit(0), F.lit(tries - 1))).alias("__try", "__t"), F.col("__i")).withColumn("__k", F.pmod(F.col("__i") * tries + F.col("__t"), F.lit(max(total, 1))))
+    found = places.join(order.where(~F.col("__bad")), "__k")
+    first = found.groupBy("slot").agg(F.min("__try").alias("__try"))
+    if first.count() < bad.count():
+        raise ValueError(f"a row found no replacement in {tries} tries")
+    taken = found.join(first, ["slot", "__try"]).select(*df.columns, "slot")
+    return df.where(~failed).withColumn("slot", F.col(key)).unionByName(taken)
