@@ -3,8 +3,8 @@
 Lines are reduced to distinct ones first, named by 128 bits of hash. Each gets character shingles, one
 at every position, hashed to 64 bits. The hashes' range is cut into equal parts; the least hashes of a
 part make a band. Lines that share a band form a bucket. All lines of a bucket are compared by the
-exact Jaccard similarity of their shingles, except where two are known to resemble its pivot and
-so are joined already. Distributed union-find joins what is similar, and of each component the line
+exact Jaccard similarity of their shingles, except where a chain of lines known to be alike joins
+them already. Distributed union-find joins what is similar, and of each component the line
 that comes first is kept.
 """
 
@@ -93,28 +93,29 @@ def sketch(found: Column) -> Column:
 
 
 def alike(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
-    """The ``pairs`` whose Jaccard similarity reaches ``threshold``."""
+    """The ``pairs`` whose lines' Jaccard similarity reaches ``threshold``."""
     one, two = known.select(F.col("id").alias("u"), F.col("line").alias("lu")), known.select(F.col("id").alias("v"), F.col("line").alias("lv"))
     sets = F.struct(shingles(F.col("lu")).alias("u"), shingles(F.col("lv")).alias("v"))
     # texts take less room in shuffles than the hashes, which are made here
     same = bound(sets, lambda x: bound(F.size(F.array_intersect(x.u, x.v)), lambda n: n >= F.lit(threshold) * (F.size(x.u) + F.size(x.v) - n)))
-    return pairs.join(one, "u").join(two, "v").where(same).select("u", "v")
+    return pairs.join(one, "u").join(two, "v").where(same).select(*pairs.columns)
 
 
-def others(members: DataFrame, edges: DataFrame, known: DataFrame, threshold: float) -> tuple[DataFrame, str]:
-    """Pairs, and where they are written, of buckets of more than SMALL lines that are not joined through the bucket's pivot and may be alike.
+def others(members: DataFrame, roots: DataFrame, known: DataFrame, threshold: float) -> tuple[DataFrame, str]:
+    """Pairs, and where they are written, of buckets of more than SMALL lines that no chain of known links joins yet and that may be alike.
 
-    Each line that does not resemble the pivot meets all others of its bucket, in tiles. Sizes and sketches rule out only what is not alike.
+    ``roots`` are the components so far. Each line outside the component of its bucket's pivot meets all
+    lines of the bucket that are in another component than its own, in tiles. Sizes and sketches rule
+    out only what is not alike. ``cu`` and ``cv`` are the pairs' components.
     """
-    star = edges.select(F.col("u").alias("id"), F.col("v").alias("first"), F.lit(True).alias("hit"))
-    star = star.union(edges.select(F.col("v"), F.col("u"), F.lit(True)))
-    large = members.where(f"n > {SMALL}").join(star, ["id", "first"], "left")
-    large = large.withColumn("linked", (F.col("id") == F.col("first")) | F.col("hit").isNotNull()).select("key", "id", "n", "linked")
+    large = members.where(f"n > {SMALL}").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+    pivots = large.where("id = first").groupBy("key").agg(F.first("c").alias("pivot"))
+    large = joined(large, pivots, ["key"]).select("key", "id", "n", "c", (F.col("c") == F.col("pivot")).alias("linked"))
     open_ = large.where("not linked").groupBy("key").agg(F.count("*").alias("loose"))
     loose = joined(large, open_, ["key"])
     drawn = bound(shingles(F.col("line")), lambda h: F.struct(F.size(h).alias("size"), sketch(h).alias("s")))
     drawn = known.join(loose.select("id").distinct(), "id").select("id", drawn.alias("drawn"))
-    sides = loose.join(drawn, "id").select("key", "id", "linked", "drawn.*", F.ceil(F.col("loose") / TILE).alias("tx"), F.ceil(F.col("n") / TILE).alias("ty"))
+    sides = loose.join(drawn, "id").select("key", "id", "c", "linked", "drawn.*", F.ceil(F.col("loose") / TILE).alias("tx"), F.ceil(F.col("n") / TILE).alias("ty"))
     sides, sides_at = materialize(sides, "lines-sides")
     last = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
     a = sides.where("not linked").select("*", F.pmod(F.xxhash64("id"), "tx").alias("x"), F.explode(last("ty")).alias("y")).alias("a")
@@ -123,17 +124,18 @@ def others(members: DataFrame, edges: DataFrame, known: DataFrame, threshold: fl
     near = F.least("a.size", "b.size") >= F.lit(threshold) * F.greatest("a.size", "b.size") - 1e-6
     bits = sum((F.bit_count(F.col(f"a.s.w{k}").bitwiseXOR(F.col(f"b.s.w{k}"))) for k in range(WORDS)), F.lit(0))
     near = near & (bits <= sizes * ((1 - threshold) / (1 + threshold)) + 1e-6)
-    met = a.join(b, F.expr("a.key = b.key and a.x = b.x and a.y = b.y and a.id <> b.id and (b.linked or a.id > b.id)") & near)
-    pairs, pairs_at = materialize(met.select(F.greatest("a.id", "b.id").alias("u"), F.least("a.id", "b.id").alias("v")).distinct(), "lines-others")
+    met = a.join(b, F.expr("a.key = b.key and a.x = b.x and a.y = b.y and a.c <> b.c and (b.linked or a.id > b.id)") & near)
+    pairs, pairs_at = materialize(met.select(F.col("a.id").alias("u"), F.col("b.id").alias("v"), F.col("a.c").alias("cu"), F.col("b.c").alias("cv")).distinct(), "lines-others")
     remove(members.sparkSession, sides_at)
     return pairs, pairs_at
 
 
-def similar(lines: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """Pairs ``u``, ``v`` of ids of distinct lines whose shingle sets' Jaccard similarity reaches ``threshold``.
+def rooted(lines: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+    """``id`` and ``root`` of each distinct line: lines of one root are joined by a chain of lines whose shingle sets' Jaccard similarity reaches ``threshold``.
 
-    Lines of a bucket that are alike are joined by a pair or by a chain of pairs. ``lines`` has an ``id``,
-    the ``line`` and the ``keys`` of its signature.
+    All lines of a bucket that are alike come to have one root. ``lines`` has an ``id``, the ``line`` and
+    the ``keys`` of its signature. First each line is compared with its buckets' pivots; then only
+    what is still apart.
     """
     spark = lines.sparkSession
     keyed = lines.select("id", F.explode("keys").alias("key"))
@@ -153,11 +155,16 @@ def similar(lines: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     known, known_at = materialize(known, "lines-known")
     edges, edges_at = materialize(alike(pairs, known, threshold), "lines-edges")
     remove(spark, pairs_at)
-    more, more_at = others(members, edges, known, threshold)
-    found, _ = materialize(edges.union(alike(more, known, threshold)), "lines-alike")
-    for path in (members_at, known_at, edges_at, more_at):
+    roots, _ = materialize(connected_components(edges, "lines-cc"), "lines-roots")
+    remove(spark, edges_at)
+    more, more_at = others(members, roots, known, threshold)
+    between, between_at = materialize(alike(more, known, threshold).select(F.col("cu").alias("u"), F.col("cv").alias("v")), "lines-between")
+    for path in (members_at, known_at, more_at):
         remove(spark, path)
-    return found
+    higher, _ = materialize(connected_components(between, "lines-cc"), "lines-higher")
+    remove(spark, between_at)
+    first = lines.select("id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("node"))
+    return first.join(higher, "node", "left").select("id", F.coalesce("component", "node").alias("root"))
 
 
 def repeated(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -167,11 +174,11 @@ def repeated(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     lines = signed(distinct_lines(found))
     # the number is given once, as the table is written
     lines, lines_at = materialize(lines.withColumn("id", F.monotonically_increasing_id()), "lines")
-    roots, roots_at = materialize(connected_components(similar(lines, threshold), "lines-cc"), "lines-roots")
-    rooted = lines.select("id", "h1", "h2", "place", "n").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("component", "id"))
+    roots, roots_at = materialize(rooted(lines, threshold), "lines-root")
+    found_roots = lines.select("id", "h1", "h2", "place", "n").join(roots, "id")
     # what stays of each component; lines that occur once and resemble none need no second look
-    stays = rooted.groupBy("root").agg(F.min("place").alias("stays"), F.sum("n").alias("total")).where("total > 1").drop("total")
-    judged, _ = materialize(joined(rooted, stays, ["root"]).select("h1", "h2", "stays"), "lines-judged")
+    stays = found_roots.groupBy("root").agg(F.min("place").alias("stays"), F.sum("n").alias("total")).where("total > 1").drop("total")
+    judged, _ = materialize(joined(found_roots, stays, ["root"]).select("h1", "h2", "stays"), "lines-judged")
     remove(spark, lines_at)
     remove(spark, roots_at)
     spots = found.select("h1", "h2", "row", "doc_id", "at").join(judged, ["h1", "h2"])
