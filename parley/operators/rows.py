@@ -32,8 +32,8 @@ def checked(df: DataFrame, checks: dict[str, Column], strict: bool = False, show
     error = F.coalesce(*[F.when(~F.coalesce(fine, F.lit(False)), F.lit(name)) for name, fine in checks.items()])
     told = df.withColumn("error", error)
     if strict:
-        told = told.withColumn("error", F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.lit("bad row: "), "error"))))
-        return told.drop("error"), told.limit(0)
+        fine = F.when(F.col("error").isNull(), True).otherwise(F.raise_error(F.concat(F.lit("bad row: "), "error")).cast("boolean"))
+        return told.where(fine).drop("error"), told.limit(0)
     return told.where("error is null").drop("error"), told.where("error is not null").limit(shown)
 
 
