@@ -23,8 +23,8 @@ SIMILARITY = 0.8
 BAND_BITS, ROWS = 4, 8
 #: Members of a bucket that are all compared with each other at once, and of a tile of a larger bucket.
 SMALL, TILE = 4, 1000
-#: Words of 64 bits in a sketch that rules pairs of a large bucket out.
-WORDS = 4
+#: Words of 64 bits in a sketch that rules pairs of a large bucket out: so many that sets of a few hundred members hardly meet in a bit.
+WORDS = 16
 
 
 def hashes(line: Column) -> Column:
