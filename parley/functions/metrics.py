@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -113,6 +114,24 @@ def share(hits: Column) -> Column:
     return F.when(F.size(hits) > 0, F.aggregate(hits, F.lit(0.0), lambda acc, x: acc + x) / F.size(hits))
 
 
+def words_of(text: str) -> list[str]:
+    """Words of a text: what blanks part, and each ideograph and kana on its own, since they are written without blanks."""
+    return re.findall(r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]|[^\s\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]+", text)
+
+
+def common_length(a: list[str], b: list[str]) -> int:
+    """Length of the longest common subsequence, a row of the table at a time as the bits of one number."""
+    places: dict[str, int] = {}
+    for i, x in enumerate(b):
+        places[x] = places.get(x, 0) | 1 << i
+    full = (1 << len(b)) - 1
+    open_ = full
+    for x in a:
+        hit = open_ & places.get(x, 0)
+        open_ = ((open_ + hit) | (open_ - hit)) & full
+    return len(b) - open_.bit_count()
+
+
 def overlap(hypothesis: list[str], reference: list[str]) -> tuple[float, float, float, float]:
     """ROUGE-1, ROUGE-2 and ROUGE-L (F values) and smoothed BLEU-4 of two lists of words, from 0 to 1."""
     import math
@@ -129,12 +148,7 @@ def overlap(hypothesis: list[str], reference: list[str]) -> tuple[float, float,
     for n in (1, 2):
         a, b = set(grams(hypothesis, n)), set(grams(reference, n))
         rouge.append(f_value(len(a & b), len(a), len(b)))
-    row = [0] * (len(reference) + 1)
-    for x in hypothesis:
-        last = 0
-        for j, y in enumerate(reference, 1):
-            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
-    rouge.append(f_value(row[-1], len(hypothesis), len(reference)))
+    rouge.append(f_value(common_length(hypothesis, reference), len(hypothesis), len(reference)))
     logs, missing = 0.0, 1
     for n in range(1, 5):
         a, b = grams(hypothesis, n), grams(reference, n)
@@ -156,7 +170,7 @@ def text_overlap(df: DataFrame, key: str, hypothesis: str, reference: str) -> Da
         for pdf in frames:
             rows = []
             for k, h, r in zip(pdf[key], pdf[hypothesis], pdf[reference], strict=True):
-                h, r = (h or "").split(), (r or "").split()
+                h, r = words_of(h or ""), words_of(r or "")
                 if r:
                     rows.append((k, *(round(100 * x, 6) for x in (overlap(h, r) if h else (0.0,) * 4))))
             yield pd.DataFrame(rows, columns=[key, "rouge_1", "rouge_2", "rouge_l", "bleu_4"])

@@ -32,16 +32,17 @@ def cosine_reward(
 
 
 def repetition_reward(completion: Column, n: int = 3, max_penalty: float = -1.0) -> Column:
-    """``max_penalty`` times the share of repeated word n-grams; 0 with fewer than n words."""
+    """``max_penalty`` times the share of repeated word n-grams; 0 with fewer than n words. N-grams are told apart by 64 bits of hash."""
     words = F.filter(F.split(F.lower(completion), r"\s+"), lambda w: w != "")
 
     def of(held: Column) -> Column:
         count = F.size(held) - (n - 1)
-        grams = F.transform(F.sequence(F.lit(1), count), lambda i: F.array_join(F.slice(held, i, n), " "))
+        # words are hashed once, not once for each n-gram that they are in
+        grams = F.transform(F.slice(held, F.lit(1), F.greatest(count, F.lit(0))), lambda _, i: F.xxhash64(*[F.get(held, i + k) for k in range(n)]))
         share = F.lit(1.0) - F.size(F.array_distinct(grams)) / count
         return F.when(count >= 1, share * F.lit(max_penalty)).otherwise(F.lit(0.0))
 
-    return F.when(completion.isNotNull(), bound(words, of))
+    return F.when(completion.isNotNull(), bound(F.transform(words, lambda w: F.xxhash64(w)), of))
 
 
 def overlong_reward(length: Column, max_length: int, cache: int) -> Column:

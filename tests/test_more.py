@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from parley.functions import agents, extensions, weights
+from parley.functions import agents, extensions, metrics, weights
 from parley.functions.messages import MESSAGES
 from parley.operators import algebra, encode, inference, packing, relations, resample, rows
 from parley.sources import readers
@@ -171,3 +171,17 @@ def test_batches_replace_themselves(spark, tmp_path):
     assert spark.read.parquet(path).count() == 5 and readers.written_batches(spark, path) == [7, 8]
     with pytest.raises(ValueError):
         streams.split(spark.range(1), 0.5)
+
+
+def test_common_length():
+    rng = random.Random(9)
+    for _ in range(60):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randrange(12))] for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+        assert metrics.common_length(a, b) == row[-1]
+    assert metrics.words_of("ab 中文字 c中") == ["ab", "中", "文", "字", "c", "中"]
+    assert metrics.overlap(list("abcde"), list("abcde"))[:3] == (1.0, 1.0, 1.0) and metrics.overlap(["x"], ["y"]) == (0.0, 0.0, 0.0, 0.0)
