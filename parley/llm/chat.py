@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from parley.llm.common import materialize
 
@@ -16,35 +17,26 @@ from parley.llm.common import materialize
 TURN_START, TURN_END = "<|im_start|>", "<|im_end|>"
 
 
-def turn_text(role: Column, text: Column) -> Column:
-    """A turn in one string that tells role and text apart, whatever they hold."""
-    return F.concat(F.length(role).cast("string"), F.lit(":"), role, text)
-
-
 def snapshots(turns: DataFrame) -> DataFrame:
-    """One row per ``conv_id``: ``body`` (role and text by turn) and ``chain``, the rolling hash after each turn."""
+    """A row for each turn with ``role``, ``text``, its place ``at`` from 1, the rolling hash ``h1, h2`` of all up to it, and whether it is the ``last``.
+
+    The hash is a running sum of 128 bits of hash of place, role and text, so it grows by one addition a turn.
+    """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     clean = turns.where("conv_id is not null").select(F.col("conv_id"), F.coalesce("turn", F.lit(-1)).cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-    # repeated rows go before turns are gathered, so that a conversation logged many times under one id stays small
-    once = clean.groupBy("conv_id", "turn", "role", "text").agg(F.lit(1).alias("one"))
-    body = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
-    rows = once.groupBy("conv_id").agg(body.alias("body"))
-    start = F.array().cast("array<string>")
-
-    def link(acc: Column, t: Column) -> Column:
-        before = F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(""))
-        return F.concat(acc, F.array(F.md5(F.concat(before, turn_text(t["role"], t["text"])).cast("binary"))))
-
-    return rows.withColumn("chain", F.aggregate("body", start, link))
+    # repeated rows go before turns are ordered, so that a conversation logged many times under one id stays small
+    once = clean.groupBy("conv_id", "turn", "role", "text").agg(F.lit(1).alias("one")).drop("one")
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    placed = once.withColumn("at", F.row_number().over(order)).withColumn("last", F.lead(F.lit(1)).over(order).isNull())
+    running = lambda seed: F.sum(F.xxhash64(F.lit(seed), "at", "role", "text").cast("decimal(20,0)")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return placed.select("conv_id", "role", "text", "at", "last", running(1).alias("h1"), running(2).alias("h2"))
 
 
 def maximal(rows: DataFrame) -> DataFrame:
-    """Rows of ``snapshots`` that are no proper prefix of another, and of equal ones that with the smallest id."""
-    hashes = rows.select(F.explode(F.slice("chain", 1, F.size("chain") - 1)).alias("last")).distinct()
-    whole = rows.withColumn("last", F.element_at("chain", -1))
-    first = whole.groupBy("last").agg(F.min("conv_id").alias("conv_id"))
-    kept = first.join(hashes, "last", "left_anti").select("conv_id")
-    return whole.join(kept, "conv_id", "left_semi").drop("last")
+    """``conv_id`` of the conversations of ``snapshots`` that are no proper prefix of another, and of equal ones the smallest id."""
+    prefixes = rows.where("not last").select("h1", "h2").distinct()
+    whole = rows.where("last").groupBy("h1", "h2").agg(F.min("conv_id").alias("conv_id"))
+    return whole.join(prefixes, ["h1", "h2"], "left_anti").select("conv_id")
 
 
 def rendered(body: Column, add_prompt: bool = False) -> Column:
@@ -58,15 +50,16 @@ def format_chats(turns: DataFrame, add_prompt: bool = False) -> DataFrame:
     """``conv_id, n_turns, n_chars, rendered``: the maximal conversations of rows ``conv_id, turn, role, text``.
 
     Turns are ordered by number, then role, then text; a null number comes first, null roles and texts
-    count as empty, and rows without an id are left out. Rows that repeat a turn word for word count
+    count as empty, and rows without an id are left out. Only conversations that are kept are gathered. Rows that repeat a turn word for word count
     once. Two conversations are compared by their roles and texts in order, not by their turns'
     numbers. An empty table gives an empty result; other columns play no part.
     """
     rows, _ = materialize(snapshots(turns), "chat-snapshots")
-    out = rendered(F.col("body"), add_prompt)
-    return maximal(rows).select("conv_id", F.size("body").cast("long").alias("n_turns"), out.alias("rendered")).select(
-        "conv_id", "n_turns", F.length("rendered").cast("long").alias("n_chars"), "rendered"
-    )
+    kept = rows.join(maximal(rows), "conv_id", "left_semi")
+    body = F.sort_array(F.collect_list(F.struct("at", "role", "text")))
+    gathered = kept.groupBy("conv_id").agg(body.alias("body"))
+    out = gathered.select("conv_id", F.size("body").cast("long").alias("n_turns"), rendered(F.col("body"), add_prompt).alias("rendered"))
+    return out.select("conv_id", "n_turns", F.length("rendered").cast("long").alias("n_chars"), "rendered")
 
 
 CHAT_SQL = """
