@@ -27,10 +27,12 @@ BLOCK_BYTES = 4 << 20
 CACHE_WORDS, SAMPLE_DOCS, CACHE_BYTES = 500_000, 32_768, 32
 #: A longer word is merged by a heap in Python: folding takes time in the square of the length.
 FOLD_BYTES = 64
-#: In place of a rank: the pair is no token.
-NONE = 1 << 16
-#: Pairs of primes: sizes of the hash map's two halves, tried in turn.
-SIZES = ((199_999, 260_011), (240_011, 180_001), (262_007, 229_981), (520_019, 399_989))
+#: Bits of a rank, at least and at most: three ranks must fit in a long.
+LEAST_BITS, MOST_BITS = 16, 20
+#: Sizes of the hash map's two halves in multiples of the entries, tried in turn.
+ROOM = ((0.75, 1.0), (1.0, 0.7), (1.1, 0.95), (2.0, 1.6), (4.0, 3.2))
+#: Ids in blocks and in the cache.
+IDS = "<u4"
 # Fixed value: the Unicode White_Space characters, which \\s stands for in the tokenizer's pattern.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -41,31 +43,45 @@ def vocabulary(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def pair_table(ranks: dict[bytes, int]) -> tuple[tuple[int, int], list[int]]:
-    """The map of token pairs to merged tokens, as sizes and entries of the two halves of a cuckoo hash table.
+def rank_bits(ranks: dict[bytes, int]) -> int:
+    """Bits that hold each rank, and one more value that stands for none."""
+    bits = max(LEAST_BITS, (max(ranks.values(), default=0) + 1).bit_length())
+    if bits > MOST_BITS:
+        raise ValueError(f"ranks must fit in {MOST_BITS} bits")
+    return bits
 
-    A pair is left * 65536 + right, and lies at its remainder by the first size in the first half or
-    by the second size in the second. An entry is pair * 65536 + merged token, or -1.
+
+def next_prime(n: int) -> int:
+    n = max(n, 3) | 1
+    while any(n % k == 0 for k in range(3, int(n**0.5) + 1, 2)):
+        n += 2
+    return n
+
+
+def pair_table(ranks: dict[bytes, int]) -> tuple[tuple[int, int, int], list[int]]:
+    """The map of token pairs to merged tokens, as sizes and bits of a rank, and entries of the two halves of a cuckoo hash table.
+
+    A pair is left and right rank in one number, and lies at its remainder by the first size in the first half or
+    by the second size in the second. An entry is the pair and the merged token in one number, or -1.
     """
-    if max(ranks.values(), default=0) >= 1 << 16:
-        raise ValueError("ranks must fit in 16 bits")
-    entries = []
+    bits, entries = rank_bits(ranks), []
     for token, rank in ranks.items():
         for i in range(1, len(token)):
             left, right = ranks.get(token[:i]), ranks.get(token[i:])
             if left is not None and right is not None:
-                entries.append(((left << 16 | right) << 16) | rank)
-    for sizes in SIZES:
+                entries.append(((left << bits | right) << bits) | rank)
+    for one, two in ROOM:
+        sizes = (next_prime(int(one * len(entries))), next_prime(int(two * len(entries)) + 2))
         table = [-1] * sum(sizes)
-        if all(_insert(table, sizes, e) for e in entries):
-            return sizes, table
+        if all(_insert(table, sizes, e, bits) for e in entries):
+            return (*sizes, bits), table
     raise ValueError("no table holds the vocabulary's pairs")
 
 
-def _insert(table: list[int], sizes: tuple[int, int], entry: int) -> bool:
+def _insert(table: list[int], sizes: tuple[int, int], entry: int, bits: int) -> bool:
     half = 0
     for _ in range(500):
-        at = (entry >> 16) % sizes[half] + half * sizes[0]
+        at = (entry >> bits) % sizes[half] + half * sizes[0]
         entry, table[at] = table[at], entry
         if entry < 0:
             return True
@@ -78,33 +94,34 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def lookup(table: Column, sizes: tuple[int, int], left: Column, right: Column) -> Column:
-    """Rank of a pair of tokens, as a long; NONE if it is no token or the right side is missing."""
-
+def lookup(table: Column, sizes: tuple[int, int, int], left: Column, right: Column) -> Column:
+    """Rank of a pair of tokens, as a long; the value beyond all ranks if it is no token or the right side is missing."""
+    one, two, bits = sizes
     # written out rather than bound to variables: arithmetic costs less here than a lambda
-    key = F.shiftleft(left, 16).bitwiseOR(right)
-    first = F.get(table, (key % F.lit(sizes[0])).cast("int"))
-    second = F.get(table, (key % F.lit(sizes[1])).cast("int") + F.lit(sizes[0]))
-    low = F.lit(65535)
-    found = F.when(F.shiftright(first, 16) == key, first.bitwiseAND(low))
-    found = found.when(F.shiftright(second, 16) == key, second.bitwiseAND(low))
-    return found.otherwise(F.lit(NONE).cast("long"))
+    key = F.shiftleft(left, bits).bitwiseOR(right)
+    first = F.get(table, (key % F.lit(one)).cast("int"))
+    second = F.get(table, (key % F.lit(two)).cast("int") + F.lit(one))
+    low = F.lit((1 << bits) - 1).cast("long")
+    found = F.when(F.shiftright(first, bits) == key, first.bitwiseAND(low))
+    found = found.when(F.shiftright(second, bits) == key, second.bitwiseAND(low))
+    return found.otherwise(F.lit(1 << bits).cast("long"))
 
 
-def fold(table: Column, sizes: tuple[int, int], word: Column) -> Column:
-    """Token ids of a word given as the ids of its bytes.
+def fold(table: Column, sizes: tuple[int, int, int], word: Column) -> Column:
+    """Token ids of a word of at most 256 bytes given as the ids of its bytes.
 
     Each token is one long: the rank of the pair that it begins, its offset and its id. The least of
     them is the pair to merge, leftmost among equals.
     """
-    rank_of = lambda x: F.shiftright(x, 24)
-    id_of = lambda x: x.bitwiseAND(F.lit(65535))
-    offset_of = lambda x: x.bitwiseAND(F.lit(0xFF0000))
+    bits = sizes[2]
+    rank_of = lambda x: F.shiftright(x, bits + 8)
+    id_of = lambda x: x.bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+    offset_of = lambda x: x.bitwiseAND(F.lit(0xFF << bits).cast("long"))
 
     def token(left: Column, right: Column, offset: Column) -> Column:
-        return F.shiftleft(lookup(table, sizes, left, right), 24).bitwiseOR(offset).bitwiseOR(left)
+        return F.shiftleft(lookup(table, sizes, left, right), bits + 8).bitwiseOR(offset).bitwiseOR(left)
 
-    start = F.transform(word, lambda x, i: token(x.cast("long"), F.get(word, i + 1).cast("long"), F.shiftleft(i.cast("long"), 16)))
+    start = F.transform(word, lambda x, i: token(x.cast("long"), F.get(word, i + 1).cast("long"), F.shiftleft(i.cast("long"), bits)))
 
     def merge(acc: Column, least: Column) -> Column:
         def at(p: Column) -> Column:  # p: where the pair begins, from 1
@@ -117,7 +134,7 @@ def fold(table: Column, sizes: tuple[int, int], word: Column) -> Column:
         return let(F.array_position(acc, least).cast("int"), at)
 
     def step(acc: Column, _: Column) -> Column:
-        return let(F.array_min(acc), lambda least: F.when(rank_of(least) < NONE, merge(acc, least)).otherwise(acc))
+        return let(F.array_min(acc), lambda least: F.when(rank_of(least) < F.lit(1 << bits), merge(acc, least)).otherwise(acc))
 
     return F.aggregate(F.slice(word, F.lit(2), F.lit(FOLD_BYTES)), start, step, lambda acc: F.transform(acc, lambda x: id_of(x).cast("int")))
 
@@ -206,8 +223,8 @@ class Cache:
         words, ids = words.take(pa.array(order)), ids.take(pa.array(order))
         self.words = b"".join(w.as_buffer() for w in words)
         self.word_ends = np.r_[0, np.cumsum([len(w.as_buffer()) for w in words], dtype=np.int64)].astype(np.int32)
-        self.ids = ids.flatten().to_numpy(zero_copy_only=False).astype("<u2").tobytes()
-        self.id_ends = np.r_[0, np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64) * 2].astype(np.int32)
+        self.ids = ids.flatten().to_numpy(zero_copy_only=False).astype(IDS).tobytes()
+        self.id_ends = np.r_[0, np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64) * 4].astype(np.int64)
 
     def find(self, words: list[bytes]) -> list[bytes | None]:
         """The ids of each word, or None."""
@@ -244,7 +261,7 @@ class Tokenizer:
 
 
 def frequent_words(docs: DataFrame, tokenizer: Tokenizer, words: int = CACHE_WORDS, sample: int = SAMPLE_DOCS) -> Cache:
-    """The most frequent words of a sample of texts, of about ``sample`` documents at most, with their ids as 16-bit integers."""
+    """The most frequent words of a sample of texts, of about ``sample`` documents at most, with their ids."""
     share = min(1.0, sample / max(1, docs.count()))
     unit = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "text"), 11).cast("double") / F.lit(float(2**53))
     ranks, pattern = tokenizer.ranks, tokenizer.pattern
@@ -321,16 +338,16 @@ def encode_blocks(docs: DataFrame, tokenizer: Tokenizer, cache: Cache) -> DataFr
             for i, (raw, ids) in enumerate(zip(spelt, cached.find(spelt), strict=True)):
                 rank = ranks.get(raw)
                 if rank is not None:
-                    ids = struct.pack("<H", rank)
+                    ids = struct.pack("<I", rank)
                 if ids is None and len(raw) > FOLD_BYTES:
                     long = heap_merge(raw, ranks)
-                    ids = struct.pack(f"<{len(long)}H", *long)
+                    ids = struct.pack(f"<{len(long)}I", *long)
                 if ids is None:
                     words.append([first[b] for b in raw])
                     lengths[i] = -1
                 else:
                     known.append(ids)
-                    lengths[i] = len(ids) // 2
+                    lengths[i] = len(ids) // 4
             counts = np.array([len(c) for c in codes], "<i4")
             binary = [pa.array([x], pa.binary()) for x in map(pack, (counts.tobytes(), np.concatenate(codes).tobytes(), lengths.tobytes(), b"".join(known)))]
             arrays = [pa.array([keys], pa.list_(pa.int64())), *binary, pa.array([words], pa.list_(pa.list_(pa.int32())))]
@@ -369,8 +386,8 @@ def resolve(counts: bytes, codes: bytes, lengths: bytes, known: bytes, folded_id
     sizes[fresh] = own
     starts = np.zeros(len(sizes), np.int64)
     starts[~fresh] = np.cumsum(sizes[~fresh]) - sizes[~fresh]
-    pool = np.concatenate([np.frombuffer(known, "<u2").astype(np.int64), flat])
-    starts[fresh] = np.cumsum(own) - own + len(known) // 2
+    pool = np.concatenate([np.frombuffer(known, IDS).astype(np.int64), flat])
+    starts[fresh] = np.cumsum(own) - own + len(known) // 4
     at = 0
     for count in counts.tolist():
         these = codes[at : at + count]

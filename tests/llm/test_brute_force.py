@@ -242,3 +242,21 @@ def test_long_words_and_pattern():
         assert [i for w in cut(text) for i in bpe.heap_merge(w.encode(), t.ranks)] == own.encode_ordinary(text)
     word = "".join(rng.choice(list("abcde"), 5000))
     assert bpe.heap_merge(word.encode(), t.ranks) == own.encode_ordinary(word)
+
+
+def test_large_vocabulary(spark, tmp_path):
+    """Ranks beyond 16 bits: all pairs and triples of some letters after the bytes."""
+    letters = [bytes([c]) for c in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOP"]
+    tokens = [bytes([b]) for b in range(256)] + [a + b for a in letters for b in letters] + [a + b + c for a in letters for b in letters for c in letters]
+    path = tmp_path / "large.tiktoken"
+    path.write_bytes(b"\n".join(base64.b64encode(t) + f" {i}".encode() for i, t in enumerate(tokens)))
+    t = bpe.Tokenizer(str(path), public_tokenizers.PATTERN)
+    assert max(t.ranks.values()) >= 1 << 16 and t.pairs[0][2] == 17
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=t.ranks, special_tokens={})
+    rng = np.random.default_rng(2)
+    texts = {i: " ".join("".join(chr(c) for c in rng.choice(list(b"abcxyzABCQ7"), rng.integers(1, 70))) for _ in range(20)) for i in range(6)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for cached in (0, 1000):
+        out = {r["doc_id"]: r["ids"] for r in bpe.encode(df, t, cached).collect()}
+        assert out == {i: own.encode_ordinary(x) for i, x in texts.items()}
+    assert {r["doc_id"]: bytes(r["bytes"]).decode() for r in bpe.decode(bpe.encode(df, t), t).collect()} == texts
