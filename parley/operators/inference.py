@@ -118,3 +118,15 @@ def finish_reason(n_tokens: Column, max_tokens: Column, ended: Column) -> Column
 def clamped_tokens(asked: Column, prompt: Column, limit: int) -> Column:
     """Tokens that may be made: what is asked for, at most what the model's length leaves, which is all where nothing is asked for."""
     return F.least(F.coalesce(asked, F.lit(limit) - prompt), F.lit(limit) - prompt)
+
+
+def candidate_scores(df: DataFrame, group: str, reward: str, threshold: float, name: str = "score") -> DataFrame:
+    """``name`` and ``mask`` of candidates: a list of rewards counts by its least; the mask tells whether that exceeds the threshold.
+
+    Scores are scaled within the group, (x - min) / (max - min + 1e-5); equal ones give min(1, x), and 0 if they are 0.
+    """
+    from parley.operators.advantages import scaled_scores
+
+    least = F.array_min(reward) if df.schema[reward].dataType.typeName() == "array" else F.col(reward)
+    rows = df.withColumn(name, least.cast("double")).withColumn("mask", F.col(name) > threshold)
+    return rows.withColumn(name, scaled_scores(name, group))

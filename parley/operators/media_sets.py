@@ -177,3 +177,28 @@ def marked_classes(one_hot: Column) -> Column:
 def rooted(path: Column, root: str) -> Column:
     """A relative path under the root; an absolute one as it is."""
     return F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
+
+
+#: Share of English among grounding questions, in hundredths.
+ENGLISH = 80
+# Questions on an object's place, and on what is at a place.
+GROUNDING = {
+    ("grounding", "en"): ("<ref-object>", "The positions of <ref-object> is", "Find the positions of <ref-object>", "Where is <ref-object>", "Find <ref-object>", "Show me <ref-object>", "Detect <ref-object>", "Locate <ref-object>", "Tell me the location of <ref-object>", "Give the location of <ref-object>", "Provide the bounding box coordinate of <ref-object>"),
+    ("grounding", "zh"): ("<ref-object>", "<ref-object>的位置在图片中", "<ref-object>在图片中", "<ref-object>在", "找到<ref-object>的位置", "<ref-object>在哪里", "提供<ref-object>的坐标位置"),
+    ("caption", "en"): ("<bbox>", "The object at position <bbox>", "This <bbox> is", "What is the object at <bbox>", "Describe <bbox>", "<bbox> is", "The bounding box coordinate <bbox> contains"),
+    ("caption", "zh"): ("<bbox>", "<bbox>是什么", "<bbox>的位置包含", "描述<bbox>", "<bbox>中是", "坐标<bbox>描述了什么", "描述<bbox>中的事物"),
+}
+
+
+def hash_number(key: Column, seed: int, n: int) -> Column:
+    """A number below ``n`` from the first digits of md5('seed:key'), which any engine can repeat."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary")), 1, 8)
+    return (F.conv(digits, 16, 10).cast("long") % F.lit(n)).cast("int")
+
+
+def grounding_dialog(df: DataFrame, key: str, task: str, *keep: str, seed: int = 42) -> DataFrame:
+    """A question and answer with tags for an object and its box; language and wording by hashes of the key."""
+    answer = "<bbox>" if task == "grounding" else "<ref-object>"
+    pick = lambda lang: F.get(F.array(*map(F.lit, GROUNDING[task, lang])), hash_number(F.col(key), seed + 1, len(GROUNDING[task, lang])))
+    question = F.when(hash_number(F.col(key), seed, 100) < ENGLISH, pick("en")).otherwise(pick("zh"))
+    return df.select(*keep, dialog(said("user", question), said("assistant", F.lit(answer))).alias("messages"))

@@ -206,3 +206,93 @@ def held_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start().awaitTermination()
     readers.write_jsonl(spark.table(name), out)
     return spark.read.schema("start timestamp, n long").json(out)
+
+
+# --- further rows of the inventory -----------------------------------------------------------
+
+
+@query("d07_ranges", "with r as (select doc_id, row_number() over (order by doc_id) - 1 rn, count(*) over () n from documents) select doc_id, 'taken' as part from r where rn < 40 union all select doc_id, 'skipped' from r where rn >= n - 25 union all select doc_id, 'selected' from r where rn in (3, 5, 8)")
+def ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Take, skip and select by place: they are the feature."""
+    from parley.operators import algebra
+
+    docs = load(spark, sf_dir, "documents").select("doc_id")
+    placed, total = algebra.numbered(docs, ["doc_id"]), docs.count()
+    part = lambda rows, name: rows.select("doc_id", F.lit(name).alias("part"))
+    taken = part(docs.orderBy("doc_id").limit(40), "taken")
+    return taken.union(part(docs.orderBy("doc_id").offset(max(total - 25, 0)), "skipped")).union(part(placed.where(F.col("rn").isin(3, 5, 8)), "selected"))
+
+
+@query("e19_answer_classes", "select doc_id, text, 0 as label, lang as answer from documents where lang is not null union all select doc_id, text, 1, source from documents where source is not null")
+def answer_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each class has one answer here, so the draw among them is the same in any engine."""
+    rows = load(spark, sf_dir, "documents").withColumns({"human": F.array_compact(F.array("lang")), "machine": F.array_compact(F.array("source"))})
+    return recipes.answers_exploded(rows, "text", {"human": 0, "machine": 1}, "doc_id").select("doc_id", "text", "label", "answer")
+
+
+def wordings(task: str, lang: str) -> str:
+    from parley.operators.media_sets import GROUNDING
+
+    return "[" + ", ".join(f"'{x}'" for x in GROUNDING[task, lang]) + f"][('0x' || substr(md5('43:' || page_id::varchar), 1, 8))::bigint % {len(GROUNDING[task, lang])} + 1]"
+
+
+@query("n28_grounding", f"select page_id, md5('user:' || case when ('0x' || substr(md5('42:' || page_id::varchar), 1, 8))::bigint % 100 < 80 then {wordings('grounding', 'en')} else {wordings('grounding', 'zh')} end || chr(1) || 'assistant:<bbox>') as messages from pages")
+def grounding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators import media_sets
+    from parley.plans.recipes import digest
+
+    return media_sets.grounding_dialog(load(spark, sf_dir, "pages"), "page_id", "grounding", "page_id").select("page_id", digest().alias("messages"))
+
+
+@query(
+    "s16_refusals",
+    "select page_id, case page_id % 8 when 0 then 'scheme' when 1 then 'metadata' when 2 then 'metadata' when 3 then 'private' when 4 then 'private' when 5 then 'metadata' when 6 then 'scheme' end as why, case page_id % 8 when 0 then 'scheme' when 1 then 'metadata' when 2 then 'metadata' when 5 then 'metadata' when 6 then 'scheme' end as inside from pages where url is not null",
+)
+def refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.functions import urls
+
+    made = ["ftp://x.org/a", "http://169.254.169.254/latest", "http://[::ffff:169.254.1.1]/", "http://10.1.2.3:80/x", "https://LOCALHOST/x", "http://100.100.100.200/", "file:///etc/passwd"]
+    url = F.coalesce(F.get(F.array(*map(F.lit, made)), (F.col("page_id") % 8).cast("int")), F.concat(F.lit("https://example.org/"), F.col("page_id").cast("string")))
+    rows = load(spark, sf_dir, "pages").where("url is not null")
+    return rows.select("page_id", urls.refusal(url).alias("why"), urls.refusal(url, internal=True).alias("inside"))
+
+
+@query("t19_protected", "with d as (select doc_id, list_transform(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> ''), lambda w: length(w)) t from documents where text is not null), p as (select doc_id, t, list_filter(range(1, len(t) + 1), lambda i: t[i] = 7) g, list_filter(range(1, len(t) + 1), lambda i: t[i] <> 7) o from d) select doc_id, (len(g) + least(len(o), greatest(32 - len(g), 0)))::integer as n, coalesce(list_sum(list_transform(o[:greatest(32 - len(g), 0)], lambda i: t[i])), 0)::bigint + 7 * len(g) as total from p")
+def protected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most 32 ids, where those equal to 7 must all stay: the cut is the feature."""
+    from parley.functions import sequences
+    from parley.operators import encode
+
+    rows = load(spark, sf_dir, "documents").where("text is not null").select("doc_id", encode.word_ids(F.col("text")).alias("ids"))
+    out = rows.select("doc_id", sequences.truncated(F.col("ids"), 32, F.array(F.lit(7))).alias("x"))
+    return out.select("doc_id", F.size("x").alias("n"), F.aggregate("x", F.lit(0).cast("long"), lambda a, v: a + v).alias("total"))
+
+
+@query("v12_cispo_loss", TOKENS + f"select {r('avg(-least(exp(nw - od), 1.2) * a * (nw - od))', 'loss')} from t where m = 1")
+def cispo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = token_rows(spark, sf_dir).withColumn("x", policy.clipped(F.col("new") - F.col("old"), F.col("adv"), kind="cispo"))
+    return rounded(policy.loss(rows, "x", "mask", "seq", "cispo").select("loss"))
+
+
+@query("v12_bnpo_loss", TOKENS + f"select {r('avg(x)', 'loss')} from l")
+def bnpo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = token_rows(spark, sf_dir).withColumn("x", policy.clipped(F.col("new") - F.col("old"), F.col("adv")))
+    return rounded(policy.loss(rows, "x", "mask", "seq", "bnpo").select("loss"))
+
+
+@query("i05_candidate_scores", f"with c as (select user_id, event_id, least(value, 100)::double x from events where value is not null), g as (select user_id, min(x) lo, max(x) hi from c group by user_id) select user_id, event_id, x > 50 as mask, {r('case when lo = hi then case when lo = 0 then 0 else least(1, lo) end else (x - lo) / (hi - lo + 1e-5) end', 'score')} from c join g using (user_id)")
+def candidate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators import inference
+
+    rows = load(spark, sf_dir, "events").where("value is not null").select("user_id", "event_id", F.array(F.col("value"), F.lit(100.0)).alias("x"))
+    return rounded(inference.candidate_scores(rows, "user_id", "x", 50.0).select("user_id", "event_id", "mask", "score"), "user_id", "event_id", "mask")
+
+
+@query("i06_with_truth", "select user_id, count(*)::bigint as n, string_agg(case when t then 'T' else 'c' end, '' order by pl) as order_ from (select user_id, event_id::bigint pl, false t from events union all select user_id, 4611686018427387904, true from events group by user_id) group by user_id")
+def with_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from parley.operators import inference
+
+    rows = load(spark, sf_dir, "events").select("user_id", "event_id", "event_type", F.lit("truth").alias("truth"))
+    out = inference.candidates_with_truth(rows, "user_id", "event_type", "truth", "event_id")
+    held = F.sort_array(F.collect_list(F.struct("at", F.when(F.col("is_truth"), "T").otherwise("c").alias("k"))))
+    return out.groupBy("user_id").agg(F.count("*").alias("n"), F.array_join(F.transform(held, lambda x: x["k"]), "").alias("order_"))
