@@ -105,8 +105,8 @@ def interleave(df: DataFrame, source: str, key: str, order: list[str], stop: str
     plan = spark.range(slots).select(F.col("id").alias("slot")).select(
         "slot", F.get(names, at).alias("__s"), F.pmod(F.floor(F.col("slot") / len(order)) * F.get(per, at) + F.get(seen, at), F.get(size, at)).alias("__k")
     )
-    ranked = df.withColumn("__k", F.row_number().over(Window.partitionBy(source).orderBy(key)) - 1)
-    return ranked.join(plan, (F.col(source) == F.col("__s")) & (ranked["__k"] == plan["__k"])).drop("__s", "__k")
+    ranked = numbered_by(df.where(F.col(source).isin(order)), source, key)
+    return ranked.join(plan, (F.col(source) == F.col("__s")) & (F.col("__rn") == F.col("__k"))).drop("__s", "__k", "__rn")
 
 
 def keep_last(df: DataFrame, key: str, order: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from parley.functions.bind import free
 
@@ -39,3 +40,20 @@ def named(ids: Column, names: list[str]) -> Column:
     """Names of an array of numbers from 0; numbers without a name are null."""
     table = F.array(*map(F.lit, names))
     return F.transform(ids, lambda i: F.get(table, i.cast("int")))
+
+
+def as_of(df: DataFrame, key: str, time: str, mark: Column, value: str, name: str, width: str = "day") -> DataFrame:
+    """``name``: of each row, the ``value`` of its key's last marked row up to its time; of marked rows at one time that with the greatest value.
+
+    Keys are cut into spans of time, so a hot key's rows lie in many tasks: a window looks back within a span,
+    and what the spans before have left comes from one row a key and span.
+    """
+    rows = df.withColumns({"_span": F.date_trunc(width, time), "_mark": mark})
+    marked = F.when(F.col("_mark"), F.struct(F.col(time).alias("t"), F.col(value).alias("v")))
+    left = rows.groupBy(key, "_span").agg(F.max(marked).alias("_last"))
+    before = Window.partitionBy(key).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    carried = left.select(F.col(key).alias("_key"), F.col("_span").alias("_of"), F.last("_last", ignorenulls=True).over(before).alias("_before"))
+    inner = Window.partitionBy(key, "_span").orderBy(time).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = rows.withColumn("_own", F.max(marked).over(inner))
+    out = seen.join(carried, F.col(key).eqNullSafe(F.col("_key")) & F.col("_span").eqNullSafe(F.col("_of")), "left")
+    return out.withColumn(name, F.coalesce("_own", "_before")["v"]).drop("_span", "_mark", "_own", "_key", "_of", "_before")

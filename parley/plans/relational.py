@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from parley.operators import relations
 from parley.plans.registry import load, query
 from parley.streaming import windows
 
@@ -66,11 +67,9 @@ def anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     asof left join (select user_id, ts, max(event_id) event_id from events where event_type = 'purchase' group by 1, 2) p on e.user_id = p.user_id and e.ts >= p.ts""",
 )
 def as_of_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each other event with the user's last purchase up to then: one window over the union, no join."""
+    """Each other event with the user's last purchase up to then, in spans of a day."""
     e = load(spark, sf_dir, "events").select("event_id", "user_id", "ts", (F.col("event_type") == "purchase").alias("buy"))
-    w = Window.partitionBy("user_id").orderBy("ts", F.desc("buy"), "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    last = F.last(F.when(F.col("buy"), F.col("event_id")), ignorenulls=True).over(w)
-    return e.withColumn("before_id", last).where("not buy").select("event_id", "before_id")
+    return relations.as_of(e, "user_id", "ts", F.col("buy"), "event_id", "before_id").where("not buy").select("event_id", "before_id")
 
 
 @query("rel_cube", "select l_returnflag, l_linestatus, count(*)::bigint as n from lineitem group by cube (l_returnflag, l_linestatus)")
