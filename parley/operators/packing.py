@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from parley.functions.bind import bound
 from parley.operators.algebra import numbered
+from parley.sources.scratch import folder
 
 #: Rows of a shard that is packed in one go, and pool items that a query's negatives are drawn from at once.
 SHARD_ROWS, POOL_ROWS = 100_000, 10_000
@@ -80,7 +81,10 @@ def next_fit(df: DataFrame, length: str, key: str, capacity: int, shard_rows: in
     state grows with the table. A first pass tells what each shard makes of any open pack, from which the pack that is
     open at each shard's start follows: packs are those of one sequential pass. Lengths are whole numbers from 0.
     """
-    rows = numbered(df, [key, length], "__rn").withColumn("__shard", F.floor(F.col("__rn") / shard_rows))
+    spark, numbers = df.sparkSession, folder(df.sparkSession, "packing")
+    # numbered once, since both passes read it
+    numbered(df, [key, length], "__rn").withColumn("__shard", F.floor(F.col("__rn") / shard_rows)).write.parquet(numbers)
+    rows = spark.read.parquet(numbers)
 
     def told(pdf: pd.DataFrame) -> pd.DataFrame:
         found = transitions(pdf.sort_values("__rn", kind="stable")[length].tolist(), capacity)
@@ -97,7 +101,7 @@ def next_fit(df: DataFrame, length: str, key: str, capacity: int, shard_rows: in
         r = next(r for r in choices if r["least"] is None or used >= r["least"])
         pack, used = pack + r["packs"], used + r["used"] if r["least"] is None else r["used"]
     # a row per shard
-    states = df.sparkSession.createDataFrame(states, "__s long, __pack long, __used double")
+    states = spark.createDataFrame(states, "__s long, __pack long, __used double")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("__rn", kind="stable")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -16,4 +17,16 @@ def folder(spark: SparkSession, name: str) -> str:
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="parley-files-")
-    return f"{root.rstrip('/')}/parley-{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/parley-{name}-{uuid.uuid4().hex}"
+    atexit.register(remove, spark, path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path, and what was written beside it under its name; nothing where the session has ended already."""
+    if spark.sparkContext._jsc is None:
+        return
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in fs.globStatus(target.suffix("*")) or []:
+        fs.delete(found.getPath(), True)
