@@ -210,3 +210,11 @@ def val_split_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     readers.write_jsonl(algebra.split(rows, 0.1, "doc_id").where("part = 'val'").drop("part"), path)
     found = spark.read.schema("doc_id long, text string").json(path)
     return found.join(rows, ["doc_id", "text"], "left").agg(F.count("*").alias("n")).withColumn("within", F.lit(found.join(rows, ["doc_id", "text"], "left_anti").count() == 0))
+
+
+@query("u_user_loader", "select i::bigint as id, 'row ' || i::varchar as text from (select unnest(range(0, (select count(*) from documents))) i)")
+def user_loader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A loader in Python in four shards, as many rows as there are documents."""
+    from parley.sources import loaders
+
+    return loaders.load(spark, "parley.sources.loaders:counted", "id long, text string", 4, str(load(spark, sf_dir, "documents").count()))
