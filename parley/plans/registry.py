@@ -27,4 +27,4 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from parley.plans import agents, conversations, datasets, encoding, losses, more, objects, recipes, relational, sampling, scoring, sources, training  # noqa: E402, F401
+from parley.plans import agents, conversations, datasets, encoding, inventory, losses, more, objects, recipes, relational, sampling, scoring, sources, training  # noqa: E402, F401
