@@ -322,7 +322,12 @@ def feature(payload: bytes) -> str:
 
 
 def store(docs: DataFrame, path: str) -> None:
-    """Write every whole text (null: the empty text) as an image into archives under ``path``. Ids may be null or repeat."""
+    """Write every whole text (null: the empty text) as an image into archives under ``path``.
+
+    Ids may be null or repeat, and each row has a member of its own. An empty table gives a manifest of no
+    archives, which reads as no rows. Other columns play no part. A member of the format holds less than
+    4 GB; a longer text fails the write.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -346,7 +351,10 @@ def load(spark: SparkSession, path: str, on_error: str = "raise") -> DataFrame:
 
 
 def describe(media: DataFrame) -> DataFrame:
-    """Decoded payload digests and features, one row per stored member that could be read."""
+    """Decoded payload digests and features, one row per stored member that could be read; none of no members.
+
+    Equal texts have equal values. Rows that repeat stay, null ids too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
