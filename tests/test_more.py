@@ -185,3 +185,15 @@ def test_common_length():
         assert metrics.common_length(a, b) == row[-1]
     assert metrics.words_of("ab 中文字 c中") == ["ab", "中", "文", "字", "c", "中"]
     assert metrics.overlap(list("abcde"), list("abcde"))[:3] == (1.0, 1.0, 1.0) and metrics.overlap(["x"], ["y"]) == (0.0, 0.0, 0.0, 0.0)
+
+
+def test_approx_quantiles_are_near(spark, data):
+    """Approximate quantiles lie within a hundredth of their ranks, and distinct counts within a tenth."""
+    from parley.plans.registry import QUERIES
+
+    rows = spark.read.parquet(f"{data}/lineitem.parquet").select("l_returnflag", "l_extendedprice", "l_orderkey").collect()
+    for r in QUERIES["rel_approx_quantiles"](spark, data).collect():
+        own = [x for x in rows if x["l_returnflag"] == r["l_returnflag"]]
+        for q, v in zip((0.5, 0.9), r["price"], strict=True):
+            assert abs(sum(x["l_extendedprice"] <= v for x in own) / len(own) - q) < 0.01
+        assert abs(r["orders"] / len({x["l_orderkey"] for x in own}) - 1) < 0.1
