@@ -221,3 +221,14 @@ def inference_stats(requests: DataFrame, request: str, order: str, prompt_tokens
     last = requests.groupBy(request).agg(F.max(F.struct(order, prompt_tokens, generated_tokens)).alias("x"))
     n, p, g = F.count("*"), F.sum(f"x.{prompt_tokens}"), F.sum(f"x.{generated_tokens}")
     return last.agg(n.alias("num_samples"), p.alias("num_prompt_tokens"), g.alias("num_generated_tokens"), (n / F.lit(seconds)).alias("samples_s"), (g / F.lit(seconds)).alias("tokens_s"))
+
+
+def infonce_metrics(scores: DataFrame, query: str, kind: str, score: str) -> DataFrame:
+    """One row: mean of the positives' scores, of all other documents' scores, and of the positive less the highest of the others.
+
+    ``kind`` is as in ``infonce``; scores of queries and pairs don't count. A query without others has no margin.
+    """
+    rows = scores.where(F.col(kind).isin("positive", "document"))
+    positive, other = F.when(F.col(kind) == "positive", F.col(score)), F.when(F.col(kind) == "document", F.col(score))
+    each = rows.groupBy(query).agg(F.max(positive).alias("p"), F.sum(other).alias("s"), F.count(other).alias("n"), F.max(other).alias("h"))
+    return each.agg(F.avg("p").alias("mean_pos"), (F.sum("s") / F.sum("n")).alias("mean_neg"), F.avg(F.col("p") - F.col("h")).alias("margin"))

@@ -228,3 +228,8 @@ def listwise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(losses.listwise_loss(ranked(spark, sf_dir), "x", "y", "g", temperature=2.0))
 
 
+
+
+@query("g09_infonce_batch", BATCH + f", k as (select q, max(s) filter (where kind = 'positive') p, max(s) filter (where kind = 'document') h from a group by q) select {r('avg(p)', 'mean_pos')}, (select {r('avg(s)', 'x')} from a where kind = 'document') as mean_neg, {r('avg(p - h)', 'margin')} from k")
+def infonce_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(losses.infonce_metrics(scores(spark, sf_dir), "q", "kind", "s"))
