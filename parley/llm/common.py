@@ -59,11 +59,13 @@ def remove(spark: SparkSession, path: str) -> None:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def materialize(df: DataFrame, name: str, files: int | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet in the shared folder and reread it: lineage ends in files that no executor owns.
 
-    Shuffle files of the write go as soon as it is over, since nothing but the table is read again.
+    Shuffle files of the write go as soon as it is over, since nothing but the table is read again. Where the
+    caller knows how large the table can be, ``files`` is the most that it is written in.
     """
+    df = df if files is None else df.coalesce(files)
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")

@@ -23,6 +23,8 @@ SIMILARITY = 0.8
 BAND_BITS, ROWS = 4, 8
 #: Members of a bucket that are all compared with each other at once, and of a tile of a larger bucket.
 SMALL, TILE = 4, 1000
+#: Distinct lines for each file of the tables that are made of them, and files at least.
+FILE_LINES, LEAST_FILES = 20_000, 12
 #: Words of 64 bits in a sketch that rules pairs of a large bucket out: so many that sets of a few hundred members hardly meet in a bit.
 WORDS = 16
 
@@ -101,7 +103,7 @@ def alike(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(one, "u").join(two, "v").where(same).select(*pairs.columns)
 
 
-def others(members: DataFrame, roots: DataFrame, known: DataFrame, threshold: float) -> tuple[DataFrame, str]:
+def others(members: DataFrame, roots: DataFrame, known: DataFrame, threshold: float, files: int) -> tuple[DataFrame, str]:
     """Pairs, and where they are written, of buckets of more than SMALL lines that no chain of known links joins yet and that may be alike.
 
     ``roots`` are the components so far. Each line outside the component of its bucket's pivot meets all
@@ -116,7 +118,7 @@ def others(members: DataFrame, roots: DataFrame, known: DataFrame, threshold: fl
     drawn = bound(shingles(F.col("line")), lambda h: F.struct(F.size(h).alias("size"), sketch(h).alias("s")))
     drawn = known.join(loose.select("id").distinct(), "id").select("id", drawn.alias("drawn"))
     sides = loose.join(drawn, "id").select("key", "id", "c", "linked", "drawn.*", F.ceil(F.col("loose") / TILE).alias("tx"), F.ceil(F.col("n") / TILE).alias("ty"))
-    sides, sides_at = materialize(sides, "lines-sides")
+    sides, sides_at = materialize(sides, "lines-sides", files)
     last = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
     a = sides.where("not linked").select("*", F.pmod(F.xxhash64("id"), "tx").alias("x"), F.explode(last("ty")).alias("y")).alias("a")
     b = sides.select("*", F.pmod(F.xxhash64("id"), "ty").alias("y"), F.explode(last("tx")).alias("x")).alias("b")
@@ -125,12 +127,12 @@ def others(members: DataFrame, roots: DataFrame, known: DataFrame, threshold: fl
     bits = sum((F.bit_count(F.col(f"a.s.w{k}").bitwiseXOR(F.col(f"b.s.w{k}"))) for k in range(WORDS)), F.lit(0))
     near = near & (bits <= sizes * ((1 - threshold) / (1 + threshold)) + 1e-6)
     met = a.join(b, F.expr("a.key = b.key and a.x = b.x and a.y = b.y and a.c <> b.c and (b.linked or a.id > b.id)") & near)
-    pairs, pairs_at = materialize(met.select(F.col("a.id").alias("u"), F.col("b.id").alias("v"), F.col("a.c").alias("cu"), F.col("b.c").alias("cv")).distinct(), "lines-others")
+    pairs, pairs_at = materialize(met.select(F.col("a.id").alias("u"), F.col("b.id").alias("v"), F.col("a.c").alias("cu"), F.col("b.c").alias("cv")).distinct(), "lines-others", files)
     remove(members.sparkSession, sides_at)
     return pairs, pairs_at
 
 
-def rooted(lines: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+def rooted(lines: DataFrame, files: int, threshold: float = SIMILARITY) -> DataFrame:
     """``id`` and ``root`` of each distinct line: lines of one root are joined by a chain of lines whose shingle sets' Jaccard similarity reaches ``threshold``.
 
     All lines of a bucket that are alike come to have one root. ``lines`` has an ``id``, the ``line`` and
@@ -139,29 +141,29 @@ def rooted(lines: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """
     spark = lines.sparkSession
     keyed = lines.select("id", F.explode("keys").alias("key"))
-    buckets, buckets_at = materialize(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "lines-buckets")
-    met, met_at = materialize(joined(keyed, buckets, ["key"]), "lines-met")
+    buckets, buckets_at = materialize(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "lines-buckets", files)
+    met, met_at = materialize(joined(keyed, buckets, ["key"]), "lines-met", files)
     remove(spark, buckets_at)
     # a bucket's pivot is the line that meets most others, over all its buckets: what has been edited in many ways rather than an edit
     meetings = met.groupBy("id").agg(F.sum("n").alias("meetings"))
     pivots = joined(met, meetings, ["id"]).groupBy("key").agg((-F.max(F.struct("meetings", -F.col("id")))["col2"]).alias("first"))
-    members, members_at = materialize(joined(met, pivots, ["key"]), "lines-members")
+    members, members_at = materialize(joined(met, pivots, ["key"]), "lines-members", files)
     remove(spark, met_at)
     star = members.where("id <> first").select(F.greatest("id", "first").alias("u"), F.least("id", "first").alias("v"))
     few = members.where(f"n between 3 and {SMALL}").select("key", "id")
     each = few.alias("a").join(few.alias("b"), F.expr("a.key = b.key and a.id > b.id")).select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
-    pairs, pairs_at = materialize(star.union(each).distinct(), "lines-pairs")
+    pairs, pairs_at = materialize(star.union(each).distinct(), "lines-pairs", files)
     known = lines.select("id", "line").join(members.select("id").distinct(), "id")
-    known, known_at = materialize(known, "lines-known")
-    edges, edges_at = materialize(alike(pairs, known, threshold), "lines-edges")
+    known, known_at = materialize(known, "lines-known", files)
+    edges, edges_at = materialize(alike(pairs, known, threshold), "lines-edges", files)
     remove(spark, pairs_at)
-    roots, _ = materialize(connected_components(edges, "lines-cc"), "lines-roots")
+    roots, _ = materialize(connected_components(edges, "lines-cc"), "lines-roots", files)
     remove(spark, edges_at)
-    more, more_at = others(members, roots, known, threshold)
-    between, between_at = materialize(alike(more, known, threshold).select(F.col("cu").alias("u"), F.col("cv").alias("v")), "lines-between")
+    more, more_at = others(members, roots, known, threshold, files)
+    between, between_at = materialize(alike(more, known, threshold).select(F.col("cu").alias("u"), F.col("cv").alias("v")), "lines-between", files)
     for path in (members_at, known_at, more_at):
         remove(spark, path)
-    higher, _ = materialize(connected_components(between, "lines-cc"), "lines-higher")
+    higher, _ = materialize(connected_components(between, "lines-cc"), "lines-higher", files)
     remove(spark, between_at)
     first = lines.select("id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("node"))
     return first.join(higher, "node", "left").select("id", F.coalesce("component", "node").alias("root"))
@@ -174,11 +176,13 @@ def repeated(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     lines = signed(distinct_lines(found))
     # the number is given once, as the table is written
     lines, lines_at = materialize(lines.withColumn("id", F.monotonically_increasing_id()), "lines")
-    roots, roots_at = materialize(rooted(lines, threshold), "lines-root")
+    # tables of few lines take few files; their rows grow with the lines
+    files = lines.count() // FILE_LINES + LEAST_FILES
+    roots, roots_at = materialize(rooted(lines, files, threshold), "lines-root", files)
     found_roots = lines.select("id", "h1", "h2", "place", "n").join(roots, "id")
     # what stays of each component; lines that occur once and resemble none need no second look
     stays = found_roots.groupBy("root").agg(F.min("place").alias("stays"), F.sum("n").alias("total")).where("total > 1").drop("total")
-    judged, _ = materialize(joined(found_roots, stays, ["root"]).select("h1", "h2", "stays"), "lines-judged")
+    judged, _ = materialize(joined(found_roots, stays, ["root"]).select("h1", "h2", "stays"), "lines-judged", files)
     remove(spark, lines_at)
     remove(spark, roots_at)
     spots = found.select("h1", "h2", "row", "doc_id", "at").join(judged, ["h1", "h2"])
