@@ -2,7 +2,7 @@
 
 Rows have no order of their own in Spark, so every operator takes the column that orders them; random
 choices follow a hash of the seed and that column, which any engine can repeat. Row numbers over a
-whole table come from counts per range partition, never from one task.
+whole table come from counts per range partition, which are written once, never from one task.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from parley.sources.scratch import folder
+
 
 def hash_order(key: str, seed: int = 42) -> Column:
     """A random but repeatable order: the md5 of the key and the seed."""
@@ -18,15 +20,24 @@ def hash_order(key: str, seed: int = 42) -> Column:
 
 
 def numbered(df: DataFrame, order: list[Column | str], name: str = "rn") -> DataFrame:
-    """Row numbers from 0 in a global order, in two passes over range partitions: each partition's count gives the next one's offset."""
-    parts = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    parts = parts.withColumn("__in", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
-    counts = parts.groupBy("__part").agg(F.count("*").alias("__n"))
+    """Row numbers from 0 in a global order, in two passes over range partitions: each partition's count gives the next one's offset.
+
+    The sorted partitions are written once and both passes read them. Bounds are sampled, and small partitions put together by
+    their bytes, anew whenever a range exchange runs, so two runs of it would count other partitions than they number.
+    """
+    spark, path = df.sparkSession, folder(df.sparkSession, "numbered")
+    # partition and place in it: the upper 31 and the lower 33 bits
+    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    parts.write.parquet(path)
+    parts = spark.read.schema(parts.schema).parquet(path)
+    part = F.shiftright("__at", 33)
+    counts = parts.groupBy(part.alias("__p")).agg(F.count("*").alias("__n"))
     # a row per partition
-    before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select(F.col("__part").alias("__p"), before.alias("__offset"))
-    joined = parts.join(F.broadcast(offsets), F.col("__part") == F.col("__p"))
-    return joined.withColumn(name, (F.col("__offset") + F.col("__in") - 1).cast("long")).drop("__part", "__in", "__p", "__offset")
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("__p", before.alias("__offset"))
+    joined = parts.join(F.broadcast(offsets), part == F.col("__p"))
+    place = F.col("__at").bitwiseAND(F.lit(2**33 - 1))
+    return joined.withColumn(name, (F.col("__offset") + place).cast("long")).drop("__at", "__p", "__offset")
 
 
 def sample(df: DataFrame, n: int | None, key: str, shuffle: bool = True, seed: int = 42) -> DataFrame:
