@@ -7,7 +7,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from parley.operators import resample
+from parley.operators import algebra, resample
 
 N = 3000
 SETTINGS = {f"spark.sql.adaptive.{k}": v for k, v in {"coalescePartitions.parallelismFirst": "false", "coalescePartitions.minPartitionSize": "1k", "advisoryPartitionSizeInBytes": "256k"}.items()}
@@ -35,3 +35,12 @@ def test_replaced_within_wide_rows(wide):
         wanted[i] = next(order[k] for k in ((at * 10 + t) % N for t in range(10)) if order[k] % 4)
     out = resample.replaced_within(wide, F.col("id") % 4 == 0, "id").collect()
     assert len(out) == N and {r["slot"]: r["id"] for r in out} == wanted
+
+
+def test_length_batches_wide_rows(wide):
+    order, wanted = sorted(range(N), key=hashed), {}
+    for mega in range(0, N, 64):
+        for k, i in enumerate(sorted(order[mega : mega + 64], key=lambda i: (-(i * 7919 % 1009), i))):
+            wanted[i] = mega // 8 + k // 8
+    out = algebra.length_batches(wide, "n", "id", 8, 8).collect()
+    assert len(out) == N and {r["id"]: r["batch"] for r in out} == wanted
