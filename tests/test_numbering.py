@@ -7,7 +7,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from parley.operators import algebra, resample
+from parley.operators import algebra, packing, resample
 
 N = 3000
 SETTINGS = {f"spark.sql.adaptive.{k}": v for k, v in {"coalescePartitions.parallelismFirst": "false", "coalescePartitions.minPartitionSize": "1k", "advisoryPartitionSizeInBytes": "256k"}.items()}
@@ -44,3 +44,9 @@ def test_length_batches_wide_rows(wide):
             wanted[i] = mega // 8 + k // 8
     out = algebra.length_batches(wide, "n", "id", 8, 8).collect()
     assert len(out) == N and {r["id"]: r["batch"] for r in out} == wanted
+
+
+def test_rotate_in_batches_wide_rows(wide):
+    texts = {r["id"]: r["text"] for r in wide.collect()}
+    out = packing.rotate_in_batches(wide, "text", "id", 8, "before").select("id", "before").collect()
+    assert len(out) == N and all(r["before"] == texts[r["id"] - 1 if r["id"] % 8 else r["id"] + 7] for r in out)
