@@ -1,14 +1,15 @@
-"""Exact top-k search by inner product with no random access (NRA aggregation).
+"""Exact top-k search by inner product over sorted lists (NRA aggregation).
 
 Candidates are packed into shards of bounded size, one row each, and queries into blocks. Every block
-is sent to every shard by an equi-join. In a shard each dimension is a list of the candidates sorted by
-component. For a query the lists are read from the end that its sign favours, front to back and in
+is sent to every shard by an equi-join. In a shard each dimension is a list of the candidates' components
+in order. For a query the lists are read from the end that its sign favours, front to back and in
 step; all queries of a block are read for at once, as matrix products over what has been read. What a
-list has not shown yet of a candidate lies between the list's next value and its last one, and all
-that is unread adds or takes no more than the product of the remaining lengths of candidate and query;
-so each candidate has a lower and an upper bound of its score. Reading ends for a query when no
-outsider can reach the k-th lower bound, which is carried from shard to shard; only the candidates
-whose upper bounds still can have their final scores resolved. The shards' own top k are merged by query.
+list has not shown yet of a candidate is no more than the list's next value, which bounds each
+candidate's score from above; from below it lies between what the lists' last values and the product of
+the remaining lengths of candidate and query allow. Reading ends for a query when no outsider can reach
+the k-th best score that is known. That is carried from shard to shard; a query that has none yet
+resolves the candidates with the best lower bounds first. Only candidates whose upper bounds still can
+have their final scores resolved. The shards' own top k are merged by query.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 from pyspark.sql.window import Window
 
 from parley.llm.common import materialize
@@ -27,148 +29,225 @@ from parley.llm.common import materialize
 SHARD_ROWS, BLOCK_ROWS = 4096, 256
 #: Shares of the lists after which bounds are taken.
 DEPTHS = (1 / 16, 1 / 8, 1 / 4, 3 / 8, 1 / 2, 5 / 8, 3 / 4)
+#: Share of the lists after which a query without a known score takes lower bounds, and the candidates that it resolves then, in multiples of k.
+START, FIRST = 1 / 4, 4
+#: Reading ends where no more than one candidate in so many can still qualify.
+FEW = 32
 #: Inner products stay below this sum of magnitudes in doubles; beyond it they are computed with Python integers.
 EXACT = float(2**53)
+#: Components below this are whole numbers in single precision, and so are their differences; bounds are taken in it then.
+NARROW = float(2**20)
+#: Pairs of query and candidate that are resolved at once.
+PAIRS = 65_536
 #: Blocks of which a task holds the k-th best scores found so far.
 HELD_BLOCKS = 4096
 
 
-def usable(vector: Column) -> Column:
-    """Neither null nor holding a null, NaN or infinity."""
-    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
-    return F.coalesce(vector.isNotNull() & fine, F.lit(False))
-
-
-def integers(vector: Column, scale: int = 256) -> Column:
-    """floor(scale * x) of each component x, taken as a double."""
-    return F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long"))
-
+def matrices(batch: pa.RecordBatch, scale: int) -> Iterator[tuple]:
+    """``ids, vecs`` of the batch's vectors of one length each, floor(scale * x) of each component x taken as a double; vectors that are null or hold a null, NaN or infinity are left out."""
+    import numpy as np
 
-def packs(rows: DataFrame, size: int) -> DataFrame:
-    """Rows ``id, vec`` as rows of at most ``size`` of them: a ``name``, ``dim``, flat ``ids`` and ``vecs``, and the latter's number type ``code``."""
+    ids, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
+    flat = lists.values.to_numpy(zero_copy_only=False).astype(float)  # nulls as NaN
+    ends = lists.offsets.to_numpy()
+    bad = np.concatenate([[0], np.cumsum(~np.isfinite(flat))])
+    fine = lists.is_valid().to_numpy(zero_copy_only=False) & (bad[ends[1:]] == bad[ends[:-1]])
+    lengths = np.diff(ends)
+    for dim in np.unique(lengths[fine]).tolist():
+        which = np.flatnonzero(fine & (lengths == dim))
+        with np.errstate(over="ignore", invalid="ignore"):
+            made = np.floor(scale * flat[ends[which][:, None] + np.arange(dim)])
+            vecs = made.astype(np.int64)
+        # what 64 bits don't hold is their end
+        vecs[made >= 2.0**63], vecs[made < -(2.0**63)] = np.iinfo(np.int64).max, np.iinfo(np.int64).min
+        yield ids[which], vecs
+
+
+def packs(rows: DataFrame, size: int, scale: int) -> DataFrame:
+    """The usable ones of rows ``id, v`` in rows of at most ``size`` of them: a ``name``, ``dim``, flat ``ids`` and ``vecs``, and the latter's number type ``code``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         held: dict[int, tuple[list, list]] = {}
 
-        def close(dim: int) -> pa.RecordBatch:
-            ids, vecs = held.pop(dim)
-            vecs = np.array(vecs, "<i8")
-            code = next((c for c in ("<i2", "<i4") if (vecs.astype(c) == vecs).all()), "<i8")
-            one = ([uuid.uuid4().hex], [dim], [code], [np.array(ids, "<i8").tobytes()], [vecs.astype(code).tobytes()])
-            kinds = (pa.string(), pa.int32(), pa.string(), pa.binary(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(one, kinds, strict=True)], ["name", "dim", "code", "ids", "vecs"])
+        def close(dim: int, least: int) -> Iterator[pa.RecordBatch]:
+            """Packs of what is held of a length, as long as there are ``least`` rows of it."""
+            ids, vecs = (np.concatenate(x) for x in held.pop(dim))
+            at = 0
+            while len(ids) - at >= least:
+                some, part = ids[at : at + size], vecs[at : at + size]
+                low, high = int(part.min(initial=0)), int(part.max(initial=0))
+                code = next((c for c in ("<i2", "<i4") if np.iinfo(c).min <= low and high <= np.iinfo(c).max), "<i8")
+                one = ([uuid.uuid4().hex], [dim], [code], [some.astype("<i8").tobytes()], [part.astype(code).tobytes()])
+                kinds = (pa.string(), pa.int32(), pa.string(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(one, kinds, strict=True)], ["name", "dim", "code", "ids", "vecs"])
+                at += len(some)
+            if at < len(ids):
+                held[dim] = ([ids[at:]], [vecs[at:]])
 
         for batch in batches:
-            for number, vector in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                vector = vector.as_py()
-                ids, vecs = held.setdefault(len(vector), ([], []))
-                ids.append(number), vecs.append(vector)
-                if len(ids) >= size:
-                    yield close(len(vector))
+            for some, part in matrices(batch, scale):
+                ids, vecs = held.setdefault(part.shape[1], ([], []))
+                ids.append(some), vecs.append(part)
+                if sum(map(len, ids)) >= size:
+                    yield from close(part.shape[1], size)
         for dim in list(held):
-            yield close(dim)
+            yield from close(dim, 1)
 
     return rows.mapInArrow(run, "name string, dim int, code string, ids binary, vecs binary")
 
 
 class Lists:
-    """A shard's candidates as sorted lists, one for each dimension and either end."""
+    """A shard's candidates as sorted lists, one for each dimension and either end.
+
+    A list tells of a candidate once its values have come down to the candidate's own.
+    """
 
     def __init__(self, ids, vecs) -> None:
         import numpy as np
 
-        self.ids, self.vecs = ids, vecs
-        self.columns = np.ascontiguousarray(vecs.T.astype(float))
-        n, dims = len(ids), len(self.columns)
-        order = np.argsort(self.columns, axis=1, kind="stable")
-        rising = np.empty((dims, n), np.int32)
-        np.put_along_axis(rising, order, np.broadcast_to(np.arange(n, dtype=np.int32), (dims, n)), 1)
-        # places of the candidates in the lists that favour a positive and a negative weight, one above the other
-        self.places = np.concatenate([n - 1 - rising, rising])
-        values = np.take_along_axis(self.columns, order, 1)
-        self.values = np.concatenate([values[:, ::-1], values])
-        self.squares = (self.columns**2).sum(0)
-        self.magnitude = np.abs(self.columns).max(1)
+        self.ids, self.vecs, self.rows = ids, vecs, vecs.astype(float)
+        self.magnitude = np.abs(self.rows).max(0)
+        self.squares = (self.rows**2).sum(1)
+        self.narrow = self.magnitude.max(initial=0.0) < NARROW
+        self.columns = np.ascontiguousarray(self.rows.T.astype(np.float32 if self.narrow else float))
+        self.rising = np.sort(self.columns, axis=1)
         self.entries = 0
-        self._read: dict[int, tuple] = {}
+        self._read: dict[int, object] = {}
+
+    def next(self, depth: int):
+        """The value after ``depth`` entries of each list: those that favour a positive weight, then those that favour a negative one."""
+        import numpy as np
+
+        return np.concatenate([self.rising[:, -1 - depth], self.rising[:, depth]]).astype(float)
+
+    def read(self, depth: int):
+        """By how much the first ``depth`` entries of all lists are ahead of the next one, by candidate; 0 of those not among them."""
+        import numpy as np
 
-    def read(self, depth: int) -> tuple:
-        """What the first ``depth`` entries of all lists show: which candidates, their components and squares."""
         if depth not in self._read:
-            seen = self.places < depth
-            both = seen * _twice(self.columns)
-            self._read[depth] = (seen.astype(float), both, both * both)
+            dims = len(self.columns)
+            out = np.empty((2 * dims, len(self.ids)), self.columns.dtype)
+            np.maximum(self.columns - self.rising[:, -1 - depth][:, None], 0, out=out[:dims])
+            np.minimum(self.columns - self.rising[:, depth][:, None], 0, out=out[dims:])
+            self._read[depth] = out
         return self._read[depth]
 
-    def search(self, own, queries, k: int, known) -> list[list[tuple[int, int]]]:
+    def search(self, own, queries, k: int, known, since=None) -> list[list[tuple[int, int]]]:
         """Of each query the k best (score, id) or fewer, ties to the smaller id: all that may be among the k best of all shards.
 
         Candidates with the query's ``own`` id are left out. ``known`` holds the k-th best score of each
-        query so far, and is raised to what is found here.
+        query so far, and is raised to what is found here. ``since`` holds the place in DEPTHS at which each
+        query's reading ended in the shard before, where it looks first in this one.
         """
         import numpy as np
 
-        n, m = len(self.ids), len(queries)
+        n, m, dims = len(self.ids), len(queries), len(self.columns)
         weights = queries.astype(float)
+        narrow = self.narrow and np.abs(weights).max(initial=0.0) < NARROW
         # weights of the lists: a query reads a dimension's one list or the other, or none where it weighs nothing
         w = np.concatenate([np.maximum(weights, 0), np.minimum(weights, 0)], 1)
-        asks, squared = (w != 0).astype(float), w * w
-        lengths = squared.sum(1)
-        slack = (abs(weights) @ self.magnitude + np.sqrt(lengths * self.squares.max(initial=0.0))) * 1e-9 + 1e-6
-        found: list[list[tuple[int, int]]] = [[] for _ in range(m)]
-        mine = own[:, None] == self.ids[None, :]
-        rivals = n - mine.sum(1)
-        open_ = np.flatnonzero(rivals > 0)
-        last = w @ self.values[:, -1]
-        for depth in sorted({int(share * n) for share in DEPTHS} - {0}):
-            if not len(open_):
-                break
-            seen, parts, squares = self.read(depth)
-            wo, following = w[open_], self.values[:, depth]
-            score = wo @ parts
-            ahead = wo @ following
-            # what the lists have yet to show: at most their next values, at least their last ones
-            high = ahead[:, None] - (wo * following) @ seen
-            low = last[open_][:, None] - (wo * self.values[:, -1]) @ seen
-            left = np.sqrt(np.maximum(self.squares - asks[open_] @ squares, 0) * np.maximum(lengths[open_][:, None] - squared[open_] @ seen, 0))
-            lower = np.where(mine[open_], -np.inf, score + np.maximum(low, -left))
-            kth = np.where(rivals[open_] >= k, np.partition(lower, max(n - k, 0), axis=1)[:, max(n - k, 0)], -np.inf)
-            known[open_] = kth = np.maximum(kth, known[open_])
-            over = np.flatnonzero(ahead + slack[open_] < kth)  # no candidate that no list has shown can qualify
-            for i in over.tolist():
-                q = int(open_[i])
-                shown = asks[q] @ seen > 0
-                may = shown & ~mine[q] & (score[i] + np.minimum(high[i], left[i]) + slack[q] >= kth[i])
-                found[q] = self._resolved(queries[q], np.flatnonzero(may), k)
-            self.entries += int(asks[open_[over]].sum()) * depth
-            open_ = np.delete(open_, over)
+        single = w.astype(np.float32) if narrow else w
+        asks, lengths = (w != 0).sum(1), (weights**2).sum(1)
+        error = 4 * (dims + 4) * 2.0**-24 if narrow else 1e-9
+        slack = (abs(weights) @ self.magnitude + np.sqrt(lengths * self.squares.max(initial=0.0))) * error + 1e-6
+        read, start = np.zeros(m, np.int64), int(START * n)
+        fresh = np.flatnonzero(np.isneginf(known))
+        if start and len(fresh):
+            best = self._foremost(single[fresh], lengths[fresh], start, min(n, FIRST * k))
+            pairs, scores = self._resolved(np.repeat(fresh, best.shape[1]), best.ravel(), own, queries)
+            for q, few in _groups(pairs[0], scores):
+                if len(few) >= k:
+                    known[q] = sorted(few.tolist())[-k]
+            read[fresh] = start
+        open_, parts = np.arange(m), []
+        since = np.zeros(m, np.int64) if since is None else since
+        for at, share in enumerate(DEPTHS):
+            depth = int(share * n)
+            due = open_[since[open_] <= at] if depth else open_[:0]
+            if not len(due):
+                continue
+            ahead = w[due] @ self.next(depth)
+            over = ahead + slack[due] < known[due]  # no candidate that no list has shown can qualify
+            due, ahead = due[over], ahead[over]
+            if not len(due):
+                continue
+            need = known[due] - slack[due] - ahead
+            need = np.nextafter(need.astype(single.dtype), single.dtype.type(-np.inf))
+            may = single[due] @ self.read(depth) >= need[:, None]
+            # as long as many can qualify, reading goes on
+            few = np.count_nonzero(may, axis=1) <= (max(n // FEW, k) if share < DEPTHS[-1] else n)
+            stopped = due[few]
+            rows, cols = np.divmod(np.flatnonzero(may[few]), n)
+            parts.append(self._qualified(stopped[rows], cols, own, queries, lengths, slack, known))
+            read[stopped], since[stopped] = np.maximum(read[stopped], depth), at
+            open_ = np.setdiff1d(open_, stopped, assume_unique=True)
         # lists read to their ends hold every score
-        self.entries += int(asks[open_].sum()) * n
-        for q in open_.tolist():
-            found[q] = self._resolved(queries[q], np.flatnonzero(~mine[q]), k)
-        for q, best in enumerate(found):
-            if len(best) >= k:
-                known[q] = max(known[q], best[k - 1][0])
+        read[open_] = n
+        parts += [self._qualified(np.full(n, q), np.arange(n), own, queries, lengths, slack, known) for q in open_.tolist()]
+        self.entries += int(asks @ read)
+        found: list[list[tuple[int, int]]] = [[] for _ in range(m)]
+        for rows, cols, scores in parts:
+            order = np.lexsort((self.ids[cols], rows))
+            order = order[np.lexsort((-scores[order], rows[order]))] if scores.dtype != object else np.array(sorted(order.tolist(), key=lambda i: (rows[i], -scores[i])), np.int64)
+            for q, some in _groups(rows[order], order):
+                best = some[:k]
+                found[q] = list(zip(scores[best].tolist(), self.ids[cols[best]].tolist(), strict=True))
+                if len(best) >= k:
+                    known[q] = max(known[q], found[q][k - 1][0])
         return found
 
-    def _resolved(self, query, which, k: int) -> list[tuple[int, int]]:
+    def _foremost(self, w, lengths, depth: int, count: int):
+        """Of each query the ``count`` candidates with the best lower bounds after ``depth`` entries."""
         import numpy as np
 
-        if float(self.magnitude @ abs(query.astype(float))) < EXACT:
-            scores = (query.astype(float) @ self.columns[:, which]).astype(np.int64)
-            ids = self.ids[which]
-            best = np.lexsort((ids, -scores))[:k]
-            return list(zip(scores[best].tolist(), ids[best].tolist(), strict=True))
-        exact = [(sum(int(a) * int(b) for a, b in zip(self.vecs[i], query, strict=True)), int(self.ids[i])) for i in which]
-        return sorted(exact, key=lambda x: (-x[0], x[1]))[:k]
+        following, last = self.next(depth).astype(w.dtype), np.concatenate([self.rising[:, 0], self.rising[:, -1]]).astype(w.dtype)
+        dims = len(self.columns)
+        seen = np.concatenate([self.columns > following[:dims, None], self.columns < following[dims:, None]]).astype(w.dtype)
+        both = seen * np.concatenate([self.columns, self.columns])
+        # what the lists have yet to show: at least their last values, and no less than the remaining lengths allow
+        low = (w @ last)[:, None] - (w * last) @ seen
+        left = np.sqrt(np.maximum(self.squares - (w != 0).astype(w.dtype) @ (both * both), 0) * np.maximum(lengths[:, None] - (w * w) @ seen, 0))
+        lower = w @ both + np.maximum(low, -left)
+        return np.argpartition(-lower, count - 1, axis=1)[:, :count]
+
+    def _qualified(self, rows, cols, own, queries, lengths, slack, known) -> tuple:
+        """``rows, cols, scores`` of the pairs that reach what is known."""
+        import numpy as np
+
+        near = np.sqrt(lengths[rows] * self.squares[cols]) + slack[rows] >= known[rows]
+        (rows, cols), scores = self._resolved(rows[near], cols[near], own, queries)
+        # what is known is rounded where scores are no doubles
+        reached = scores >= known[rows] if scores.dtype != object else np.ones(len(rows), bool)
+        return rows[reached], cols[reached], scores[reached]
 
+    def _resolved(self, rows, cols, own, queries) -> tuple:
+        """Pairs of query and candidate without the query's own id, and their scores."""
+        import numpy as np
 
-def _twice(columns):
+        other = self.ids[cols] != own[rows]
+        rows, cols = rows[other], cols[other]
+        weights = queries.astype(float)
+        if (np.abs(weights) @ self.magnitude < EXACT).all():
+            scores = np.empty(len(rows), np.int64)
+            for at in range(0, len(rows), PAIRS):
+                some = slice(at, at + PAIRS)
+                scores[some] = np.einsum("ij,ij->i", weights[rows[some]], self.rows[cols[some]])
+            return (rows, cols), scores
+        exact = np.empty(len(rows), object)
+        for i, (q, c) in enumerate(zip(rows.tolist(), cols.tolist(), strict=True)):
+            exact[i] = sum(a * b for a, b in zip(self.vecs[c].tolist(), queries[q].tolist(), strict=True))
+        return (rows, cols), exact
+
+
+def _groups(keys, values) -> Iterator[tuple]:
+    """Each of the keys, of which equal ones stand together, with its values."""
     import numpy as np
 
-    return np.concatenate([columns, columns])
+    if len(keys):
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        yield from zip(keys[starts].tolist(), np.split(values, starts[1:]), strict=True)
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_column: str = "vec_id", vector_column: str = "embedding", scale: int = 256) -> DataFrame:
@@ -183,13 +262,15 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_column: str =
     """
 
     def clean(df: DataFrame, size: int) -> DataFrame:
-        own = df.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).alias("v"))
-        own = own.where(F.col("id").isNotNull() & usable(F.col("v"))).select("id", integers(F.col("v"), scale).alias("vec"))
+        vector, kind = F.col(vector_column), df.schema[vector_column].dataType.elementType
+        if not isinstance(kind, (FloatType, DoubleType)):
+            vector = vector.cast("array<double>")
+        own = df.select(F.col(id_column).cast("long").alias("id"), vector.alias("v")).where("id is not null")
         # no more partitions than full packs: small files would make small packs
-        return own.coalesce(max(1, -(-own.count() // size)))
+        return own.coalesce(max(1, -(-own.select("id").count() // size)))
 
-    shards, _ = materialize(packs(clean(vectors, SHARD_ROWS), SHARD_ROWS), "topk-shards")
-    blocks, _ = materialize(packs(clean(queries, BLOCK_ROWS), BLOCK_ROWS), "topk-blocks")
+    shards, _ = materialize(packs(clean(vectors, SHARD_ROWS), SHARD_ROWS, scale), "topk-shards")
+    blocks, _ = materialize(packs(clean(queries, BLOCK_ROWS), BLOCK_ROWS, scale), "topk-blocks")
     slots = max(1, shards.count())
     dealt = shards.withColumn("slot", F.pmod(F.xxhash64("name"), F.lit(slots)))
     own = [F.col(c).alias(f"q{c}") for c in ("name", "code", "ids", "vecs")]
@@ -210,8 +291,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_column: str =
                     name, lists = own, Lists(ids, np.frombuffer(vecs, code).reshape(len(ids), dim).astype(np.int64))
                 if len(known) >= HELD_BLOCKS and qname not in known:
                     known.clear()  # bounds only: what is forgotten is found again
-                best = known.setdefault(qname, np.full(len(qids), -np.inf))
-                found = lists.search(qids, np.frombuffer(qvecs, qcode).reshape(len(qids), dim).astype(np.int64), k, best)
+                # the k best scores so far, of all the task's shards
+                best, since = known.setdefault(qname, (np.full((len(qids), k), -np.inf), np.zeros(len(qids), np.int64)))
+                found = lists.search(qids, np.frombuffer(qvecs, qcode).reshape(len(qids), dim).astype(np.int64), k, best[:, 0].copy(), since)
+                for at, one in enumerate(found):
+                    if one:
+                        best[at] = np.sort(np.concatenate([best[at], [score for score, _ in one]]))[-k:]
                 rows = [(qname, at, int(qids[at]), vec_id, score) for at, one in enumerate(found) for score, vec_id in one]
                 columns = list(zip(*rows, strict=True)) or [()] * 5
                 kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64())

@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -211,6 +212,31 @@ def test_topk_stops_early():
         assert lists.entries < 0.8 * 40 * 4000 * 32
 
 
+def test_topk_known_scores_bound_later_shards():
+    """A shard gives no candidate below what is known, and all that reach it; queries look first where their reading ended before."""
+    rng = np.random.default_rng(2)
+    vecs = rng.integers(-100, 100, (6000, 32))
+    own, queries = np.arange(30), vecs[:30]
+    products = queries @ vecs.T
+    known = np.sort(products[:, 30:3000], axis=1)[:, -5].astype(float)
+    held, since = known.copy(), np.zeros(30, np.int64)
+    lists = topk.Lists(np.arange(3000, 6000), vecs[3000:])
+    found = lists.search(own, queries, 5, held)
+    for q, rows in enumerate(found):
+        want = sorted(((int(s), i) for i, s in enumerate(products[q]) if i >= 3000 and s >= known[q]), key=lambda x: (-x[0], x[1]))[:5]
+        assert rows == want
+    assert lists.search(own, queries, 5, known.copy(), since) == found and lists.search(own, queries, 5, known.copy(), since) == found
+
+
+def test_topk_matrices():
+    """Whole numbers of vectors by length, without those that are null or hold a null or no number; what 64 bits don't hold is their end."""
+    vectors = pa.array([[1.0, -0.5], None, [0.001], [None, 1.0], [float("nan")], [1e300, -1e300], [], [float("inf"), 0.0], [2.0]], pa.list_(pa.float64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9), pa.int64()), vectors], ["id", "v"])
+    for one in (batch, pa.concat_batches([batch, batch]).slice(9)):
+        found = {vecs.shape[1]: (ids.tolist(), vecs.tolist()) for ids, vecs in topk.matrices(one, 256)}
+        assert found == {0: ([6], [[]]), 1: ([2, 8], [[0], [512]]), 2: ([0, 5], [[256, -128], [2**63 - 1, -(2**63)]])}
+
+
 def test_mixing_counts(docs):
     """Mean repetition near the rate, and large rates don't underflow."""
     out = mixing.mix(docs, weights={"src1": 5.0}).groupBy("source").count()
