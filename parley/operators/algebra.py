@@ -137,9 +137,12 @@ def concat(*frames: DataFrame | None) -> DataFrame | None:
 
 
 def length_batches(df: DataFrame, length: str, key: str, batch: int, mega: int = 50, seed: int = 42) -> DataFrame:
-    """``batch`` numbers that group rows of like length: rows in hash order fall into groups of ``batch * mega``, each sorted by length."""
-    rows = numbered(df, [hash_order(key, seed), F.col(key)]).withColumn("__mega", F.floor(F.col("rn") / (batch * mega)))
-    place = F.row_number().over(Window.partitionBy("__mega").orderBy(F.desc(length), key)) - 1
+    """``batch`` numbers that group rows of like length: rows in hash order fall into groups of ``batch * mega``, each sorted by length.
+
+    A null key comes last in the hash order and among rows of one length, as a null length does in its group.
+    """
+    rows = numbered(df, [hash_order(key, seed).asc_nulls_last(), F.asc_nulls_last(key)]).withColumn("__mega", F.floor(F.col("rn") / (batch * mega)))
+    place = F.row_number().over(Window.partitionBy("__mega").orderBy(F.desc_nulls_last(length), F.asc_nulls_last(key))) - 1
     return rows.withColumn("batch", F.col("__mega") * mega + F.floor(place / batch)).drop("rn", "__mega")
 
 

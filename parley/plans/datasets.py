@@ -107,7 +107,7 @@ def rank_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     p as (select *, row_number() over (partition by mega order by n_chars desc, doc_id) - 1 k from r) select doc_id, (mega * 8 + k // 8)::bigint as batch, n_chars from p""",
 )
 def length_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return algebra.length_batches(documents(spark, sf_dir, "n_chars"), "n_chars", "doc_id", 8, 8)
+    return algebra.length_batches(documents(spark, sf_dir, "n_chars"), "n_chars", "doc_id", 8, 8).select("doc_id", "batch", "n_chars")
 
 
 @query(

@@ -46,6 +46,14 @@ def test_length_batches_wide_rows(wide):
     assert len(out) == N and {r["id"]: r["batch"] for r in out} == wanted
 
 
+def test_length_batches_null_key(spark):
+    ids = [None, *range(130)]
+    order = sorted(ids, key=lambda i: (i is None, i is not None and hashed(i)))
+    wanted = {i: m // 8 + k // 8 for m in range(0, 131, 64) for k, i in enumerate(sorted(order[m : m + 64], key=lambda i: (i is None, i or 0)))}
+    df = spark.createDataFrame([(i, 5) for i in ids], "id long, n long")
+    assert {r["id"]: r["batch"] for r in algebra.length_batches(df, "n", "id", 8, 8).collect()} == wanted
+
+
 def test_rotate_in_batches_wide_rows(wide):
     texts = {r["id"]: r["text"] for r in wide.collect()}
     out = packing.rotate_in_batches(wide, "text", "id", 8, "before").select("id", "before").collect()
