@@ -140,8 +140,8 @@ def best_fit(df: DataFrame, length: str, key: str, capacity: int, shard_rows: in
 
 
 def rotate_in_batches(df: DataFrame, value: str, key: str, batch: int, name: str) -> DataFrame:
-    """``name`` is the value of the row before, within batches of consecutive rows; the first takes the last one's."""
-    rows = numbered(df, [key], "__rn").withColumn("__batch", F.floor(F.col("__rn") / batch))
+    """``name`` is the value of the row before, within batches of consecutive rows; the first takes the last one's. A null key comes last."""
+    rows = numbered(df, [F.asc_nulls_last(key)], "__rn").withColumn("__batch", F.floor(F.col("__rn") / batch))
     w = Window.partitionBy("__batch").orderBy("__rn")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return rows.withColumn(name, F.coalesce(F.lag(value).over(w), F.last(value).over(whole))).drop("__rn", "__batch")

@@ -58,3 +58,10 @@ def test_rotate_in_batches_wide_rows(wide):
     texts = {r["id"]: r["text"] for r in wide.collect()}
     out = packing.rotate_in_batches(wide, "text", "id", 8, "before").select("id", "before").collect()
     assert len(out) == N and all(r["before"] == texts[r["id"] - 1 if r["id"] % 8 else r["id"] + 7] for r in out)
+
+
+def test_rotate_in_batches_null_key(spark):
+    ids = [*range(20), None]
+    wanted = {i: str(ids[at - 1 if at % 8 else min(at + 7, 20)]) for at, i in enumerate(ids)}
+    df = spark.createDataFrame([(i, str(i)) for i in reversed(ids)], "id long, text string")
+    assert {r["id"]: r["before"] for r in packing.rotate_in_batches(df, "text", "id", 8, "before").collect()} == wanted
