@@ -141,7 +141,7 @@ def fold(table: Column, sizes: tuple[int, int, int], word: Column) -> Column:
 
 def literal(spark: SparkSession, table: list[int]) -> Column:
     """The table as a literal: a relation of one row, so that plans name it and do not spell it out each time they are shown or logged."""
-    array = pa.array([table], pa.list_(pa.int64()))
+    array = pa.ListArray.from_arrays(pa.array([0, len(table)], pa.int32()), pa.array(table, pa.int64()))
     return spark.createDataFrame(pa.table({"entries": array})).scalar()
 
 
@@ -221,8 +221,12 @@ class Cache:
         order = np.argsort(hashes)
         self.hashes = hashes[order]
         words, ids = words.take(pa.array(order)), ids.take(pa.array(order))
-        self.words = b"".join(w.as_buffer() for w in words)
-        self.word_ends = np.r_[0, np.cumsum([len(w.as_buffer()) for w in words], dtype=np.int64)].astype(np.int32)
+        self.words, self.word_ends = b"", np.zeros(1, np.int32)
+        if len(words):
+            # the array's own buffers: the place of each word's start and of the last one's end, and the bytes
+            _, places, held = words.buffers()
+            places = np.frombuffer(places, np.int32)[words.offset : words.offset + len(words) + 1]
+            self.words, self.word_ends = held[int(places[0]) : int(places[-1])].to_pybytes(), places - places[0]
         self.ids = ids.flatten().to_numpy(zero_copy_only=False).astype(IDS).tobytes()
         self.id_ends = np.r_[0, np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64) * 4].astype(np.int64)
 
@@ -300,7 +304,11 @@ def frequent_words(docs: DataFrame, tokenizer: Tokenizer, words: int = CACHE_WOR
     spelt = top.mapInArrow(spell, "words array<binary>, spelt array<array<int>>").repartition(32)
     found = fold_words(spelt, tokenizer, "spelt").toArrow()
     words, ids = found["words"].combine_chunks(), found["ids"].combine_chunks()
-    return Cache(words.flatten(), ids.flatten()) if len(words) else Cache()
+    cache = Cache(words.flatten(), ids.flatten()) if len(words) else Cache()
+    # what Arrow took for them would stay with the driver's Python otherwise
+    del found, words, ids
+    pa.default_memory_pool().release_unused()
+    return cache
 
 
 class Index(dict):

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import struct
+import tracemalloc
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,6 +153,19 @@ def test_mixing(docs, none):
         mixing.mix(docs, weights={"a": -1.0})
 
 
+def test_bpe_cache_without_objects():
+    n = 20_000
+    words, ids = pa.array([f"w{i}".encode() for i in range(n)], pa.binary()), pa.array([[i, i + 1] for i in range(n)], pa.list_(pa.int32()))
+    bpe.Cache(words.slice(0, 10), ids.slice(0, 10))
+    tracemalloc.start()
+    cache = bpe.Cache(words.slice(5), ids.slice(5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * n
+    assert cache.find([b"w4", b"w5", b"w19999", b"x"]) == [None, struct.pack("<2I", 5, 6), struct.pack("<2I", 19999, 20000), None]
+    assert bpe.Cache().find([b"x"]) == [None]
+
+
 def test_bpe(docs, none):
     t = bpe.Tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     out = bpe.encode(docs, t)
