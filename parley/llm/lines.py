@@ -10,7 +10,7 @@ that comes first is kept.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.functions.bind import bound
@@ -21,6 +21,8 @@ WIDTH, DROPPED = 5, r"[\s\p{Z}\p{P}\p{S}&&[^\n]]+"
 SIMILARITY = 0.8
 #: Bands of a signature, as a power of two, and hashes of a band.
 BAND_BITS, ROWS = 4, 8
+#: Places of a piece of a line, whose shingles are hashed in one row.
+PIECE = 64
 #: Members of a bucket that are all compared with each other at once, and of a tile of a larger bucket.
 SMALL, TILE = 4, 1000
 #: Distinct lines for each file of the tables that are made of them, and files at least.
@@ -42,16 +44,38 @@ def shingles(line: Column) -> Column:
     return F.array_distinct(hashes(line))
 
 
-def signed(lines: DataFrame, bits: int = BAND_BITS, rows: int = ROWS) -> DataFrame:
+def pieced(lines: DataFrame, by: list[str]) -> DataFrame:
+    """``lines`` as ``by``, which names a line, ``_rest``, all other columns, and ``_hashes``, the ``hashes`` of ``line``.
+
+    A line is cut into pieces of PIECE places. Each place of a piece has an expression of its own, so that hashes
+    come from generated code; a lambda, which Spark interprets, takes several times as long.
+    """
+    unit = 4
+    rest = F.struct(*[c for c in lines.columns if c not in by])
+    whole = lines.select(*by, rest.alias("_rest"), F.encode("line", "UTF-32").alias("_raw"))
+    whole = whole.withColumn("_n", F.greatest((F.length("_raw") / unit).cast("int") - WIDTH + 1, F.lit(1)))
+    each = whole.select("*", F.explode_outer(F.sequence(F.lit(0), ((F.col("_n") - 1) / PIECE).cast("int"))).alias("_piece"))
+    raw = F.col("_raw").substr(F.col("_piece") * (unit * PIECE) + 1, F.lit(unit * (PIECE + WIDTH - 1)))
+    left = F.least(F.col("_n") - F.col("_piece") * PIECE, F.lit(PIECE))
+    each = each.select(*by, F.when(F.col("_piece") == 0, F.col("_rest")).alias("_rest"), raw.alias("_raw"), left.alias("_left"))
+    made = F.array(*[F.xxhash64(F.col("_raw").substr(unit * i + 1, unit * WIDTH)) for i in range(PIECE)])
+    each = each.select(*by, "_rest", F.slice(made, F.lit(1), F.col("_left")).alias("_hashes"))
+    return each.groupBy(*by).agg(F.first("_rest", ignorenulls=True).alias("_rest"), F.flatten(F.collect_list("_hashes")).alias("_hashes"))
+
+
+def signed(lines: DataFrame, bits: int = BAND_BITS, rows: int = ROWS, by: list[str] | None = None) -> DataFrame:
     """``lines`` with ``keys``, the bands of each ``line``'s signature.
 
     A band begins with the least hash of a part and takes ``rows`` numbers from there on, of which the
-    border to the next part is one. Parts without a hash give none.
+    border to the next part is one. Parts without a hash give none. ``by`` names the columns that tell
+    lines apart, best those that ``lines`` is dealt by already; without it, each row gets a number.
     """
     half = 1 << (bits - 1)
     borders = [F.lit(c << (64 - bits)).cast("long") for c in range(-half, half)]
+    found = pieced(lines, by) if by else pieced(lines.withColumn("_line", F.monotonically_increasing_id()), ["_line"])
+    own = [F.col(c) if by and c in by else F.col("_rest").getField(c).alias(c) for c in lines.columns]
     # each step is a column of its own, so that it is computed once and in generated code
-    found = lines.withColumn("_sorted", F.sort_array(F.concat(shingles(F.col("line")), F.array(*borders))))
+    found = found.select(*own, F.sort_array(F.array_union("_hashes", F.array(*borders))).alias("_sorted"))
     found = found.withColumns({f"_at{i}": F.array_position("_sorted", x).cast("int") for i, x in enumerate(borders)})
 
     def key(i: int) -> Column:
@@ -71,7 +95,8 @@ def exploded(docs: DataFrame) -> DataFrame:
     lines = F.zip_with(F.split(text, "\n"), F.split(folded, "\n"), lambda raw, left: F.when(left == "", raw).otherwise(left))
     # the row's hash and folded text are made before the lines are exploded, and not again for each of them
     rows = docs.select(F.xxhash64(text).alias("row"), key.alias("doc_id"), lines.alias("lines"))
-    rows = rows.select("row", "doc_id", F.posexplode("lines").alias("at", "line"))
+    # no row is without a line; the outer form is taken since Spark filters before the other one, and folds each text once more for that
+    rows = rows.select("row", "doc_id", F.posexplode_outer("lines").alias("at", "line"))
     return rows.where(F.trim("line") != "").select("*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"))
 
 
@@ -141,9 +166,9 @@ def rooted(lines: DataFrame, files: int, threshold: float = SIMILARITY) -> DataF
     """
     spark = lines.sparkSession
     keyed = lines.select("id", F.explode("keys").alias("key"))
-    buckets, buckets_at = materialize(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "lines-buckets", files)
-    met, met_at = materialize(joined(keyed, buckets, ["key"]), "lines-met", files)
-    remove(spark, buckets_at)
+    # nearly all bands are of one line, so a join with the others would deal all of them twice
+    counted = keyed.withColumn("n", F.count("*").over(Window.partitionBy("key")))
+    met, met_at = materialize(counted.where("n > 1"), "lines-met", files)
     # a bucket's pivot is the line that meets most others, over all its buckets: what has been edited in many ways rather than an edit
     meetings = met.groupBy("id").agg(F.sum("n").alias("meetings"))
     pivots = joined(met, meetings, ["id"]).groupBy("key").agg((-F.max(F.struct("meetings", -F.col("id")))["col2"]).alias("first"))
@@ -173,7 +198,7 @@ def repeated(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """``doc_id``, ``row`` and ``gone``: the places of the lines that go from each row that loses any."""
     spark = docs.sparkSession
     found = exploded(docs)
-    lines = signed(distinct_lines(found))
+    lines = signed(distinct_lines(found), by=["h1", "h2"])
     # the number is given once, as the table is written
     lines, lines_at = materialize(lines.withColumn("id", F.monotonically_increasing_id()), "lines")
     # tables of few lines take few files; their rows grow with the lines

@@ -69,3 +69,20 @@ def test_repeated_shingles(spark):
     signed = [{r["k"]: r["keys"] for r in lines.signed(df.selectExpr("substr(a, 1, 9) as k", f"{c} as line")).collect()} for c in "ab"]
     assert signed[0] == signed[1]
     assert kept(spark, [x for u in units for x in (u * 3, u * 4)]) == {2 * i for i in range(20)}
+
+
+def test_pieces(spark):
+    """Lines hashed in pieces have the hashes that they have as a whole, at all lengths around a piece's and beyond the basic plane."""
+    rng = random.Random(4)
+    found = ["", "a", *(word(rng, n) for n in (4, 5, 6, 67, 68, 69, 70, 132, 133, 1000)), "".join(rng.choice("aé中𠀀") for _ in range(300))]
+    df = spark.createDataFrame(list(enumerate(found)), "id long, line string")
+    whole = {r["id"]: r["h"] for r in df.select("id", lines.hashes(lines.F.col("line")).alias("h")).collect()}
+    pieces = lines.pieced(df, ["id"]).select("id", "_rest.line", "_hashes").collect()
+    assert [r["line"] for r in sorted(pieces)] == found
+    assert {r["id"]: sorted(r["_hashes"]) for r in pieces} == {k: sorted(h) for k, h in whole.items()}
+
+
+def test_folded_once(spark):
+    """Spark's filters before an explode don't fold each text again."""
+    df = spark.createDataFrame([(1, "A line")], "doc_id long, text string")
+    assert lines.exploded(df)._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 1
