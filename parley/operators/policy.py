@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LOSSES = ("grpo", "bnpo", "dr_grpo", "dapo", "cispo")
@@ -54,10 +54,16 @@ def future_sums(values: Column, gamma: float) -> Column:
     return F.aggregate(F.reverse(values), F.array().cast("array<double>"), step)
 
 
-def sequence_kept(df: DataFrame, old: str, new: str, advantage: str, sequence: str, delta: float) -> DataFrame:
-    """Token rows without the sequences that have a negative advantage and whose mean log ratio old - new exceeds ``delta``."""
-    bad = df.groupBy(sequence).agg(F.avg(F.col(old) - F.col(new)).alias("d"), F.max(advantage).alias("a")).where((F.col("d") > delta) & (F.col("a") < 0))
-    return df.join(bad.select(sequence), sequence, "left_anti")
+def sequence_kept(df: DataFrame, old: str, new: str, advantage: str, sequence: str, delta: float, order: str) -> DataFrame:
+    """Token rows without the sequences that have a negative advantage and whose mean log ratio old - new exceeds ``delta``.
+
+    A sequence's log ratios are added in the order of ``order``. A sum of doubles depends on it, and
+    where a mean lies at ``delta`` itself a sequence would else stay in one run and go in the next.
+    """
+    whole = Window.partitionBy(sequence).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    bad = (F.avg(F.col(old) - F.col(new)).over(whole) > delta) & (F.max(advantage).over(whole) < 0)
+    # a mean that is null exceeds nothing
+    return df.withColumn("_bad", F.coalesce(bad, F.lit(False))).where("not _bad").drop("_bad")
 
 
 def diagnostics(df: DataFrame, old: str, new: str, mask: str) -> DataFrame:

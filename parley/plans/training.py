@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.functions import sequences as S
@@ -81,11 +81,11 @@ def scaled_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- policy ----------------------------------------------------------------------------------
 
 
-def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineitems as tokens of their orders: two policies' log probabilities, a mask and an advantage."""
+def token_rows(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
+    """Lineitems as tokens of their orders: two policies' log probabilities, a mask and an advantage; ``more`` columns after these."""
     return load(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("seq"), (-F.col("l_discount") * 10).alias("new"), (-F.col("l_tax") * 10).alias("old"), (F.col("l_linenumber") % 3 != 0).cast("int").alias("mask"),
-        (F.col("l_quantity") / 25.0 - 1).alias("adv"),
+        (F.col("l_quantity") / 25.0 - 1).alias("adv"), *more,
     )
 
 
@@ -126,7 +126,9 @@ def off_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     TOKENS + "select seq, count(*)::bigint as n from t where seq not in (select seq from t group by seq having avg(od - nw) > 0.1 and max(a) < 0) group by seq",
 )
 def sequence_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return policy.sequence_kept(token_rows(spark, sf_dir), "old", "new", "adv", "seq", 0.1).groupBy("seq").agg(F.count("*").alias("n"))
+    """Tokens of a sequence come in the order in which their rows are stored."""
+    tokens = token_rows(spark, sf_dir, F.struct("_metadata.file_path", "_metadata.row_index").alias("at"))
+    return policy.sequence_kept(tokens, "old", "new", "adv", "seq", 0.1, "at").groupBy("seq").agg(F.count("*").alias("n"))
 
 
 @query(
