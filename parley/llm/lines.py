@@ -76,13 +76,22 @@ def signed(lines: DataFrame, bits: int = BAND_BITS, rows: int = ROWS, by: list[s
     own = [F.col(c) if by and c in by else F.col("_rest").getField(c).alias(c) for c in lines.columns]
     # each step is a column of its own, so that it is computed once and in generated code
     found = found.select(*own, F.sort_array(F.array_union("_hashes", F.array(*borders))).alias("_sorted"))
-    found = found.withColumns({f"_at{i}": F.array_position("_sorted", x).cast("int") for i, x in enumerate(borders)})
+    # a border is looked for from every fourth one on, whose places are found first, and not from the start
+    step = 4
+    found = found.withColumns({f"_at{i}": F.array_position("_sorted", borders[i]).cast("int") for i in range(0, len(borders), step)})
+    ends = {i: F.col(f"_at{i + step}") if i + step < len(borders) else F.size("_sorted") + 1 for i in range(0, len(borders), step)}
+    found = found.withColumns({f"_from{i}": F.slice("_sorted", F.col(f"_at{i}"), end - F.col(f"_at{i}")) for i, end in ends.items()})
+    after = lambda i: F.col(f"_at{i - i % step}") - 1 + F.array_position(f"_from{i - i % step}", borders[i]).cast("int")
+    found = found.withColumns({f"_at{i}": after(i) for i in range(len(borders)) if i % step})
 
     def key(i: int) -> Column:
         at, following = F.col(f"_at{i}"), F.size("_sorted") + 1 if i + 1 == len(borders) else F.col(f"_at{i + 1}")
         return F.when(following > at + 1, F.xxhash64(F.slice("_sorted", at, F.lit(rows + 1))))
 
-    return found.select(*lines.columns, F.array_compact(F.array(*map(key, range(len(borders))))).alias("keys"))
+    # ``array_compact`` would have Spark interpret all its array is made of, each slice by boxing a whole line's hashes. Nulls go in generated
+    # code instead; the lambda, the only thing interpreted, keeps this out of whole-stage code, whose one method would be too long for Java to compile
+    null = F.transform(F.array("_at0"), lambda _: F.lit(None).cast("long"))
+    return found.select(*lines.columns, F.array_except(F.array(*map(key, range(len(borders)))), null).alias("keys"))
 
 
 def exploded(docs: DataFrame) -> DataFrame:

@@ -86,3 +86,25 @@ def test_folded_once(spark):
     """Spark's filters before an explode don't fold each text again."""
     df = spark.createDataFrame([(1, "A line")], "doc_id long, text string")
     assert lines.exploded(df)._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 1
+
+
+def test_bands(spark):
+    """Bands are those of a plain loop, and Spark neither interprets what makes them nor puts it in methods that Java leaves uncompiled."""
+    rng = random.Random(6)
+    df = spark.createDataFrame([(i, word(rng, n)) for i, n in enumerate((1, 5, 9, 30, 100, 400, 2000))], "id long, line string")
+    found = lines.signed(df)
+    plan = found._jdf.queryExecution()
+    assert "filter(array(" not in plan.optimizedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    stages = lines.signed(df)._jdf.queryExecution().debug().codegenToSeq()
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
+    hashes = {r["id"]: set(r["h"]) for r in df.select("id", lines.shingles(lines.F.col("line")).alias("h")).collect()}
+    borders = [c << 60 for c in range(-8, 8)]
+    wanted = []
+    for i, found_hashes in sorted(hashes.items()):
+        every = sorted({*found_hashes, *borders})
+        at = [every.index(b) for b in borders] + [len(every)]
+        wanted += [(i, every[a : a + lines.ROWS + 1]) for a, b in zip(at, at[1:]) if b > a + 1]
+    bands = spark.createDataFrame(wanted, "id long, band array<long>").select("id", lines.F.xxhash64("band").alias("key"))
+    assert sorted((r["id"], k) for r in found.collect() for k in r["keys"]) == sorted(map(tuple, bands.collect()))
