@@ -21,8 +21,8 @@ WIDTH, DROPPED = 5, r"[\s\p{Z}\p{P}\p{S}&&[^\n]]+"
 SIMILARITY = 0.8
 #: Bands of a signature, as a power of two, and hashes of a band.
 BAND_BITS, ROWS = 4, 8
-#: Places of a piece of a line, whose shingles are hashed in one row.
-PIECE = 64
+#: Places of a piece of a line, whose shingles are hashed in one method, and pieces hashed so.
+PIECE, PIECES = 64, 16
 #: Members of a bucket that are all compared with each other at once, and of a tile of a larger bucket.
 SMALL, TILE = 4, 1000
 #: Distinct lines for each file of the tables that are made of them, and files at least.
@@ -44,23 +44,36 @@ def shingles(line: Column) -> Column:
     return F.array_distinct(hashes(line))
 
 
-def pieced(lines: DataFrame, by: list[str]) -> DataFrame:
-    """``lines`` as ``by``, which names a line, ``_rest``, all other columns, and ``_hashes``, the ``hashes`` of ``line``.
+def hashed(rows: DataFrame, line: str) -> DataFrame:
+    """``_all``, a struct of the columns of ``rows``, and ``_hashes``, the ``hashes`` of the text in ``line``.
 
-    A line is cut into pieces of PIECE places. Each place of a piece has an expression of its own, so that hashes
-    come from generated code; a lambda, which Spark interprets, takes several times as long.
+    Each place of a line has an expression of its own, so that hashes come from generated code; a lambda, which Spark
+    interprets, takes several times as long. A step adds the hashes of PIECE places to those before, where the line has
+    as many. It names all of its columns twice, without which Spark would merge the steps or write them in one method, too
+    long for Java to compile. Lines of more than PIECES pieces are left to the lambda. Don't filter by ``_hashes``: the
+    filter would repeat all steps.
     """
     unit = 4
-    rest = F.struct(*[c for c in lines.columns if c not in by])
-    whole = lines.select(*by, rest.alias("_rest"), F.encode("line", "UTF-32").alias("_raw"))
-    whole = whole.withColumn("_n", F.greatest((F.length("_raw") / unit).cast("int") - WIDTH + 1, F.lit(1)))
-    each = whole.select("*", F.explode_outer(F.sequence(F.lit(0), ((F.col("_n") - 1) / PIECE).cast("int"))).alias("_piece"))
-    raw = F.col("_raw").substr(F.col("_piece") * (unit * PIECE) + 1, F.lit(unit * (PIECE + WIDTH - 1)))
-    left = F.least(F.col("_n") - F.col("_piece") * PIECE, F.lit(PIECE))
-    each = each.select(*by, F.when(F.col("_piece") == 0, F.col("_rest")).alias("_rest"), raw.alias("_raw"), left.alias("_left"))
-    made = F.array(*[F.xxhash64(F.col("_raw").substr(unit * i + 1, unit * WIDTH)) for i in range(PIECE)])
-    each = each.select(*by, "_rest", F.slice(made, F.lit(1), F.col("_left")).alias("_hashes"))
-    return each.groupBy(*by).agg(F.first("_rest", ignorenulls=True).alias("_rest"), F.flatten(F.collect_list("_hashes")).alias("_hashes"))
+    found = rows.select(held(rows).alias("_all"), F.encode(line, "UTF-32").alias("_raw"))
+    count = F.greatest((F.length("_raw") / unit).cast("int") - WIDTH + 1, F.lit(1))
+    found = found.select(F.struct(count.alias("n"), "_all").alias("_all"), "_raw")
+    more = F.col("_all").getField("n")
+    for k in range(PIECES):
+        # as text, since a call for each of a thousand columns takes the driver many seconds
+        piece = f"array({', '.join(f'xxhash64(substr(_raw, {unit * i + 1}, {unit * WIDTH}))' for i in range(k * PIECE, (k + 1) * PIECE))})"
+        # every line has the first piece; the condition only names a column twice
+        made, before = (f"concat(_hashes, {piece})", "_hashes") if k else (piece, "slice(array(0L), 1, 0)")
+        found = found.select("_all", "_raw", F.expr(f"case when _all.n > {k * PIECE} then {made} else {before} end").alias("_hashes"))
+    inner = F.col("_all").getField("_all")
+    every = F.when(F.size("_hashes") >= more, F.slice("_hashes", F.lit(1), more)).otherwise(hashes(inner.getField(line)))
+    return found.select(inner.alias("_all"), every.alias("_hashes"))
+
+
+def pieced(lines: DataFrame, by: list[str]) -> DataFrame:
+    """``lines`` as ``by``, which names a line, ``_rest``, all other columns, and ``_hashes``, the ``hashes`` of ``line``."""
+    own = lambda c: F.col("_all").getField(c).alias(c)
+    rest = F.struct(*[own(c) for c in lines.columns if c not in by])
+    return hashed(lines, "line").select(*[own(c) for c in by], rest.alias("_rest"), "_hashes")
 
 
 def signed(lines: DataFrame, bits: int = BAND_BITS, rows: int = ROWS, by: list[str] | None = None) -> DataFrame:

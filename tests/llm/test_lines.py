@@ -108,3 +108,17 @@ def test_bands(spark):
         wanted += [(i, every[a : a + lines.ROWS + 1]) for a, b in zip(at, at[1:]) if b > a + 1]
     bands = spark.createDataFrame(wanted, "id long, band array<long>").select("id", lines.F.xxhash64("band").alias("key"))
     assert sorted((r["id"], k) for r in found.collect() for k in r["keys"]) == sorted(map(tuple, bands.collect()))
+
+
+def test_hashed_in_rows(spark):
+    """Lines are hashed where they are, without being cut into rows that an aggregate puts together, and have the hashes of a plain loop on either side of the longest such line."""
+    rng = random.Random(7)
+    most = 1024 + 4
+    found = [word(rng, n) for n in (3, 70, most - 1, most, most + 1, 2 * most)]
+    df = spark.createDataFrame(list(enumerate(found)), "id long, line string")
+    plan = lines.signed(df, by=["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Generate" not in plan
+    grams_of = spark.createDataFrame([(i, at, line[at : at + 5]) for i, line in enumerate(found) for at in range(max(1, len(line) - 4))], "id long, at long, gram string")
+    hashed = grams_of.select("id", "at", lines.F.xxhash64(lines.F.encode("gram", "UTF-32")).alias("h")).orderBy("id", "at").collect()
+    for r in lines.pieced(df, ["id"]).collect():
+        assert r["_hashes"] == [x["h"] for x in hashed if x["id"] == r["id"]]
